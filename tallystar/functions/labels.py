@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallystar import vocab
@@ -58,49 +58,63 @@ def arrears_region(code: ColumnOrName) -> Column:
     return _literal_map(vocab.ARREARS_REGION_OF_PROVINCE)[col(code)]
 
 
-def place(label: ColumnOrName) -> Column:
-    """Struct describing one place label; the first rule that applies decides."""
-    name = stripped(label)
-    province = province_of(name)
-    combined_halves = last_chunk(name).contains("/") & ~name.contains(" part,")
-    nothing = F.lit(None).cast("string")
+# Outcome of each rule: level, display order, whether it is always a total.
+_LEVELS = {
+    "country": ("Country", vocab.SORT_COUNTRY, True),
+    "known total": ("Region", vocab.SORT_KNOWN_TOTAL, True),
+    "province": ("Province", vocab.SORT_PROVINCE, False),
+    "excluding": ("Region", vocab.SORT_EXCLUDING, True),
+    "combined": ("Region", vocab.SORT_COMBINED, True),
+    "metro": ("CMA", vocab.SORT_METRO, False),
+    "unknown": ("Unknown", vocab.SORT_UNKNOWN, False),
+}
 
-    def outcome(level: str, of: Column, aggregate: Column | bool, order: int) -> Column:
-        code = province_code(of)
-        return F.struct(
-            F.lit(level).alias("geo_level"),
-            of.alias("province_name"),
-            code.alias("province_code"),
-            arrears_region(code).alias("arrears_region"),
-            (aggregate if isinstance(aggregate, Column) else F.lit(aggregate)).alias(
-                "is_aggregate"
-            ),
-            F.lit(order).alias("sort_order"),
-        )
 
+def place_rule(name: Column, province: Column) -> Column:
+    """Name of the first rule that claims a stripped label."""
     return (
-        F.when(name == vocab.COUNTRY, outcome("Country", nothing, True, vocab.SORT_COUNTRY))
-        .when(
-            name.isin(*vocab.KNOWN_TOTALS),
-            outcome("Region", nothing, True, vocab.SORT_KNOWN_TOTAL),
-        )
-        .when(
-            name.isin(*vocab.PROVINCES),
-            outcome("Province", name, False, vocab.SORT_PROVINCE),
-        )
-        .when(
-            name.contains(" excluding "),
-            outcome("Region", province, True, vocab.SORT_EXCLUDING),
-        )
-        .when(
-            name.contains(", and "),
-            outcome("Region", province, True, vocab.SORT_COMBINED),
-        )
-        .when(
-            name.contains(",") & province.isNotNull(),
-            outcome("CMA", province, combined_halves, vocab.SORT_METRO),
-        )
-        .otherwise(outcome("Unknown", nothing, False, vocab.SORT_UNKNOWN))
+        F.when(name == vocab.COUNTRY, "country")
+        .when(name.isin(*vocab.KNOWN_TOTALS), "known total")
+        .when(name.isin(*vocab.PROVINCES), "province")
+        .when(name.contains(" excluding "), "excluding")
+        .when(name.contains(", and "), "combined")
+        .when(name.contains(",") & province.isNotNull(), "metro")
+        .otherwise("unknown")
+    )
+
+
+def with_place(frame: DataFrame, label: str) -> DataFrame:
+    """Add level, province, arrears region, total flag and display order of a place label.
+
+    Done in steps, so that each later expression refers to a computed column instead
+    of repeating the province search.
+    """
+    found = frame.withColumn("_name", stripped(label)).withColumn(
+        "_mentioned", province_of("_name")
+    )
+    ruled = found.withColumn("_rule", place_rule(F.col("_name"), F.col("_mentioned")))
+    rule = F.col("_rule")
+    has_province = rule.isin("province", "excluding", "combined", "metro")
+    # The combined row of a place split by a border stands next to its two halves.
+    both_halves = (
+        (rule == "metro")
+        & last_chunk("_name").contains("/")
+        & ~F.col("_name").contains(" part,")
+    )
+    level, order, total = (
+        _literal_map({name: outcome[i] for name, outcome in _LEVELS.items()})[rule]
+        for i in range(3)
+    )
+    return (
+        ruled.withColumns({
+            "geo_level": level,
+            "province_name": F.when(has_province, F.col("_mentioned")),
+            "is_aggregate": total | both_halves,
+            "sort_order": order,
+        })
+        .withColumn("province_code", province_code("province_name"))
+        .withColumn("arrears_region", arrears_region("province_code"))
+        .drop("_name", "_mentioned", "_rule")
     )
 
 

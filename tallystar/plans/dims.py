@@ -32,11 +32,7 @@ def dim_geography(releases: Releases) -> DataFrame:
 
 def number_places(names: DataFrame) -> DataFrame:
     """Classify and number place labels held in column ``geo_name``."""
-    fields = ("geo_level", "province_name", "province_code", "arrears_region",
-              "is_aggregate", "sort_order")
-    described = names.withColumn("_place", labels.place("geo_name")).select(
-        "geo_name", *pick(F.col("_place"), *fields)
-    )
+    described = labels.with_place(names, "geo_name")
     keyed = surrogate_key(described, "geography_key", ["sort_order", "geo_name"])
     return with_unknown(
         conform(keyed, DIMENSIONS["dim_geography"]),

@@ -45,6 +45,7 @@ STAGE_OF_STATUS = {"O": "Housing starts", "P": "Housing under construction",
                    "F": "Housing completions"}
 TERMS = ("less than 1 year", "from 1 to less than 3 years", "from 3 to less than 5 years",
          "5 years and more")
+BASE_PRICE = 9.97  # price per unit at which the index would stand at 1
 COMPONENTS = ("Total (house and land)", "House only", "Land only")
 
 
@@ -227,7 +228,7 @@ def originations(base: DataFrame) -> DataFrame:
 def price_index(spark: SparkSession, sf_dir: str, base: DataFrame) -> DataFrame:
     rows = _place_rows(base, spark, sf_dir, metro_too=True)
     component = _lookup(F.col("line") % 3, dict(enumerate(COMPONENTS)))
-    index = ratio(F.sum("price"), F.sum("quantity")).cast("decimal(12,4)")
+    index = (ratio(F.sum("price"), F.sum("quantity")) / BASE_PRICE).cast("decimal(12,4)")
     return rows.groupBy(
         _ref_date(), "GEO", component.alias("New housing price indexes")
     ).agg(index.cast("string").alias("VALUE"))
