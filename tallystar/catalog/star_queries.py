@@ -15,7 +15,7 @@ from tallystar.operators import quality, reconcile
 from tallystar.operators.aggregates import exclude_aggregates, stack
 from tallystar.operators.timeseries import latest_only
 from tallystar.plans import checks, measures, questions, roles, views, warehouse
-from tallystar.schemas import FACTS
+from tallystar.schemas import CHECK_RESULTS, FACTS
 from tallystar.session import shared_dir
 
 FIRST_YEAR = 1995
@@ -660,7 +660,9 @@ SELECT check_name, n AS checks_run, ok AS checks_passed,
             ELSE format('{:,}', n - ok) || ' numbers need review' END AS data_quality_status
 FROM counted""")
 def quality_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = {"check_results": seeded_results(spark, sf_dir)}
+    path = f"{_publication_root(spark, sf_dir, 'results')}/check_results"
+    warehouse.tables.write_table(checks.to_stored(seeded_results(spark, sf_dir)), path)
+    star = {"check_results": warehouse.tables.read_table(spark, path, CHECK_RESULTS)}
     by = ("check_name",)
     frames = [
         measure(star, by)
@@ -842,7 +844,9 @@ def _publication_root(spark: SparkSession, sf_dir: str, name: str) -> str:
 def publish_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Check, export all 19 tables, and report rows and bytes per table."""
     star, root = roles.star(spark, sf_dir), _publication_root(spark, sf_dir, "export")
-    results, reasons = warehouse.checked(star, f"{root}/work", from_year=FIRST_YEAR)
+    results, reasons = warehouse.judged(
+        checks.all_checks(star, from_year=FIRST_YEAR), f"{root}/work"
+    )
     manifest = warehouse.publish(star, results, reasons, root, "current")
     if manifest is None:
         raise ValueError("; ".join(reasons))
@@ -858,8 +862,8 @@ def gate_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("clean", checks.all_checks(star, from_year=FIRST_YEAR)),
         ("defective", seeded_results(spark, sf_dir)),
     ):
-        reasons = reconcile.gate(results, checks.EXPECTED)
-        manifest = warehouse.publish(star, results, reasons, root, version)
+        stored, reasons = warehouse.judged(results, f"{root}/work/{version}")
+        manifest = warehouse.publish(star, stored, reasons, root, version)
         in_force = warehouse.tables.current_version(spark, root)
         outcome.append((version, len(reasons), manifest is not None, in_force))
     return spark.createDataFrame(

@@ -20,6 +20,7 @@ from tallystar.operators import quality
 from tallystar.operators.aggregates import row_totals, stack
 from tallystar.operators.calendar import describe_months, expand_months, month_calendar, within_calendar
 from tallystar.operators.lookup import (
+    constant_key,
     distinct_labels,
     duplicate_keys,
     lookup_key,
@@ -37,6 +38,7 @@ from tallystar.operators.timeseries import (
 )
 from tallystar.plans import dims
 from tallystar.plans.roles import table
+from tallystar.session import shared_dir
 
 PROVINCES = list(vocab.PROVINCES)
 _PROVINCE_LIST = ", ".join(f"'{p}'" for p in PROVINCES)
@@ -240,9 +242,10 @@ def customers_with_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_nationkey",
     )
     keyed = lookup_key(labelled, dim, "label", "n_name", "nation_key")
-    return lookup_key(
-        keyed, dims.dim_coverage(spark), F.lit(vocab.TOWNS), "coverage_name", "coverage_key"
+    coverage = constant_key(
+        dims.dim_coverage(spark), vocab.TOWNS, "coverage_name", "coverage_key"
     )
+    return keyed.withColumn("coverage_key", coverage)
 
 
 _KEYED = """
@@ -678,6 +681,14 @@ def report_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stack([summaries, pages])
 
 
+def stored_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as a stored table, which is how report text arrives."""
+    folder = sf_dir.strip("/").replace("/", "_")
+    path = f"{shared_dir(spark)}/pages-{spark.sparkContext.applicationId}-{folder}"
+    report_pages(spark, sf_dir).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 @query("extract_report_rows", _REPORT + """
 SELECT doc_id, region, month, CAST(total AS DOUBLE) AS total_mortgages,
        CASE WHEN region <> 'TERRITORIES' THEN CAST(late AS DOUBLE) END AS mortgages_in_arrears,
@@ -687,7 +698,7 @@ SELECT doc_id, region, month, CAST(total AS DOUBLE) AS total_mortgages,
        region = 'TERRITORIES' AS suppressed, FALSE AS parse_failed
 FROM recs""")
 def extract_report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = extract_records(report_pages(spark, sf_dir))
+    rows = extract_records(stored_pages(spark, sf_dir))
     counts = ("total_mortgages", "mortgages_in_arrears")
     return rows.withColumns({c: F.col(c).cast("double") for c in counts})
 

@@ -57,6 +57,11 @@ def count_cell(cell: ColumnOrName) -> Column:
     return F.round(col(cell).try_cast("decimal(38,6)"), 0).try_cast("bigint")
 
 
+def hundredths(amount: ColumnOrName) -> Column:
+    """A two-decimal amount as a whole number of hundredths, for cheap exact sums."""
+    return F.round(col(amount) * 100).cast("bigint")
+
+
 def or_unknown(key: ColumnOrName, unknown: int = -1) -> Column:
     return F.coalesce(col(key), F.lit(unknown))
 

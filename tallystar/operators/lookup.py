@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -13,6 +14,10 @@ from tallystar.functions.scalars import ColumnOrName, col, or_unknown
 from tallystar.session import shared_dir
 from tallystar.vocab import UNKNOWN_KEY
 
+_ARROW = {
+    "integer": pa.int32(), "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(),
+    "string": pa.string(),
+}
 _SLOT_BITS = 33  # monotonically_increasing_id keeps the partition number above bit 33
 
 
@@ -49,11 +54,24 @@ def surrogate_key(members: DataFrame, key: str, order_by: list[ColumnOrName]) ->
     return ranked.select(rank, *members.columns)
 
 
+def literal_frame(spark: SparkSession, rows: Sequence[tuple], schema: StructType) -> DataFrame:
+    """Rows written in Python as a DataFrame whose size the planner knows.
+
+    Built from an Arrow table: a plain list becomes a scan of unknown size, and joins
+    with it would be shuffled.
+    """
+    nullable = StructType([StructField(f.name, f.dataType) for f in schema.fields])
+    arrow = pa.Table.from_pylist(
+        [dict(zip(nullable.names, row, strict=True)) for row in rows],
+        schema=pa.schema([(f.name, _ARROW[f.dataType.typeName()]) for f in nullable.fields]),
+    )
+    return spark.createDataFrame(arrow, nullable)
+
+
 def with_unknown(dim: DataFrame, unknown: dict) -> DataFrame:
     """Prepend the Unknown member, so unmatched facts have a row to point at."""
-    schema = StructType([StructField(f.name, f.dataType) for f in dim.schema.fields])
-    seed = dim.sparkSession.createDataFrame([tuple(map(unknown.get, dim.columns))], schema)
-    return seed.unionByName(dim)
+    row = tuple(map(unknown.get, dim.columns))
+    return literal_frame(dim.sparkSession, [row], dim.schema).unionByName(dim)
 
 
 def lookup_key(
@@ -70,6 +88,13 @@ def lookup_key(
     return joined.withColumn(key, or_unknown("_key", unknown)).drop("_label", "_key")
 
 
+def constant_key(dim: DataFrame, label: str, dim_label: str, key: str,
+                 unknown: int = UNKNOWN_KEY) -> Column:
+    """Key of one fixed label: a scalar subquery, since there is nothing to join on."""
+    found = dim.filter(F.col(dim_label) == label).select(F.max(key))
+    return or_unknown(found.scalar(), unknown)
+
+
 def duplicate_keys(frame: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Key combinations that occur more than once, with their row count."""
     return frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")

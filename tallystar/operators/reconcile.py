@@ -15,6 +15,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tallystar import vocab
 from tallystar.functions.scalars import ratio
+from tallystar.operators.lookup import literal_frame
 
 COMPARISON = ("check_name", "detail", "our_value", "published_value")
 
@@ -79,7 +80,7 @@ def score(comparisons: DataFrame, kind: str, allowed: float | None = None) -> Da
 def verdict(scored: DataFrame, known: Iterable[tuple[str, str]] = ()) -> DataFrame:
     """Add known_problem and passed; the allow-list is a literal, so it is broadcast."""
     schema = StructType([StructField(c, StringType(), False) for c in ("check_name", "detail")])
-    listed = scored.sparkSession.createDataFrame(list(known), schema)
+    listed = literal_frame(scored.sparkSession, list(known), schema)
     flagged = scored.join(
         F.broadcast(listed.withColumn("_listed", F.lit(True))), ["check_name", "detail"], "left"
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallystar import vocab
-from tallystar.functions.scalars import detail, percent, year_of_key
+from tallystar.functions.scalars import detail, percent
 from tallystar.operators.aggregates import stack
 from tallystar.operators.reconcile import comparison, completeness, pair_totals, score, verdict
 from tallystar.plans.views import with_dates
@@ -82,7 +82,7 @@ def dwellings_add_up(star: Star, from_year: int = 2015) -> DataFrame:
     keys = ["date_key", "geography_key", "coverage_key", "stage_key"]
     rows = (
         star["fact_housing_activity"]
-        .filter(year_of_key("date_key") >= from_year)
+        .filter(F.col("date_key") >= from_year * 10000)
         .join(
             star["dim_dwelling_type"].select("dwelling_type_key", "dwelling_category", "is_total"),
             "dwelling_type_key",

@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 from tallystar import vocab
 from tallystar.functions import labels
 from tallystar.operators.calendar import month_calendar
-from tallystar.operators.lookup import distinct_labels, pick, surrogate_key, with_unknown
+from tallystar.operators.lookup import (
+    distinct_labels,
+    literal_frame,
+    pick,
+    surrogate_key,
+    with_unknown,
+)
 from tallystar.schemas import DIMENSIONS
 from tallystar.sources.releases import with_column, with_prefix
 from tallystar.sources.tables import conform
@@ -43,7 +49,7 @@ def number_places(names: DataFrame) -> DataFrame:
 
 def _literal(spark: SparkSession, table: str, rows: list[tuple], unknown: dict) -> DataFrame:
     keyed = [(i, *row) for i, row in enumerate(rows, start=1)]
-    return with_unknown(spark.createDataFrame(keyed, DIMENSIONS[table]), unknown)
+    return with_unknown(literal_frame(spark, keyed, DIMENSIONS[table]), unknown)
 
 
 def dim_arrears_region(spark: SparkSession) -> DataFrame:

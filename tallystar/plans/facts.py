@@ -17,7 +17,7 @@ from tallystar import vocab
 from tallystar.functions.scalars import count_cell, decimal_cell, month_key_of_text
 from tallystar.operators.aggregates import mean, stack, sums_by_label
 from tallystar.operators.calendar import within_calendar
-from tallystar.operators.lookup import lookup_key
+from tallystar.operators.lookup import constant_key, lookup_key
 from tallystar.schemas import FACTS, KEY, LABEL
 from tallystar.sources.tables import conform
 
@@ -46,15 +46,17 @@ HOUSING_RELEASES = (("housing_activity", vocab.TOWNS), ("housing_cma", vocab.MET
 
 def housing_activity(releases: Tables, dims: Tables) -> DataFrame:
     def cells(name: str, coverage: str) -> DataFrame:
-        return _cells(
+        found = _cells(
             releases[name], dims,
             geo=F.col("GEO"), dwelling=F.col("Type of unit"), stage=F.col("Housing estimates"),
-            coverage=F.lit(coverage), units=decimal_cell("VALUE"),
+            units=decimal_cell("VALUE"),
         )
+        key = constant_key(dims["dim_coverage"], coverage, "coverage_name", "coverage_key")
+        return found.withColumn("coverage_key", key)
 
     both = stack([cells(name, coverage) for name, coverage in HOUSING_RELEASES])
     keyed = _keyed(both, dims, geography="geo", dwelling_type="dwelling",
-                   construction_stage="stage", coverage="coverage")
+                   construction_stage="stage")
     return conform(keyed, FACTS["fact_housing_activity"])
 
 

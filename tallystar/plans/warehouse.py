@@ -91,17 +91,12 @@ def unclassified_places(star: Star) -> DataFrame:
     return unclassified(star["dim_geography"], "geo_level", "geography_key")
 
 
-def checked(
-    star: Star,
-    workdir: str,
-    known: Iterable[tuple[str, str]] = vocab.KNOWN_SOURCE_PROBLEMS,
-    from_year: int = 2015,
-) -> tuple[DataFrame, list[str]]:
-    """Run the checks once, store every comparison, and say what forbids publishing."""
+def judged(results: DataFrame, workdir: str) -> tuple[DataFrame, list[str]]:
+    """Run checks once, store every comparison, and say what forbids publishing."""
     path = f"{workdir}/check_details"
-    all_checks(star, known, from_year).write.mode("overwrite").parquet(path)
-    results = next(iter(star.values())).sparkSession.read.parquet(path)
-    return results, gate(results, EXPECTED)
+    results.write.mode("overwrite").parquet(path)
+    stored = results.sparkSession.read.parquet(path)
+    return stored, gate(stored, EXPECTED)
 
 
 def register_views(star: Star, views: Mapping[str, DataFrame] | None = None) -> None:
@@ -134,7 +129,7 @@ def run(
 ) -> tuple[DataFrame | None, list[str]]:
     """Raw files to a published export.  Returns the manifest, or why there is none."""
     star = build(spark, read_all(spark, raw_dir), workdir, end_month)
-    results, reasons = checked(star, workdir, known)
+    results, reasons = judged(all_checks(star, known), workdir)
     return publish(star, results, reasons, root, version), reasons
 
 

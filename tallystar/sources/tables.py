@@ -66,15 +66,18 @@ def read_table(
     return frame.select(*schema.fieldNames())
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Size of a table's files; lists them, without reading their content."""
+def stored_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes per table folder; lists the files, without reading their content."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
-        .load(path)
+        .load(folder)
+    )
+    below = F.substring_index("path", f"{folder}/", -1)
+    return files.groupBy(F.substring_index(below, "/", 1).alias("table_name")).agg(
+        F.sum("length").alias("n_bytes")
     )
-    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
 def export_tables(
@@ -89,13 +92,12 @@ def export_tables(
     cluster = cluster or {}
     spark = next(iter(tables.values())).sparkSession
 
-    def export(name: str) -> tuple[str, int, int]:
-        path = f"{target}/{name}"
-        rows = write_table(tables[name], path, cluster.get(name, ()))
-        return name, rows, stored_bytes(spark, path)
+    def export(name: str) -> tuple[str, int]:
+        return name, write_table(tables[name], f"{target}/{name}", cluster.get(name, ()))
 
-    entries = at_once([lambda name=name: export(name) for name in tables])
-    return spark.createDataFrame(entries, "table_name string, n_rows bigint, n_bytes bigint")
+    written = at_once([lambda name=name: export(name) for name in tables])
+    counted = spark.createDataFrame(written, "table_name string, n_rows bigint")
+    return counted.join(stored_bytes(spark, target), "table_name", "left")
 
 
 def manifest_totals(manifest: DataFrame) -> DataFrame:
