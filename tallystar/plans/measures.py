@@ -4,8 +4,8 @@ Every measure is called as ``measure(star, by=(...), where={...})`` and returns
 ``by`` columns plus one column named after the measure.
 
 * ``by`` may name any column of the fact's dimensions, or ``date_key``.
-* ``where`` maps a dimension to a condition on it.  Conditions are applied to the
-  dimension before it is joined, so they prune the fact.
+* ``where`` maps a dimension to a condition on it, a Column or SQL text.  Conditions
+  are applied to the dimension before it is joined, so they prune the fact.
 
 Three rules keep numbers honest.  Rates are ratios of sums.  Two coverages are never
 added: a group that holds both is NULL.  Totals are never mixed with their parts: place
@@ -34,7 +34,7 @@ from tallystar.operators.timeseries import (
 from tallystar.schemas import DIMENSIONS, FACTS, KEY, RELATIONSHIPS
 
 Star = Mapping[str, DataFrame]
-Where = Mapping[str, Column] | None
+Where = Mapping[str, Column | str] | None
 Measure = Callable[..., DataFrame]
 
 CALENDAR_COLUMNS = DIMENSIONS["dim_date"].fieldNames()
@@ -44,16 +44,23 @@ MILLION = 1_000_000
 # Context -------------------------------------------------------------------------
 
 
+def _conditions(where: Where) -> dict[str, Column]:
+    return {
+        dim: F.expr(condition) if isinstance(condition, str) else condition
+        for dim, condition in (where or {}).items()
+    }
+
+
 def _also(where: Where, dim: str, condition: Column) -> dict[str, Column]:
     """``where`` with one more condition on a dimension."""
-    merged = dict(where or {})
+    merged = _conditions(where)
     merged[dim] = merged[dim] & condition if dim in merged else condition
     return merged
 
 
 def in_context(star: Star, fact: str, by: Sequence[str], where: Where = None) -> DataFrame:
     """The fact joined to just those dimensions that filter it or name its groups."""
-    where = dict(where or {})
+    where = _conditions(where)
     rows = star[fact]
     reachable = [dim for dim, target in RELATIONSHIPS if target == fact]
     stray = set(where) - set(reachable)
@@ -86,7 +93,7 @@ def _monthly_context(by: Sequence[str], where: Where) -> tuple[list[str], dict,
     coarse = [c for c in _periods(by) if c != "date_key"]
     if coarse:
         raise ValueError(f"time-shifted measures go by date_key, not {', '.join(coarse)}")
-    context = dict(where or {})
+    context = _conditions(where)
     dates = context.pop("dim_date", None)
     return [c for c in by if c != "date_key"], context, dates
 
