@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar import vocab
@@ -11,6 +11,7 @@ from tallystar.functions import labels
 from tallystar.functions.scalars import (
     count_cell,
     decimal_cell,
+    hundredths,
     month_key_of_date,
     month_key_of_text,
     month_start,
@@ -634,47 +635,37 @@ def report_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records laid out as text: two per line, a header on each region's first page.
 
     Each page repeats the last record of the page before, as reports do at page breaks,
-    and page 0 is a summary without a section.
+    and page 0 is a summary without a section.  A supplier's region has one record per
+    calendar month, so its list of records is short.
     """
-    records = report_records(spark, sf_dir)
-    nth = F.row_number().over(Window.partitionBy("doc_id", "region").orderBy("month")) - 1
-    section = F.coalesce(*[
-        F.when(F.col("region") == name, F.lit(i))
-        for i, name in enumerate(REPORT_REGIONS.values())
-    ])
-    placed = records.withColumn("nth", nth).withColumn("section", section)
-    page = F.floor(F.col("nth") / RECORDS_PER_PAGE)
-    slot = F.col("nth") % RECORDS_PER_PAGE
-    positions = F.array_compact(F.array(
-        F.struct(page.alias("page"), F.floor(slot / 2).alias("line"), (slot % 2).alias("pos")),
-        F.when(
-            slot == RECORDS_PER_PAGE - 1,
-            F.struct((page + 1).alias("page"), F.lit(-1).cast("bigint").alias("line"),
-                     F.lit(0).alias("pos")),
-        ),
-    ))
-    printed = placed.select("doc_id", "region", "section", "record", F.inline(positions))
-
-    def joined(separator: str, order: str, text: str) -> Column:
-        ordered = F.array_sort(F.collect_list(F.struct(order, text)))
-        return F.array_join(ordered[text], separator)
-
-    # A page holds a bounded number of records, so these lists are short.
-    lines = printed.groupBy("doc_id", "region", "section", "page", "line").agg(
-        joined("    ", "pos", "record").alias("text")
+    listed = report_records(spark, sf_dir).groupBy("doc_id", "region").agg(
+        F.array_sort(F.collect_list(F.struct("month", "record")))["record"].alias("records")
     )
-    bodies = lines.groupBy("doc_id", "region", "section", "page").agg(
-        joined("\n", "line", "text").alias("body")
+    last_page = F.floor((F.size("records") - 1) / RECORDS_PER_PAGE).cast("int")
+    paged = listed.select(
+        "doc_id", "region", "records", F.explode(F.sequence(F.lit(0), last_page)).alias("page")
+    )
+    repeated = F.when(F.col("page") > 0, 1).otherwise(0)
+    start = F.col("page") * RECORDS_PER_PAGE + 1 - repeated
+    printed = paged.withColumn("shown", F.slice("records", start, RECORDS_PER_PAGE + repeated))
+    lines = F.transform(
+        F.sequence(F.lit(0), F.size("shown") - 1, F.lit(2)),
+        lambda i: F.concat_ws("    ", F.get("shown", i), F.get("shown", i + 1)),
+    )
+    section = F.array_position(
+        F.array(*[F.lit(name) for name in REPORT_REGIONS.values()]), F.col("region")
     )
     header = F.when(
         F.col("page") == 0, F.concat(F.lit("REGION: "), "region", F.lit("**\n"))
     ).otherwise(F.lit(""))
-    pages = bodies.select(
+    pages = printed.select(
         "doc_id",
-        (F.col("section") * PAGES_PER_REGION + F.col("page") + 1).cast("int").alias("page_no"),
-        F.concat(header, F.lit("As at   Total   Arrears\n"), "body").alias("text"),
+        (section * PAGES_PER_REGION + F.col("page")).cast("int").alias("page_no"),
+        F.concat(
+            header, F.lit("As at   Total   Arrears\n"), F.array_join(lines, "\n")
+        ).alias("text"),
     )
-    summaries = pages.select("doc_id").distinct().select(
+    summaries = listed.select("doc_id").distinct().select(
         "doc_id", F.lit(0).alias("page_no"),
         F.lit("All sections\n1999-01  1,234,567  8,901  0.72%").alias("text"),
     )
@@ -741,19 +732,21 @@ FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY ALL""")
 def price_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price per unit as a ratio of sums.
 
-    Lines are summed per part and month before they meet the part table, so a part
-    that holds a large share of all lines arrives as one row per month and task.
+    One shuffle of the lines at most: none while the part table is small enough to
+    broadcast, and beyond that a sort-merge join whose hot parts AQE splits.  The sums
+    combine map-side to one row per type and month.
     """
-    per_part = table(spark, sf_dir, "lineitem").groupBy(
-        "l_partkey", month_key_of_date("l_shipdate").alias("date_key")
-    ).agg(
-        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("price"),
-        F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("quantity"),
-    )
-    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
-    unit_price = F.try_divide(F.sum("price").cast("double"), F.sum("quantity").cast("double"))
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("p_partkey"),
+        month_key_of_date("l_shipdate").alias("date_key"),
+        hundredths("l_extendedprice").alias("price"),
+        hundredths("l_quantity").alias("quantity"),
+    )
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    # Dividing both sums by 100 first keeps the quotient that of the plain amounts.
+    price, quantity = F.sum("price").cast("double") / 100, F.sum("quantity").cast("double") / 100
     return (
-        per_part.join(parts, "l_partkey")
+        lines.join(parts, "p_partkey")
         .groupBy("p_type", "date_key")
-        .agg(rounded(unit_price, 6).alias("unit_price"))
+        .agg(rounded(F.try_divide(price, quantity), 6).alias("unit_price"))
     )

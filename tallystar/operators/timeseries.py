@@ -206,30 +206,25 @@ def forward_fill(
     second window over one summary row per block.
     """
     blocked = frame.withColumn("_block", F.floor(F.col(position) / block).cast("long"))
-    inherited = Window.partitionBy(*keys).orderBy("_block")
+    known = F.col(value).isNotNull()
+    tail = F.max_by(F.when(known, F.col(value)), F.when(known, F.col(position)))
+    earlier = (
+        Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    )
     carried = (
         blocked.groupBy(*keys, "_block")
-        .agg(F.max_by(F.when(F.col(value).isNotNull(), F.col(value)),
-                      F.when(F.col(value).isNotNull(), F.col(position))).alias("_tail"))
-        .select(
-            *keys,
-            "_block",
-            F.last("_tail", ignorenulls=True)
-            .over(inherited.rowsBetween(Window.unboundedPreceding, -1))
-            .alias("_carried"),
-        )
+        .agg(tail.alias("_tail"))
+        .withColumn("_carried", F.last("_tail", ignorenulls=True).over(earlier))
     )
+    paired = [F.col(f"a.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in (*keys, "_block")]
+    joined = blocked.alias("a").join(carried.alias("b"), paired).select("a.*", "b._carried")
     inside = (
         Window.partitionBy(*keys, "_block")
         .orderBy(position)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     filled = F.coalesce(F.last(value, ignorenulls=True).over(inside), F.col("_carried"))
-    return (
-        blocked.join(carried, [*keys, "_block"])
-        .withColumn(name, filled)
-        .drop("_block", "_carried")
-    )
+    return joined.withColumn(name, filled).drop("_block", "_carried")
 
 
 def first_per_key(

@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from tallystar.functions.scalars import year_of_key
 
 PUBLICATIONS = "publications"
-_CONCURRENT_WRITES = 6
+_CONCURRENT_WRITES = 8
 
 
 def at_once(tasks: Iterable[Callable]) -> list:

@@ -116,7 +116,7 @@ def test_share_of_movement(spark):
 def test_forward_fill_matches_a_plain_loop(spark, block):
     rng = random.Random(block)
     rows, expected = [], []
-    for key in ("hot", "cold", "empty"):
+    for key in ("hot", "cold", "empty", None):
         carried = None
         for position in sorted(rng.sample(range(200), 90 if key == "hot" else 9)):
             value = rng.randrange(100) if key != "empty" and rng.random() < 0.2 else None
