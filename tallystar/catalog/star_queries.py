@@ -12,7 +12,7 @@ from tallystar.catalog import query
 from tallystar.catalog.star_sql import ARREARS, EVERYTHING, HOUSING, LINES
 from tallystar.functions.scalars import rounded
 from tallystar.operators import quality, reconcile
-from tallystar.operators.aggregates import exclude_aggregates, stack
+from tallystar.operators.aggregates import exclude_aggregates, row_totals, stack
 from tallystar.operators.timeseries import latest_only
 from tallystar.plans import checks, measures, questions, roles, views, warehouse
 from tallystar.schemas import CHECK_RESULTS, FACTS
@@ -215,25 +215,11 @@ def _long(frames: dict[str, DataFrame], *by: str) -> DataFrame:
     ])
 
 
-_HOUSING_MEASURES = (
-    "housing_starts", "housing_completions", "under_construction", "housing_starts_last_year",
-    "housing_starts_change", "housing_starts_change_pct", "housing_starts_12_months",
-    "housing_completions_12_months", "completion_ratio", "backlog_months",
-    "backlog_months_last_year", "backlog_months_change",
-)
-
-
-@query("housing_measures", HOUSING + f""",
+_PACE_SQL = HOUSING + f""",
 picked AS (
   SELECT date_key, mi, geo AS geo_name, stage, units FROM housing
   WHERE level = 'Province' AND is_total AND coverage = '{vocab.TOWNS}'
 ),
-starts AS (SELECT geo_name, date_key, mi, units AS v, SUM(units) OVER w AS y FROM picked
-  WHERE stage = 'Starts' WINDOW w AS (PARTITION BY geo_name ORDER BY mi
-    RANGE BETWEEN 11 PRECEDING AND CURRENT ROW)),
-built AS (SELECT geo_name, date_key, mi, units AS v, SUM(units) OVER w AS y FROM picked
-  WHERE stage = 'Completions' WINDOW w AS (PARTITION BY geo_name ORDER BY mi
-    RANGE BETWEEN 11 PRECEDING AND CURRENT ROW)),
 wide AS (
   SELECT geo_name, date_key, mi, SUM(CASE WHEN stage = 'Starts' THEN units END) AS s,
          SUM(CASE WHEN stage = 'Completions' THEN units END) AS c,
@@ -241,12 +227,37 @@ wide AS (
   FROM picked GROUP BY ALL
 ),
 pace AS (
-  SELECT geo_name, date_key, mi,
+  SELECT geo_name, date_key, mi, s, c, o, SUM(s) OVER w AS sy, SUM(c) OVER w AS cy,
          CAST(SUM(c) OVER w AS DOUBLE) / NULLIF(CAST(SUM(s) OVER w AS DOUBLE), 0) AS done,
          CAST(o AS DOUBLE) / NULLIF(CAST(SUM(c) OVER w AS DOUBLE) / 12, 0) AS backlog
   FROM wide WINDOW w AS (PARTITION BY geo_name ORDER BY mi
     RANGE BETWEEN 11 PRECEDING AND CURRENT ROW)
-),
+)"""
+
+
+@query("housing_panel", _PACE_SQL + """
+SELECT a.geo_name, a.date_key, CAST(a.s AS DOUBLE) AS housing_starts,
+       CAST(a.c AS DOUBLE) AS housing_completions, CAST(a.o AS DOUBLE) AS under_construction,
+       CAST(b.s AS DOUBLE) AS housing_starts_last_year,
+       CAST(a.s - b.s AS DOUBLE) AS housing_starts_change,
+       CAST(a.s - b.s AS DOUBLE) / NULLIF(CAST(b.s AS DOUBLE), 0) AS housing_starts_change_pct,
+       CAST(a.sy AS DOUBLE) AS housing_starts_12_months,
+       CAST(a.cy AS DOUBLE) AS housing_completions_12_months, a.done AS completion_ratio,
+       a.backlog AS backlog_months, b.backlog AS backlog_months_last_year,
+       a.backlog - b.backlog AS backlog_months_change
+FROM pace a LEFT JOIN pace b ON b.geo_name = a.geo_name AND b.mi = a.mi - 12""")
+def housing_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star = roles.star(spark, sf_dir)
+    return measures.housing_panel(star, ("geo_name", "date_key"), towns(), **PROVINCES)
+
+
+@query("housing_measures", _PACE_SQL + """,
+starts AS (SELECT geo_name, date_key, mi, units AS v, SUM(units) OVER w AS y FROM picked
+  WHERE stage = 'Starts' WINDOW w AS (PARTITION BY geo_name ORDER BY mi
+    RANGE BETWEEN 11 PRECEDING AND CURRENT ROW)),
+built AS (SELECT geo_name, date_key, mi, units AS v, SUM(units) OVER w AS y FROM picked
+  WHERE stage = 'Completions' WINDOW w AS (PARTITION BY geo_name ORDER BY mi
+    RANGE BETWEEN 11 PRECEDING AND CURRENT ROW)),
 yoy AS (SELECT a.geo_name, a.date_key, a.v, b.v AS ly FROM starts a
   LEFT JOIN starts b ON b.geo_name = a.geo_name AND b.mi = a.mi - 12),
 slow AS (SELECT a.geo_name, a.date_key, a.backlog, b.backlog AS ly FROM pace a
@@ -269,7 +280,7 @@ def housing_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     star, by = roles.star(spark, sf_dir), ("geo_name", "date_key")
     frames = {
         name: measures.MEASURES[name](star, by, towns(), **PROVINCES)
-        for name in _HOUSING_MEASURES
+        for name in measures.HOUSING_PANEL
     }
     return _long(frames, *by)
 
@@ -840,20 +851,54 @@ def _publication_root(spark: SparkSession, sf_dir: str, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{spark.sparkContext.applicationId}-{folder}"
 
 
-@query("publish_manifest")
-def publish_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Check, export all 19 tables, and report rows and bytes per table."""
-    star, root = roles.star(spark, sf_dir), _publication_root(spark, sf_dir, "export")
+def _published(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, str]:
+    star, root = roles.star(spark, sf_dir), _publication_root(spark, sf_dir, name)
     results, reasons = warehouse.judged(
         checks.all_checks(star, from_year=FIRST_YEAR), f"{root}/work"
     )
     manifest = warehouse.publish(star, results, reasons, root, "current")
     if manifest is None:
         raise ValueError("; ".join(reasons))
-    return manifest
+    return manifest, root
 
 
-@query("gate_publish")
+@query("publish_manifest")
+def publish_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Check, export all 19 tables, and report rows and bytes per table."""
+    return _published(spark, sf_dir, "export")[0]
+
+
+@query("export_rows", _CLEAN + """
+SELECT 'fact_housing_activity' AS table_name, COUNT(*) AS n_rows FROM housing
+UNION ALL SELECT 'fact_market_absorption', COUNT(*) FROM absorption
+UNION ALL SELECT 'fact_unoccupied_housing', COUNT(*) FROM unoccupied
+UNION ALL SELECT 'fact_mortgage_arrears', COUNT(*) FROM arrears_typed
+UNION ALL SELECT 'fact_mortgage_originations', COUNT(*) FROM
+  (SELECT DISTINCT date_key, product FROM origination)
+UNION ALL SELECT 'fact_price_index', COUNT(*) FROM component
+UNION ALL SELECT 'fact_mortgage_rate', COUNT(*) FROM mortgage_rate
+UNION ALL SELECT 'pipeline_health', COUNT(*) FROM
+  (SELECT DISTINCT date_key, coverage, geo, dwelling FROM housing
+   WHERE NOT agg OR level = 'Country')
+UNION ALL SELECT 'what_changed', COUNT(*) FROM housing a JOIN housing b
+  ON b.coverage = a.coverage AND b.geo = a.geo AND b.mi = a.mi - 12
+  AND b.stage = 'Starts' AND b.is_total
+  WHERE a.stage = 'Starts' AND a.is_total AND (NOT a.agg OR a.level = 'Country')
+UNION ALL SELECT 'arrears_trend', COUNT(*) FROM arrears_typed
+UNION ALL SELECT 'check_results', COUNT(*) FROM judged""")
+def export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the export in force, read back table by table."""
+    root = _published(spark, sf_dir, "readback")[1]
+    export = warehouse.read_export(spark, root)
+    return row_totals({
+        name: frame for name, frame in export.items() if not name.startswith("dim_")
+    })
+
+
+@query("gate_publish", _SEEDED + """,
+failed AS (SELECT CAST(COUNT(DISTINCT check_name) AS INTEGER) AS n FROM judged WHERE NOT passed)
+SELECT 'clean' AS version, 0 AS reasons, TRUE AS published, 'clean' AS in_force
+UNION ALL SELECT 'defective', n, FALSE, 'clean' FROM failed""")
 def gate_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A clean run is published; a defective one is refused and changes nothing."""
     star, root = roles.star(spark, sf_dir), _publication_root(spark, sf_dir, "gate")

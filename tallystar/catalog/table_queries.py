@@ -17,7 +17,7 @@ from tallystar.functions.scalars import (
     month_start,
     rounded,
 )
-from tallystar.operators import quality
+from tallystar.operators import quality, reconcile
 from tallystar.operators.aggregates import row_totals, stack
 from tallystar.operators.calendar import describe_months, expand_months, month_calendar, within_calendar
 from tallystar.operators.lookup import (
@@ -592,6 +592,44 @@ def table_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_totals({name: table(spark, sf_dir, name) for name in names})
 
 
+@query("reconcile_joined_totals", """
+WITH ours AS (
+  SELECT CAST(strftime(l_shipdate, '%Y%m01') AS INTEGER) AS date_key,
+         SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS total FROM lineitem GROUP BY 1
+),
+theirs AS (
+  SELECT CAST(strftime(o_orderdate, '%Y%m01') AS INTEGER) AS date_key,
+         SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS total FROM orders GROUP BY 1
+),
+paired AS (
+  SELECT CAST(date_key AS VARCHAR) AS detail, CAST(o.total AS DOUBLE) AS our_value,
+         CAST(t.total AS DOUBLE) AS published_value
+  FROM ours o JOIN theirs t USING (date_key) WHERE t.total > 0
+),
+gap AS (SELECT *, 100.0::DOUBLE * abs(our_value - published_value)
+        / NULLIF(abs(published_value), 0) AS difference FROM paired)
+SELECT 'lines add up to orders' AS check_name, detail, our_value, published_value, difference,
+       1.0::DOUBLE AS allowed, '%' AS units, COALESCE(difference <= 1.0, FALSE) AS close_enough
+FROM gap""")
+def reconcile_joined_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals kept in two tables: each summed to the month first, then joined."""
+
+    def monthly(name: str, date: str, amount: str) -> DataFrame:
+        return table(spark, sf_dir, name).groupBy(month_key_of_date(date).alias("date_key")).agg(
+            F.sum(F.col(amount).cast("decimal(18,2)")).alias("total")
+        )
+
+    paired = reconcile.pair_totals(
+        monthly("lineitem", "l_shipdate", "l_extendedprice"),
+        monthly("orders", "o_orderdate", "o_totalprice"),
+        ["date_key"],
+    )
+    detail = F.col("date_key").cast("string")
+    return reconcile.score(
+        reconcile.comparison(paired, "lines add up to orders", detail), "percent"
+    )
+
+
 # Report text ------------------------------------------------------------------------
 
 REPORT_REGIONS = {"A": "ATLANTIC", "N": "BRITISH COLUMBIA", "R": "TERRITORIES"}

@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 from tallystar import vocab
 from tallystar.functions.scalars import detail, percent
 from tallystar.operators.aggregates import stack
-from tallystar.operators.reconcile import comparison, completeness, pair_totals, score, verdict
+from tallystar.operators.reconcile import (
+    comparison,
+    completeness,
+    score,
+    totals_side_by_side,
+    verdict,
+)
 from tallystar.plans.views import with_dates
 from tallystar.schemas import CHECK_RESULTS
 from tallystar.sources.tables import conform
@@ -23,19 +29,15 @@ EXPECTED = (
 )
 
 
-def _totals(frame: DataFrame, keys: list[str], value: str) -> DataFrame:
-    return frame.groupBy(*keys).agg(F.sum(value).alias("total"))
-
-
 def arrears_add_up(star: Star) -> DataFrame:
     """The regions of the report against its national row."""
     rows = star["fact_mortgage_arrears"].join(
         star["dim_arrears_region"].select("arrears_region_key", "is_national"),
         "arrears_region_key",
     )
-    parts = _totals(rows.filter(~F.col("is_national")), ["date_key"], "total_mortgages")
-    published = _totals(rows.filter("is_national"), ["date_key"], "total_mortgages")
-    paired = with_dates(pair_totals(parts, published, ["date_key"]), star, "year_month")
+    national = F.col("is_national")
+    paired = totals_side_by_side(rows, ["date_key"], "total_mortgages", ~national, national)
+    paired = with_dates(paired, star, "year_month")
     return comparison(paired, vocab.CHECK_ARREARS_TOTAL, F.col("year_month"))
 
 
@@ -69,9 +71,9 @@ def provinces_add_up(star: Star) -> DataFrame:
     )
     keys = ["date_key", "coverage_key"]
     province = (F.col("geo_level") == "Province") & ~F.col("is_aggregate")
-    parts = _totals(rows.filter(province), keys, "units")
-    published = _totals(rows.filter(F.col("geo_name") == vocab.COUNTRY), keys, "units")
-    paired = with_dates(pair_totals(parts, published, keys), star, "year_month").join(
+    country = F.col("geo_name") == vocab.COUNTRY
+    paired = totals_side_by_side(rows, keys, "units", province, country)
+    paired = with_dates(paired, star, "year_month").join(
         star["dim_coverage"].select("coverage_key", "coverage_name"), "coverage_key"
     )
     return comparison(paired, vocab.CHECK_PROVINCES, detail("year_month", "coverage_name"))
@@ -88,12 +90,10 @@ def dwellings_add_up(star: Star, from_year: int = 2015) -> DataFrame:
             "dwelling_type_key",
         )
     )
-    parts = _totals(
-        rows.filter(F.col("dwelling_category").isin(*vocab.DWELLING_PARTS)), keys, "units"
-    )
-    published = _totals(rows.filter("is_total"), keys, "units")
+    parts = F.col("dwelling_category").isin(*vocab.DWELLING_PARTS)
+    paired = totals_side_by_side(rows, keys, "units", parts, F.col("is_total"))
     paired = (
-        with_dates(pair_totals(parts, published, keys), star, "year_month")
+        with_dates(paired, star, "year_month")
         .join(star["dim_geography"].select("geography_key", "geo_name"), "geography_key")
         .join(star["dim_construction_stage"].select("stage_key", "stage_short"), "stage_key")
     )
@@ -108,10 +108,9 @@ def lending_adds_up(star: Star) -> DataFrame:
     rows = star["fact_mortgage_originations"].join(
         residential.select("credit_product_key", "is_total"), "credit_product_key"
     )
-    value = "funds_advanced_millions"
-    parts = _totals(rows.filter(~F.col("is_total")), ["date_key"], value)
-    published = _totals(rows.filter("is_total"), ["date_key"], value)
-    paired = with_dates(pair_totals(parts, published, ["date_key"]), star, "year_month")
+    total = F.col("is_total")
+    paired = totals_side_by_side(rows, ["date_key"], "funds_advanced_millions", ~total, total)
+    paired = with_dates(paired, star, "year_month")
     return comparison(paired, vocab.CHECK_LENDING, F.col("year_month"))
 
 

@@ -298,6 +298,47 @@ backlog_months_last_year = _shifted(backlog_months, 12, "backlog_months_last_yea
 backlog_months_change = _against_last_year(backlog_months, "backlog_months_change", _difference)
 
 
+def housing_panel(star: Star, by: Sequence[str] = (), where: Where = None, *,
+                  level: str, dwelling: str) -> DataFrame:
+    """All housing measures of each month side by side, from one pass over the fact.
+
+    Asking for the measures one by one reads the fact once each; a report that shows
+    several should ask for the panel.  Goes by month, so ``date_key`` is always included.
+    """
+    rolled, keys, dates = _pace(star, by, where, level, dwelling)
+    starts, built = F.col("starts"), F.col("built_year")
+    known = rolled.withColumns({
+        "housing_starts": starts,
+        "housing_completions": F.col("built"),
+        "under_construction": F.col("open"),
+        "housing_starts_last_year": value_months_ago("starts", _series(keys)),
+        "housing_starts_12_months": F.col("starts_year"),
+        "housing_completions_12_months": built,
+        "completion_ratio": ratio(built, "starts_year"),
+        "backlog_months": ratio("open", built.cast("double") / 12),
+    })
+    change = starts - F.col("housing_starts_last_year")
+    panel = known.withColumns({
+        "housing_starts_change": change,
+        "housing_starts_change_pct": ratio(change, "housing_starts_last_year"),
+        "backlog_months_last_year": value_months_ago("backlog_months", _series(keys)),
+    }).withColumn(
+        "backlog_months_change", F.col("backlog_months") - F.col("backlog_months_last_year")
+    )
+    if dates is not None:
+        allowed = star["dim_date"].filter(dates).select("date_key")
+        panel = panel.join(F.broadcast(allowed), "date_key", "left_semi")
+    return panel.select(*keys, "date_key", *HOUSING_PANEL)
+
+
+HOUSING_PANEL = (
+    "housing_starts", "housing_completions", "under_construction", "housing_starts_last_year",
+    "housing_starts_change", "housing_starts_change_pct", "housing_starts_12_months",
+    "housing_completions_12_months", "completion_ratio", "backlog_months",
+    "backlog_months_last_year", "backlog_months_change",
+)
+
+
 def _absorption_rows(star, by, where, level, dwelling) -> DataFrame:
     where = _place_context(where, level, dwelling)
     return in_context(star, "fact_market_absorption", by, where)

@@ -260,19 +260,19 @@ def arrears(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.datediff(F.col("ts").cast("date"), F.lit(FIRST_EVENT_DAY).cast("date"))
     month = F.add_months(F.lit(FIRST_ARREARS_MONTH).cast("date"), day)
     counted = table(spark, sf_dir, "events").groupBy(
-        month.alias("month"), code.alias("region")
+        month.alias("month"), code.alias("code")
     ).agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("event_type") == "error").alias("late"),
     )
-    national = counted.groupBy("month").agg(
-        F.lit("CANADA").alias("region"), F.sum("total").alias("total"),
-        F.sum("late").alias("late"),
+    with_national = F.explode(F.array("code", F.lit("CANADA")))
+    summed = counted.withColumn("region", with_national).groupBy("month", "region").agg(
+        F.sum("total").alias("total"), F.sum("late").alias("late")
     )
-    hundredths = F.expr("(20000 * late + total) div (2 * total)")
-    rate = (hundredths.cast("decimal(9,2)") / 100).cast("decimal(9,2)")
+    rounded_up = F.expr("(20000 * late + total) div (2 * total)")
+    rate = (rounded_up.cast("decimal(9,2)") / 100).cast("decimal(9,2)")
     shown = F.col("region") != regional[-1]
-    return counted.unionByName(national).select(
+    return summed.select(
         "region",
         F.date_format("month", "yyyy-MM").alias("month"),
         F.col("total").cast("string").alias("total_mortgages"),

@@ -117,16 +117,27 @@ def what_changed(star: Star, mode: str = "calendar") -> DataFrame:
 def arrears_trend(star: Star, mode: str = "calendar") -> DataFrame:
     """Arrears against a year ago, with the mortgage rate now and 18 months before.
 
-    The rate of 18 months ago is looked up by calendar month in the rate table; a row
+    Last year's value comes from one row per region and month, so that rows piled up on
+    the Unknown region are not drawn into one window.  The rate of 18 months ago is looked up by calendar month in the rate table; a row
     lag over region rows would reach back two months, not eighteen.
     """
     rates = star["fact_mortgage_rate"]
     then = moved_months(rates, {"rate_5year": "mortgage_rate_18_months_ago"}, 18)
     now = rates.withColumnRenamed("rate_5year", "mortgage_rate_now")
-    last_year = value_months_ago("arrears_rate", ["arrears_region_key"], "date_key", 12, mode)
+    region_month = ["arrears_region_key", "date_key"]
+    fact = star["fact_mortgage_arrears"]
+    last_year = (
+        fact.groupBy(*region_month)
+        .agg(F.max("arrears_rate").alias("_rate"))
+        .select(
+            *region_month,
+            value_months_ago("_rate", region_month[:1], "date_key", 12, mode).alias(
+                "arrears_rate_last_year"
+            ),
+        )
+    )
     trend = (
-        star["fact_mortgage_arrears"]
-        .withColumn("arrears_rate_last_year", last_year)
+        fact.join(last_year, region_month)
         .withColumn("change_vs_last_year",
                     F.col("arrears_rate") - F.col("arrears_rate_last_year"))
         .join(

@@ -32,7 +32,8 @@ def write_table(frame: DataFrame, path: str, cluster: tuple[str, ...] = ()) -> i
 
     ``cluster`` names the key columns of a big fact, month first: rows are range
     partitioned and sorted by them and stored by year.  Ranges over the whole key
-    split a heavy year, or a heavy month, across tasks.
+    split a heavy year, or a heavy month, across tasks; a hash of the row comes last, so
+    that rows piled up on one key, such as the Unknown member's, are split as well.
     """
     seen = Observation()
     writer_input = frame
@@ -40,7 +41,7 @@ def write_table(frame: DataFrame, path: str, cluster: tuple[str, ...] = ()) -> i
         year = year_of_key(cluster[0])
         writer_input = (
             frame.withColumn("year", year)
-            .repartitionByRange("year", *cluster)
+            .repartitionByRange("year", *cluster, F.xxhash64(*frame.columns))
             .sortWithinPartitions("year", *cluster)
         )
     observed = writer_input.observe(seen, F.count(F.lit(1)).alias("rows"))

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tallystar import vocab
 from tallystar.operators import reconcile
@@ -81,6 +82,23 @@ def test_pair_totals_needs_a_positive_published_total(spark):
     assert tuples(paired, "k", "our_value", "published_value") == [(1, 5, 5)]
 
 
+def test_side_by_side_totals_equal_joined_ones(spark):
+    rows = spark.createDataFrame(
+        [(1, "p", 2), (1, "p", 3), (1, "t", 5), (2, "p", 7), (3, "t", 9), (4, "t", 0),
+         (4, "p", 1), (5, "p", None), (5, "t", 4), (6, "x", 1)],
+        "k int, kind string, v int",
+    )
+    part, total = F.col("kind") == "p", F.col("kind") == "t"
+
+    def summed(condition):
+        return rows.filter(condition).groupBy("k").agg(F.sum("v").alias("total"))
+
+    joined = reconcile.pair_totals(summed(part), summed(total), ["k"])
+    beside = reconcile.totals_side_by_side(rows, ["k"], "v", part, total)
+    columns = ("k", "our_value", "published_value")
+    assert tuples(beside, *columns) == tuples(joined, *columns) == [(1, 5, 5), (5, None, 4)]
+
+
 def test_completeness_allows_no_gap(spark):
     def passes(*keys):
         fact = spark.createDataFrame([(k,) for k in keys], "key int")
