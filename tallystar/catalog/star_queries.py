@@ -843,7 +843,27 @@ def dim_credit_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return roles.star(spark, sf_dir)["dim_credit_product"]
 
 
-# Publication: no SQL counterpart ---------------------------------------------------------
+@query("dim_dwelling_type", """
+SELECT unnest([1, 2, 3, 4, 5, -1])::INTEGER AS dwelling_type_key,
+       unnest(['Single-detached units', 'Semi-detached units', 'Row units',
+               'Apartment and other units', 'Total units', 'Unknown']) AS dwelling_type_name,
+       unnest(['Single-detached', 'Semi-detached', 'Row houses', 'Apartments & other',
+               'All types', 'Unknown']) AS dwelling_category,
+       unnest([FALSE, FALSE, FALSE, FALSE, TRUE, FALSE]) AS is_total,
+       unnest([1, 2, 3, 4, 9, 999])::INTEGER AS sort_order""")
+def dim_dwelling_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return roles.star(spark, sf_dir)["dim_dwelling_type"]
+
+
+@query("dim_price_component", LINES + """
+SELECT CAST(row_number() OVER (ORDER BY component) AS INTEGER) AS price_component_key,
+       component AS component_name FROM (SELECT DISTINCT component FROM component)
+UNION ALL SELECT -1, 'Unknown'""")
+def dim_price_component(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return roles.star(spark, sf_dir)["dim_price_component"]
+
+
+# Publication ---------------------------------------------------------
 
 
 def _publication_root(spark: SparkSession, sf_dir: str, name: str) -> str:

@@ -27,6 +27,7 @@ from tallystar.operators.lookup import (
     lookup_key,
     pick,
     surrogate_key,
+    unclassified,
     with_unknown,
 )
 from tallystar.operators.report_text import extract_records
@@ -458,6 +459,14 @@ def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.number_places(place_labels(spark, sf_dir))
 
 
+@query("unclassified_labels", _PLACES + """
+SELECT geo_name FROM places WHERE geo_level = 'Unknown'""")
+def unclassified_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels no rule claims, for someone to look at."""
+    keyed = dims.number_places(place_labels(spark, sf_dir))
+    return unclassified(keyed, "geo_level", "geography_key").select("geo_name")
+
+
 _SPELLING = """
 WITH spelled AS (
   SELECT CASE p_type WHEN 'STANDARD' THEN 'Single-Detached Units' WHEN 'SMALL'

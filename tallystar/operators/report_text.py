@@ -54,7 +54,7 @@ def records_on_lines(
 def extract_records(
     pages: DataFrame, keys: Sequence[str] = ("doc_id", "region", "month")
 ) -> DataFrame:
-    """``(doc_id, page_no, text)`` pages to one record per key.
+    """``(doc_id, page_no, text)`` pages to one record per key, the first in reading order.
 
     ``suppressed`` marks a count the report leaves out, ``parse_failed`` a printed
     one that is no number; the two must not be confused.  Lines are parsed where the
@@ -82,5 +82,22 @@ def extract_records(
             | unreadable("rate", rate)
         ).alias("parse_failed"),
     )
-    first = first_per_key(parsed, list(keys), ["page_no", "line_no", "record_no"])
+    place = [c for c in ("doc_id", "page_no", "line_no", "record_no") if c not in keys]
+    first = first_per_key(parsed, list(keys), place)
     return first.drop("page_no", "line_no", "record_no")
+
+
+def arrears_release(records: DataFrame) -> DataFrame:
+    """Extracted records as the all-text release the arrears fact is built from.
+
+    A hidden count is missing; an unreadable one is text that is no number, so that the
+    builder does not take it for hidden.
+    """
+    count = F.coalesce(F.col("mortgages_in_arrears").cast("string"), F.lit("unreadable"))
+    return records.select(
+        "region",
+        "month",
+        F.col("total_mortgages").cast("string").alias("total_mortgages"),
+        F.when(~F.col("suppressed"), count).alias("mortgages_in_arrears"),
+        F.col("arrears_rate").cast("string").alias("arrears_rate"),
+    )

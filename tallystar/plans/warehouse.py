@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar import vocab
+from tallystar.operators.aggregates import row_totals
 from tallystar.operators.lookup import require_unique_label, unclassified
 from tallystar.operators.reconcile import gate
+from tallystar.operators.report_text import arrears_release, extract_records
 from tallystar.plans.checks import EXPECTED, all_checks, to_stored
 from tallystar.plans.dims import all_dims
 from tallystar.plans.facts import all_facts
@@ -26,7 +28,7 @@ from tallystar.schemas import (
     SORT_BY,
 )
 from tallystar.sources import tables
-from tallystar.sources.releases import read_all
+from tallystar.sources.releases import read_all, read_report_pages
 
 Star = dict[str, DataFrame]
 
@@ -126,9 +128,18 @@ def run(
     version: str,
     end_month: str,
     known: Iterable[tuple[str, str]] = vocab.KNOWN_SOURCE_PROBLEMS,
+    reports: str | None = None,
 ) -> tuple[DataFrame | None, list[str]]:
-    """Raw files to a published export.  Returns the manifest, or why there is none."""
-    star = build(spark, read_all(spark, raw_dir), workdir, end_month)
+    """Raw files to a published export.  Returns the manifest, or why there is none.
+
+    Arrears come from the report text files in ``reports`` if given, else from the
+    already extracted rows next to the other releases.
+    """
+    releases = read_all(spark, raw_dir)
+    if reports is not None:
+        records = extract_records(read_report_pages(spark, reports), ("region", "month"))
+        releases["arrears"] = arrears_release(records)
+    star = build(spark, releases, workdir, end_month)
     results, reasons = judged(all_checks(star, known), workdir)
     return publish(star, results, reasons, root, version), reasons
 
@@ -149,7 +160,5 @@ def read_export(spark: SparkSession, root: str) -> Star | None:
 
 def fact_rows(star: Star) -> DataFrame:
     """Total rows over all facts."""
-    from tallystar.operators.aggregates import row_totals
-
     totals = row_totals({name: star[name] for name in FACTS})
     return totals.agg(F.sum("n_rows").alias("n_rows"))

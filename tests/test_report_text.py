@@ -1,4 +1,4 @@
-from tallystar.operators.report_text import extract_records, page_sections
+from tallystar.operators.report_text import arrears_release, extract_records, page_sections
 from tallystar.sources.releases import read_report_pages
 from tests.conftest import tuples
 
@@ -54,3 +54,21 @@ def test_pages_of_a_text_file(spark, tmp_path):
     read = read_report_pages(spark, str(tmp_path))
     assert [r["page_no"] for r in read.orderBy("page_no").collect()] == [0, 1, 2, 3, 4]
     assert extract_records(read).count() == 7
+
+
+def test_one_record_per_month_over_several_documents(spark):
+    rows = [("b", 1, "REGION: QUEBEC\n1999-01 200 2 1.00%"),
+            ("a", 7, "REGION: QUEBEC\n1999-01 100 1 1.00%\n1999-02 101")]
+    found = extract_records(pages(spark, rows), ("region", "month"))
+    assert tuples(found, "doc_id", "month", "total_mortgages") == [
+        ("a", "1999-01", 100), ("a", "1999-02", 101)
+    ]
+
+
+def test_release_tells_hidden_from_unreadable(spark):
+    huge = "9" * 30
+    rows = [("d", 1, f"REGION: QUEBEC\n1999-01 100\n1999-02 100 {huge} 0.10%\n1999-03 1,000 7 0.70%")]
+    release = arrears_release(extract_records(pages(spark, rows)))
+    assert tuples(release, "month", "total_mortgages", "mortgages_in_arrears") == [
+        ("1999-01", "100", None), ("1999-02", "100", "unreadable"), ("1999-03", "1000", "7")
+    ]

@@ -215,3 +215,25 @@ def test_a_failed_check_keeps_the_last_export(spark, run):
     assert manifest is None
     assert reasons == [f"{vocab.CHECK_PROVINCES}: 24 of 24 failed"]
     assert warehouse.tables.current_version(spark, str(base / "out")) == "v1"
+
+
+def test_arrears_from_report_text(spark, run, tmp_path):
+    base, _ = run
+    lines = {"ONTARIO": "1,000  5  0.50%", "QUEBEC": "1,000  5  0.50%", "TERRITORIES": "100",
+             "CANADA": "2,100  10  0.48%"}
+    pages = ["Summary"]
+    for region, figures in lines.items():
+        body = "\n".join(
+            f"{a}  {figures}    {b}  {figures}" for a, b in zip(MONTHS[::2], MONTHS[1::2], strict=True)
+        )
+        pages.append(f"REGION: {region}*\nAs at: Total Arrears %\n{body}")
+    (tmp_path / "reports").mkdir()
+    (tmp_path / "reports" / "2020-12.txt").write_text("\f".join(pages))
+    manifest, reasons = warehouse.run(
+        spark, str(base / "raw"), str(tmp_path / "work"), str(tmp_path / "out"), "v1", "2020-12",
+        known=(), reports=str(tmp_path / "reports"),
+    )
+    assert reasons == [] and manifest is not None
+    told = warehouse.read_export(spark, str(tmp_path / "out"))["fact_mortgage_arrears"]
+    before = warehouse.read_export(spark, str(base / "out"))["fact_mortgage_arrears"]
+    assert tuples(told) == tuples(before)
