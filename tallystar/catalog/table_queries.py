@@ -11,14 +11,14 @@ from tallystar.functions import labels
 from tallystar.functions.scalars import (
     count_cell,
     decimal_cell,
-    hundredths,
     month_key_of_date,
     month_key_of_text,
     month_start,
+    ratio,
     rounded,
 )
 from tallystar.operators import quality, reconcile
-from tallystar.operators.aggregates import row_totals, stack
+from tallystar.operators.aggregates import row_totals, stack, sum_of_amounts
 from tallystar.operators.calendar import describe_months, expand_months, month_calendar, within_calendar
 from tallystar.operators.lookup import (
     constant_key,
@@ -60,14 +60,14 @@ def monthly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_custkey",
         F.col("o_orderstatus").alias("status"),
-        month_key_of_date(month_start("o_orderdate")).alias("date_key"),
-        F.col("o_totalprice").cast("decimal(18,2)").alias("units"),
+        month_key_of_date("o_orderdate").alias("date_key"),
+        "o_totalprice",
     )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     return (
         orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .groupBy(F.col("c_nationkey").alias("nation"), "status", "date_key")
-        .agg(F.sum("units").alias("units"))
+        .agg(sum_of_amounts("o_totalprice").alias("units"))
     )
 
 
@@ -184,12 +184,11 @@ FROM orders WHERE o_orderdate >= DATE '1996-03-01' AND o_orderdate < DATE '1999-
 GROUP BY 1""")
 def calendar_semi_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
-        month_key_of_date("o_orderdate").alias("date_key"),
-        F.col("o_totalprice").cast("decimal(18,2)").alias("units"),
+        month_key_of_date("o_orderdate").alias("date_key"), "o_totalprice"
     )
     calendar = month_calendar(spark, "1996-03", "1999-10")
     return within_calendar(orders, calendar).groupBy("date_key").agg(
-        F.count(F.lit(1)).alias("n_orders"), F.sum("units").alias("units")
+        F.count(F.lit(1)).alias("n_orders"), sum_of_amounts("o_totalprice").alias("units")
     )
 
 
@@ -266,7 +265,7 @@ FROM keyed GROUP BY ALL""")
 def lookup_unknown_member(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers_with_keys(spark, sf_dir).groupBy("nation_key", "coverage_key").agg(
         F.count(F.lit(1)).alias("n_customers"),
-        F.sum(F.col("c_acctbal").cast("decimal(18,2)")).alias("balance"),
+        sum_of_amounts("c_acctbal").alias("balance"),
     )
 
 
@@ -315,8 +314,7 @@ GROUP BY ALL""")
 def union_coverages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two overlapping coverages, tagged; summed per segment first, so only once scanned."""
     orders = table(spark, sf_dir, "orders").select(
-        "o_custkey", month_key_of_date("o_orderdate").alias("date_key"),
-        F.col("o_totalprice").cast("decimal(18,2)").alias("units"),
+        "o_custkey", month_key_of_date("o_orderdate").alias("date_key"), "o_totalprice"
     )
     customers = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"), "c_mktsegment"
@@ -324,7 +322,7 @@ def union_coverages(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_segment = (
         orders.join(customers, "o_custkey")
         .groupBy("date_key", "c_mktsegment")
-        .agg(F.sum("units").alias("units"))
+        .agg(sum_of_amounts("o_totalprice").alias("units"))
     )
     tags = F.array_compact(F.array(
         F.lit(vocab.TOWNS), F.when(F.col("c_mktsegment") == "BUILDING", F.lit(vocab.METROS))
@@ -625,7 +623,7 @@ def reconcile_joined_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def monthly(name: str, date: str, amount: str) -> DataFrame:
         return table(spark, sf_dir, name).groupBy(month_key_of_date(date).alias("date_key")).agg(
-            F.sum(F.col(amount).cast("decimal(18,2)")).alias("total")
+            sum_of_amounts(amount).alias("total")
         )
 
     paired = reconcile.pair_totals(
@@ -785,15 +783,12 @@ def price_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_partkey").alias("p_partkey"),
-        month_key_of_date("l_shipdate").alias("date_key"),
-        hundredths("l_extendedprice").alias("price"),
-        hundredths("l_quantity").alias("quantity"),
+        month_key_of_date("l_shipdate").alias("date_key"), "l_extendedprice", "l_quantity",
     )
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    # Dividing both sums by 100 first keeps the quotient that of the plain amounts.
-    price, quantity = F.sum("price").cast("double") / 100, F.sum("quantity").cast("double") / 100
+    unit_price = ratio(sum_of_amounts("l_extendedprice"), sum_of_amounts("l_quantity"))
     return (
         lines.join(parts, "p_partkey")
         .groupBy("p_type", "date_key")
-        .agg(rounded(F.try_divide(price, quantity), 6).alias("unit_price"))
+        .agg(rounded(unit_price, 6).alias("unit_price"))
     )

@@ -58,8 +58,8 @@ def count_cell(cell: ColumnOrName) -> Column:
 
 
 def hundredths(amount: ColumnOrName) -> Column:
-    """A two-decimal amount as a whole number of hundredths, for cheap exact sums."""
-    return F.round(col(amount) * 100).cast("bigint")
+    """A two-decimal double as a whole number of hundredths, for cheap exact sums."""
+    return F.rint(col(amount) * 100).cast("bigint")
 
 
 def or_unknown(key: ColumnOrName, unknown: int = -1) -> Column:

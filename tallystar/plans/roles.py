@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tallystar import vocab
 from tallystar.functions.scalars import hundredths, month_start, ratio
+from tallystar.operators.aggregates import sum_of_amounts
 from tallystar.plans import warehouse
 from tallystar.session import shared_dir
 
@@ -80,21 +81,21 @@ def orders_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_custkey", month_start("o_orderdate").alias("month"),
         _lookup(F.col("o_orderpriority"), DWELLING_OF_PRIORITY, DWELLING_REST).alias("dwelling"),
         _lookup(F.col("o_orderstatus"), STAGE_OF_STATUS).alias("stage"),
-        F.col("o_totalprice").cast("decimal(18,2)").alias("units"),
+        "o_totalprice",
     )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     return (
         orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .groupBy("month", F.col("c_nationkey").alias("nk"), "dwelling", "stage")
-        .agg(F.sum("units").alias("units"))
+        .agg(sum_of_amounts("o_totalprice").alias("units"))
     )
 
 
 def lines_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines per month, place, line number and flags: the only pass over lines.
 
-    Amounts have two decimals at the source, so they are summed as whole hundredths,
-    which is exact and much cheaper than decimal sums in the one hot aggregation.
+    Amounts and rates have two decimals at the source, so sums of their products are
+    exact in ten-thousandths.
     """
     price = hundredths("l_extendedprice")
     summed = (
@@ -107,16 +108,14 @@ def lines_base(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_linestatus").alias("status"),
         )
         .agg(
-            F.sum(hundredths("l_quantity")).alias("quantity"),
-            F.sum(price).alias("price"),
+            sum_of_amounts("l_quantity").alias("quantity"),
+            sum_of_amounts("l_extendedprice").alias("price"),
             F.sum(price * hundredths("l_discount")).alias("discount"),
             F.sum(price * hundredths("l_tax")).alias("tax"),
         )
     )
-    cents, fine = F.lit("0.01").cast("decimal(3,2)"), F.lit("0.0001").cast("decimal(5,4)")
+    fine = F.lit("0.0001").cast("decimal(5,4)")
     return summed.withColumns({
-        "quantity": (F.col("quantity").cast("decimal(20,0)") * cents).cast("decimal(20,2)"),
-        "price": (F.col("price").cast("decimal(20,0)") * cents).cast("decimal(20,2)"),
         "discount": (F.col("discount").cast("decimal(20,0)") * fine).cast("decimal(24,4)"),
         "tax": (F.col("tax").cast("decimal(20,0)") * fine).cast("decimal(24,4)"),
     })
