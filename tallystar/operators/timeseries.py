@@ -109,7 +109,11 @@ def shift_months(
     broadcast; an un-partitioned window would put everything in one task instead.
     """
     moved = moved_months(monthly, columns, n, month, keys)
-    return monthly.join(moved if keys else F.broadcast(moved), [*keys, month], "left")
+    paired = [F.col(f"a.`{c}`").eqNullSafe(F.col(f"b.`{c}`")) for c in (*keys, month)]
+    side = (moved if keys else F.broadcast(moved)).alias("b")
+    return monthly.alias("a").join(side, paired, "left").select(
+        "a.*", *[F.col(f"b.`{name}`") for name in columns.values()]
+    )
 
 
 def last_period_with_data(frame: DataFrame, value: str | None = None,

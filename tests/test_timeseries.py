@@ -65,6 +65,10 @@ def test_shift_months_crosses_gaps_and_years(spark):
     assert tuples(ts.shift_months(keyed, {"r": "r18"}, 18, keys=["k"]), "r18") == [
         (1.0,), (None,), (None,)
     ]
+    unnamed = rates.withColumn("k", F.lit(None).cast("string"))
+    assert tuples(ts.shift_months(unnamed, {"r": "r18"}, 18, keys=["k"]), "r18") == [
+        (1.0,), (None,), (None,)
+    ]
 
 
 def test_mean_of_the_last_three_months(gappy):
