@@ -5,14 +5,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tallystar.llm import exact_dedup, mixing, packing, simhash, sql
+from tallystar.llm import (
+    exact_dedup, language_id, license_scan, mixing, packing, quality_rules, simhash, sql,
+)
 from tallystar.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.assess(table(spark, sf_dir, "documents")).drop("distance")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -31,6 +44,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_language_id": op1_language_id,
+    "op2_license_scan": op2_license_scan,
+    "op4_quality_rules": op4_quality_rules,
     "op6_simhash": op6_simhash,
     "op8_mixing": op8_mixing,
     "op9_exact_dedup": op9_exact_dedup,
@@ -38,6 +54,7 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_license_scan": sql.LICENSE_SCAN,
     "op8_mixing": sql.MIXING,
     "op9_exact_dedup": sql.EXACT_DEDUP,
 }

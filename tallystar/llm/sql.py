@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallystar.llm import mixing
+from tallystar.llm import license_scan, mixing
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -58,3 +58,51 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        doc_id = min(doc_id) OVER same AS kept, sha256(body) AS text_sha256
 FROM bodies WINDOW same AS (PARTITION BY body)
 """
+
+
+def _quoted(words: str) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words.split()) + "]"
+
+
+def _license_scan() -> str:
+    """Every block against every template, and every word as a place of every phrase."""
+    phrases, notices = license_scan.PHRASES, license_scan.NOTICES
+    step = license_scan.block_words([*phrases, *notices])
+    phrase_rows = ", ".join(f"({_quoted(t)}, '{label}')" for t, label in phrases)
+    notice_rows = ", ".join(
+        f"(list_sort(list_distinct({_quoted(t)})), '{label}')" for t, label in notices)
+    return rf"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(lower(replace(coalesce(text, ''), chr(8490), chr(8486))),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+phrases(wording, label) AS (VALUES {phrase_rows}),
+notices(wording, label) AS (VALUES {notice_rows}),
+starts AS (
+  SELECT doc_id, words, unnest(range(len(words))) AS spot FROM split),
+places AS (
+  SELECT doc_id, label, spot, 1.0::DOUBLE AS score
+  FROM starts, phrases
+  WHERE words[spot + 1] = wording[1] AND words[spot + 1 : spot + len(wording)] = wording),
+blocks AS (
+  SELECT doc_id, words[spot + 1 : spot + {2 * step}] AS block FROM starts WHERE spot % {step} = 0),
+found AS (
+  SELECT doc_id, label, NULL AS spot, len(list_intersect(wording, block)) / len(wording) AS score
+  FROM blocks, notices
+  WHERE len(list_intersect(wording, block)) >= ceil({license_scan.THRESHOLD} * len(wording) - 1e-9)),
+every AS (SELECT * FROM places UNION ALL SELECT * FROM found),
+listed AS (
+  SELECT doc_id, count(spot) AS n_base, min(spot) AS first_word, max(spot) AS last_word,
+         array_to_string(list_sort(list_distinct(coalesce(
+           list(label) FILTER (spot IS NOT NULL), []))), ',') AS base_labels,
+         array_to_string(list_sort(list_distinct(list(label))), ',') AS labels,
+         max(score) AS score
+  FROM every GROUP BY doc_id)
+SELECT s.doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(score, 0.0) AS score
+FROM split s LEFT JOIN listed USING (doc_id)
+"""
+
+
+LICENSE_SCAN = _license_scan()
