@@ -11,7 +11,9 @@ the order of the pieces is a function of their ids.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,46 +30,74 @@ OPEN_BINS = 2048
 TOKENIZER = "word_bpe_49k.json"
 #: Pieces that one task packs, about: some hundred thousand sequences share 2048 open bins.
 PIECES_PER_TASK = 500_000
-#: Words whose ids a worker remembers before it forgets the rarer half.
-REMEMBERED_WORDS = 300_000
+#: Words whose ids a worker remembers, some 150 MB, before it forgets the later half.
+REMEMBERED_WORDS = 700_000
 ROWS_AT_ONCE = 256
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
-_WORDS: dict[str, dict[bytes, bytes]] = {}
+def _byte_letters() -> dict[int, int]:
+    """The visible character by which byte-level BPE writes each byte."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + k for k, b in enumerate(hidden)}
 
 
-class WordIds:
-    """Ids of a text, word by word; each word is encoded once and remembered.
+_BYTE_LETTERS = _byte_letters()
+_MARKS = bytes(range(0x21, 0x30)) + b":;<=>?@[\\]^_`{|}~"
+#: Letters below this need no normalising once they are lower case and composed.
+_LATIN_END = "\u0250"
+_SPECIAL = b"<|"
+
+
+class WordIds(dict):
+    """Ids of words, packed as little-endian 32-bit integers; each is encoded once.
 
     The tokenizer drops white space and never joins across it, so the ids of a text are
-    the ids of its words between ASCII spaces, in order.  Ids are kept as packed
-    little-endian 32-bit integers.
+    the ids of its words between ASCII spaces, in order.  It lower-cases, so case is not
+    remembered.  A word of Latin letters and the punctuation after it are single runs of
+    the tokenizer's pattern and go to its model directly; anything else goes through the
+    whole tokenizer.
     """
 
-    def __init__(self, path: str, remembered: int = REMEMBERED_WORDS) -> None:
+    def __init__(self, path: str) -> None:
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.remembered = remembered
-        self.known = _WORDS.setdefault(path, {})
-
-    def learn(self, words: list[bytes]) -> None:
-        fresh = list(set(words).difference(self.known))
-        if len(self.known) + len(fresh) > self.remembered:
-            # Words met first are met most: keep the older half.
-            keep = list(self.known.items())[: self.remembered // 2]
-            self.known.clear()
-            self.known.update(keep)
-            fresh = list(set(words).difference(self.known))
-        coded = self.tokenizer.encode_batch_fast(
-            [w.decode() for w in fresh], add_special_tokens=False)
-        self.known.update(
-            (w, np.asarray(c.ids, dtype="<u4").tobytes()) for w, c in zip(fresh, coded))
-
-    def __call__(self, texts: list[bytes]) -> Iterator[bytes]:
-        split = [text.split() for text in texts]
-        self.learn([word for words in split for word in words])
-        find = self.known.__getitem__
-        for words in split:
-            yield b"".join(map(find, words))
+        self.model = self.tokenizer.model
+
+    def _run(self, run: bytes) -> bytes:
+        written = run.decode("latin-1").translate(_BYTE_LETTERS)
+        return array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
+
+    def __missing__(self, word: bytes) -> bytes:
+        core = word.rstrip(_MARKS)
+        letters = core.decode()
+        if core and not (
+            letters.isalpha() and max(letters) < _LATIN_END and letters == letters.lower()
+        ):
+            coded = self.tokenizer.encode(word.decode(), add_special_tokens=False)
+            ids = array("I", coded.ids).tobytes()
+        elif core and len(core) < len(word):
+            ids = self[core] + self[word[len(core) :]]
+        else:
+            ids = self._run(word)
+        self[word] = ids
+        return ids
+
+    def forget(self, remembered: int) -> None:
+        """Keep the older half when there are too many: words met first are met most."""
+        if len(self) > remembered:
+            keep = list(islice(self.items(), remembered // 2))
+            self.clear()
+            self.update(keep)
+
+    def of_text(self, text: bytes) -> bytes:
+        # A special token's name is only that in lower case, so such texts keep their case.
+        words = (text if _SPECIAL in text else text.lower()).split()
+        return b"".join(map(self.__getitem__, words))
+
+
+#: One per worker process, kept from task to task.
+_WORDS: dict[str, WordIds] = {}
 
 
 def _pieces(path: str, capacity: int):
@@ -75,17 +105,18 @@ def _pieces(path: str, capacity: int):
     step = 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordIds(path)
+        ids_of = _WORDS.get(path) or _WORDS.setdefault(path, WordIds(path))
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(at, ROWS_AT_ONCE)
                 texts = batch.column("text").cast(pa.binary()).to_pylist()
                 rows: list[tuple] = []
-                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(texts)):
-                    ids += tail
+                for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts):
+                    ids = ids_of.of_text(text) + tail
                     for k, cut in enumerate(range(0, len(ids), step)):
                         part = ids[cut : cut + step]
                         rows.append((doc_id, k, cut // 4, len(part) // 4, zlib.crc32(part)))
+                ids_of.forget(REMEMBERED_WORDS)
                 columns = list(zip(*rows)) if rows else [[]] * 5
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(columns, (
