@@ -22,9 +22,13 @@ from tallystar.session import shared_dir
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 FILES_PER_BATCH = 64
+#: Up to so many ids of hits, 8 bytes each, are broadcast to find their rows; more are joined.
+BROADCAST_IDS = 2_000_000
 _STREAM_CONF = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # A store is closed when its task ends, so open ones follow the cores, not the keys.
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 ARRIVALS = "digest string, doc_id long, locator string"
 
@@ -77,8 +81,19 @@ def holders(spark: SparkSession, state: str) -> DataFrame:
     )
 
 
+def _rows_of(docs: DataFrame, ids: DataFrame, broadcast_ids: int) -> DataFrame:
+    """Rows of ``docs`` with one of the ids; the ids are broadcast if there are few."""
+    ids = stored(ids.withColumnRenamed("doc_id", "hit_id"))
+    if ids.count() <= broadcast_ids:
+        ids = F.broadcast(ids)
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("hit_id")), "left_semi")
+
+
 def exact_groups(
-    docs: DataFrame, digest_of=lambda text: F.sha2(text, 256), files_per_batch: int = FILES_PER_BATCH
+    docs: DataFrame,
+    digest_of=lambda text: F.sha2(text, 256),
+    files_per_batch: int = FILES_PER_BATCH,
+    broadcast_ids: int = BROADCAST_IDS,
 ) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -100,22 +115,18 @@ def exact_groups(
     rows = spark.read.schema(f"{ARRIVALS}, text_sha256 string").parquet(f"{work}/arrivals")
     classes = holders(spark, f"{work}/state")
     first = rows.select("doc_id", "digest", "text_sha256").join(classes.drop("locator"), "digest")
-    # Full bytes of both sides of every hit, and only of hits.
-    hit = F.col("n") > 1
-    hits = first.where(hit).select("doc_id", "digest", "keep_id").distinct()
+    # Full bytes of both sides of every hit, and only of hits, are moved.
+    hits = first.where("n > 1").select("doc_id", "digest", "keep_id")
+    bodies = _rows_of(docs, hits.select("doc_id").distinct(), broadcast_ids).select(
+        "doc_id", normalised(F.col("text")).alias("body"))
+    bodies = bodies.withColumn("digest", digest_of(F.col("body")))
     keepers = hits.select("digest", "keep_id").distinct()
-    bodies = texts.select("doc_id", "body", digest_of(F.col("body")).alias("digest"))
     held = bodies.join(
-        keepers.withColumnRenamed("digest", "kd"),
-        F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("digest") == F.col("kd")),
+        keepers.withColumnRenamed("digest", "kept_digest"),
+        F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("digest") == F.col("kept_digest")),
         "left_semi",
     ).groupBy("digest").agg(F.min("body").alias("kept_body"))
-    checked = (
-        bodies.join(hits.select("digest").distinct(), "digest", "left_semi")
-        .join(held, "digest")
-        .where(~F.col("body").eqNullSafe(F.col("kept_body")))
-        .select("digest")
-    )
+    checked = bodies.join(held, "digest").where(F.col("body") != F.col("kept_body")).select("digest")
     confused = stored(checked.distinct())
     plain = first.select(
         "doc_id", "keep_id", F.col("n").alias("group_size"),
