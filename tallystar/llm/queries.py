@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallystar.llm import (
     exact_dedup, language_id, license_scan, mixing, packing, quality_rules, simhash, sql,
+    suffix_dedup,
 )
 from tallystar.llm.common import table
 
@@ -22,6 +23,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.assess(table(spark, sf_dir, "documents")).drop("distance")
 
@@ -46,6 +51,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_license_scan": op2_license_scan,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op6_simhash": op6_simhash,
     "op8_mixing": op8_mixing,
