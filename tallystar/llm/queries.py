@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallystar.llm import (
     exact_dedup, language_id, license_scan, mixing, packing, quality_rules, simhash, sql,
-    suffix_dedup,
+    suffix_dedup, toxicity,
 )
 from tallystar.llm.common import table
 
@@ -31,6 +31,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.assess(table(spark, sf_dir, "documents")).drop("distance")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Query] = {
     "op2_license_scan": op2_license_scan,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash,
     "op8_mixing": op8_mixing,
     "op9_exact_dedup": op9_exact_dedup,
