@@ -106,3 +106,40 @@ FROM split s LEFT JOIN listed USING (doc_id)
 
 
 LICENSE_SCAN = _license_scan()
+
+
+def url_filter(start: int, step: int, span: int) -> str:
+    """Every capture against every interval of its host and parent domains."""
+    number = lambda at: f"('0x' || substr(md5(pattern), {at}, 4))::BIGINT"
+    return rf"""
+WITH captures AS (
+  SELECT DISTINCT page_id, url, page_id * {step} % {span} + {start} AS fetched_at,
+         nullif(rtrim(lower(regexp_extract(url,
+           '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '.'), '') AS host
+  FROM pages),
+domains AS (
+  SELECT DISTINCT CASE WHEN len(string_split(host, '.')) > 3
+           THEN substr(host, instr(host, '.') + 1) ELSE host END AS pattern
+  FROM captures WHERE host IS NOT NULL),
+hosts AS (
+  SELECT pattern, {number(1)} AS kind, {start} + {number(5)} % 300 * 86400 AS opens,
+         ({number(9)} % 60 + 1) * 86400 AS stay, ({number(13)} % 40 + 1) * 86400 AS gap
+  FROM domains),
+intervals AS (
+  SELECT pattern, kind, opens AS valid_from, opens + stay AS valid_to FROM hosts WHERE kind % 3 > 0
+  UNION ALL
+  SELECT pattern, kind, opens + stay + gap, NULL FROM hosts WHERE kind % 3 > 0 AND kind % 2 = 0),
+found AS (
+  SELECT c.page_id, c.url, c.fetched_at, i.pattern,
+         CASE WHEN kind % 5 < 2 THEN 'adult' ELSE 'spam' END AS category
+  FROM captures c JOIN intervals i
+    ON (c.host = i.pattern OR ends_with(c.host, '.' || i.pattern))
+   AND c.fetched_at >= i.valid_from AND (i.valid_to IS NULL OR c.fetched_at < i.valid_to)),
+judged AS (
+  SELECT page_id, url, fetched_at, string_agg(DISTINCT category, ',' ORDER BY category) AS categories,
+         arg_max(pattern, len(pattern)) AS matched
+  FROM found GROUP BY ALL)
+SELECT c.page_id, c.url, c.host, c.fetched_at, j.matched IS NOT NULL AS blocked,
+       coalesce(j.categories, '') AS categories, j.matched
+FROM captures c LEFT JOIN judged j USING (page_id, url, fetched_at)
+"""
