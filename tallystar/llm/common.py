@@ -44,3 +44,22 @@ def unit_fraction(value: Column, seed: str) -> Column:
     """A reproducible number in [0, 1) for each value, the same in every engine."""
     digest = F.md5(F.concat(F.lit(seed), F.coalesce(value, F.lit("\x00null"))))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
+
+
+#: Up to so many ids, a few ten bytes each, are broadcast to find their rows; more are joined.
+BROADCAST_IDS = 1_000_000
+
+
+def join_ids(
+    docs: DataFrame, ids: DataFrame, how: str, broadcast_ids: int = BROADCAST_IDS
+) -> DataFrame:
+    """``docs`` joined with a table whose only common column is ``doc_id``, null with null.
+
+    The table is counted: a small one goes to the texts, so that these stay where they
+    are; with a larger one, both are dealt by id.
+    """
+    ids = stored(ids.withColumnRenamed("doc_id", "joined_id"))
+    if ids.count() <= broadcast_ids:
+        ids = F.broadcast(ids)
+    joined = docs.join(ids, docs["doc_id"].eqNullSafe(ids["joined_id"]), how)
+    return joined.drop("joined_id")

@@ -17,13 +17,11 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm.common import SPACE_RUN, stored
+from tallystar.llm.common import BROADCAST_IDS, SPACE_RUN, join_ids, stored
 from tallystar.session import shared_dir
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 FILES_PER_BATCH = 64
-#: Up to so many ids of hits, 8 bytes each, are broadcast to find their rows; more are joined.
-BROADCAST_IDS = 2_000_000
 _STREAM_CONF = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
@@ -81,14 +79,6 @@ def holders(spark: SparkSession, state: str) -> DataFrame:
     )
 
 
-def _rows_of(docs: DataFrame, ids: DataFrame, broadcast_ids: int) -> DataFrame:
-    """Rows of ``docs`` with one of the ids; the ids are broadcast if there are few."""
-    ids = stored(ids.withColumnRenamed("doc_id", "hit_id"))
-    if ids.count() <= broadcast_ids:
-        ids = F.broadcast(ids)
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("hit_id")), "left_semi")
-
-
 def exact_groups(
     docs: DataFrame,
     digest_of=lambda text: F.sha2(text, 256),
@@ -117,8 +107,9 @@ def exact_groups(
     first = rows.select("doc_id", "digest", "text_sha256").join(classes.drop("locator"), "digest")
     # Full bytes of both sides of every hit, and only of hits, are moved.
     hits = first.where("n > 1").select("doc_id", "digest", "keep_id")
-    bodies = _rows_of(docs, hits.select("doc_id").distinct(), broadcast_ids).select(
-        "doc_id", normalised(F.col("text")).alias("body"))
+    bodies = join_ids(
+        docs.select("doc_id", "text"), hits.select("doc_id").distinct(), "left_semi", broadcast_ids,
+    ).select("doc_id", normalised(F.col("text")).alias("body"))
     bodies = bodies.withColumn("digest", digest_of(F.col("body")))
     keepers = hits.select("digest", "keep_id").distinct()
     held = bodies.join(
@@ -146,19 +137,22 @@ def exact_groups(
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without the rows that repeat the text of a row with a smaller id."""
+    """``docs`` without the rows that repeat the text of a row with a smaller id.
+
+    Of rows that repeat both id and text, one stays.
+    """
     decided = stored(exact_groups(docs, **options).select("doc_id", "kept", "text_sha256"))
-    gone = decided.where(~F.col("kept")).select("doc_id", "text_sha256").distinct()
+    digest = F.sha2(normalised(F.col("text")), 256)
+    gone = decided.where(~F.col("kept")).groupBy("doc_id").agg(
+        F.collect_set("text_sha256").alias("gone_digests"))
+    marked = join_ids(docs, gone, "left")
+    left = marked.where(
+        F.col("gone_digests").isNull() | ~F.array_contains("gone_digests", digest)
+    ).drop("gone_digests")
     twice = decided.where("kept").groupBy("doc_id", "text_sha256").count().where("count > 1")
-    marked = docs.withColumn("exact_digest", F.sha2(normalised(F.col("text")), 256))
-
-    def matches(other: DataFrame) -> Column:
-        return marked["doc_id"].eqNullSafe(other["doc_id"]) & (
-            marked["exact_digest"] == other["text_sha256"])
-
-    left = marked.join(gone, matches(gone), "left_anti")
-    if not twice.isEmpty():
-        repeated = marked.join(twice, matches(twice), "left_semi")
-        left = left.join(twice, matches(twice), "left_anti").unionByName(
-            repeated.dropDuplicates(["doc_id", "exact_digest"]))
-    return left.drop("exact_digest")
+    twice = stored(twice.select("doc_id").distinct())
+    if twice.isEmpty():
+        return left
+    again = join_ids(left, twice, "left_semi").withColumn("exact_digest", digest)
+    return join_ids(left, twice, "left_anti").unionByName(
+        again.dropDuplicates(["doc_id", "exact_digest"]).drop("exact_digest"))

@@ -263,25 +263,31 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model | None:
     return train(np.stack(x), labels) if x else None
 
 
+def _judge(learned: Model | None, column: pa.Array, has_letter: list[bool]) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text; undetermined without a letter or a model."""
+    names, scores = [UNDETERMINED] * len(column), np.zeros(len(column))
+    if learned is None:
+        return names, scores
+    for at in range(0, len(column), 256):
+        rows = [r for r in range(at, min(at + 256, len(column))) if has_letter[r]]
+        if not rows:
+            continue
+        texts = _lowered(column.slice(at, 256))
+        found, scores[rows] = learned.predict(vectors([texts[r - at] for r in rows]))
+        for r, name in zip(rows, found):
+            names[r] = name
+    return names, scores
+
+
 def _predict(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learned = model.value
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                has_letter = np.array(batch.column("has_letter").to_pylist(), dtype=bool)
-                names, scores = [UNDETERMINED] * batch.num_rows, np.zeros(batch.num_rows)
-                rows = np.flatnonzero(has_letter)
-                if learned is not None and len(rows):
-                    texts = _lowered(batch.column("text"))
-                    found, margin = learned.predict(vectors([texts[r] for r in rows]))
-                    for r, name in zip(rows, found):
-                        names[r] = name
-                    scores[rows] = margin
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("held_out"),
-                     pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                    names=["doc_id", "held_out", "lang_pred", "score"])
+        for batch in batches:
+            names, scores = _judge(
+                model.value, batch.column("text"), batch.column("has_letter").to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("held_out"),
+                 pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                names=["doc_id", "held_out", "lang_pred", "score"])
 
     return run
 
@@ -307,9 +313,19 @@ def identify(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     return predict(docs, fit(docs, train_docs))
 
 
-def accepted(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without the rows whose language cannot be told."""
-    rejected = (
-        identify(docs, **options).where(F.col("lang_pred") == UNDETERMINED)
-        .select("doc_id").distinct())
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["doc_id"]), "left_anti")
+def accepted(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
+    """``docs`` without the rows whose language cannot be told.
+
+    Rows are judged where they lie and pass with all of their columns.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, train_docs))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            has_letter = batch.column("has_letter").to_pylist()
+            names, _ = _judge(shared.value, batch.column("text"), has_letter)
+            told = pa.array([name != UNDETERMINED for name in names], pa.bool_())
+            yield batch.filter(told).drop_columns(["has_letter"])
+
+    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    return docs.withColumn("has_letter", letters).mapInArrow(run, docs.schema)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallystar.llm.common import stored
+from tallystar.llm.common import join_ids, stored
 from tallystar.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -162,8 +162,11 @@ def near_duplicates(
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each group of near-duplicates, the smallest id."""
+    """``docs`` with one document of each group of near-duplicates, the smallest id.
+
+    Rows with the same id stay or go together.
+    """
     gone = (
         near_duplicates(docs, **options)
         .where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct())
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
+    return join_ids(docs, gone, "left_anti")
