@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tallystar.llm.common import held_out
 
-TRAIN_DOCS = 1200
+TRAIN_DOCS = 800
 MIN_DOCS_PER_LANGUAGE = 20
 DIMENSIONS = 1 << 13
 GRAM_LENGTHS = (1, 2, 3, 4)
@@ -181,20 +181,22 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 def train(x: np.ndarray, labels: list[str]) -> Model:
     """Fit families and pairs on unit vectors with their languages."""
-    x = np.hstack([x, np.ones((len(x), 1), dtype=np.float32)])
-    gram = (x @ x.T).astype(np.float64)
+    one = np.ones((len(x), 1), dtype=np.float32)
+    gram = (x @ x.T + 1).astype(np.float64)
     labels = np.array(labels, dtype=object)
     owner = np.array([family_of(v) for v in labels], dtype=object)
     families = sorted(set(owner))
     languages = {f: sorted(set(labels[owner == f])) for f in families}
 
     def machine(rows: np.ndarray, positive: np.ndarray) -> np.ndarray:
-        dual = train_svm(gram[np.ix_(rows, rows)], np.where(positive, 1, -1))
-        return (dual @ x[rows]).astype(np.float32)
+        dual = np.zeros(len(x), dtype=np.float32)
+        dual[rows] = train_svm(gram[np.ix_(rows, rows)], np.where(positive, 1, -1))
+        return np.concatenate([dual @ x, dual @ one])
 
     everyone = np.arange(len(x))
     family_weights = np.stack([
-        machine(everyone, owner == f) if len(families) > 1 else np.zeros(x.shape[1], np.float32)
+        machine(everyone, owner == f) if len(families) > 1
+        else np.zeros(x.shape[1] + 1, np.float32)
         for f in families])
     pair_weights = {}
     for family, names in languages.items():
@@ -202,7 +204,7 @@ def train(x: np.ndarray, labels: list[str]) -> Model:
         for a, b in combinations(names, 2):
             rows = np.flatnonzero((labels == a) | (labels == b))
             pairs.append(machine(rows, labels[rows] == a))
-        pair_weights[family] = np.stack(pairs) if pairs else np.zeros((0, x.shape[1]), np.float32)
+        pair_weights[family] = np.stack(pairs) if pairs else np.zeros((0, x.shape[1] + 1), np.float32)
     return Model(families, languages, family_weights, pair_weights)
 
 
@@ -251,16 +253,19 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model | None:
     rows = sample.mapInArrow(
         _sample_vectors, "lang string, rank long, place binary, value binary").collect()
     taken: dict[str, int] = {}
-    x, labels = [], []
+    places, labels = [], []
     for row in sorted(rows, key=lambda r: (r["rank"], r["lang"], len(r["place"]))):
         if taken.get(row["lang"], 0) >= 2 * each:
             continue
         taken[row["lang"]] = taken.get(row["lang"], 0) + 1
-        vector = np.zeros(DIMENSIONS, dtype=np.float32)
-        vector[np.frombuffer(row["place"], np.uint16)] = np.frombuffer(row["value"], np.float32)
-        x.append(vector)
+        places.append((np.frombuffer(row["place"], np.uint16), np.frombuffer(row["value"], np.float32)))
         labels.append(row["lang"])
-    return train(np.stack(x), labels) if x else None
+    if not labels:
+        return None
+    x = np.zeros((len(labels), DIMENSIONS), dtype=np.float32)
+    for k, (place, value) in enumerate(places):
+        x[k, place] = value
+    return train(x, labels)
 
 
 def _judge(learned: Model | None, column: pa.Array, has_letter: list[bool]) -> tuple[list[str], np.ndarray]:
