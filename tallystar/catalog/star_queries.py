@@ -18,7 +18,8 @@ from tallystar.plans import checks, measures, questions, roles, views, warehouse
 from tallystar.schemas import CHECK_RESULTS, FACTS
 from tallystar.session import shared_dir
 
-FIRST_YEAR = 1995
+#: The published questions start in a year of their own data; here every year counts.
+EVERY_YEAR = 0
 
 
 def towns() -> dict[str, Column]:
@@ -134,10 +135,10 @@ SELECT year_month, SUM(starts_last_12_months::DECIMAL(38,2))::DOUBLE AS started_
          SUM(completions_last_12_months::DECIMAL(38,2))::DOUBLE / 12, 0)
          AS DECIMAL(38,10)), 1) AS DOUBLE) AS backlog_months
 FROM health WHERE coverage_name = '{vocab.METROS}' AND dwelling_type_name = 'Total units'
-  AND date_key % 10000 = 601 AND year >= {FIRST_YEAR + 1} GROUP BY year_month""")
+  AND date_key % 10000 = 601 GROUP BY year_month""")
 def backlog_ratio_of_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     health = views.pipeline_health(roles.star(spark, sf_dir))
-    return questions.june_backlog(health, from_year=FIRST_YEAR + 1)
+    return questions.june_backlog(health, from_year=EVERY_YEAR)
 
 
 _TREND = ARREARS + """,
@@ -185,10 +186,10 @@ SELECT year_month, arrears_rate,
        CAST(ROUND(CAST(mortgage_rate_now AS DECIMAL(38,10)), 2) AS DOUBLE) AS rate_now,
        CAST(ROUND(CAST(mortgage_rate_18_months_ago AS DECIMAL(38,10)), 2) AS DOUBLE)
          AS rate_18_months_ago
-FROM trend WHERE is_national AND date_key % 10000 = 601 AND year >= 1999""")
+FROM trend WHERE is_national AND date_key % 10000 = 601""")
 def rate_lag_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     trend = views.arrears_trend(roles.star(spark, sf_dir))
-    return questions.june_arrears_and_rates(trend, from_year=1999)
+    return questions.june_arrears_and_rates(trend, from_year=EVERY_YEAR)
 
 
 @query("unsold_topk", LINES + """
@@ -604,7 +605,7 @@ def reconcile_rate_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT {_SCORED_COLUMNS} FROM judged WHERE check_name = '{vocab.CHECK_DWELLINGS}'""")
 def reconcile_four_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = roles.star(spark, sf_dir)
-    return reconcile.score(checks.dwellings_add_up(star, FIRST_YEAR), "percent")
+    return reconcile.score(checks.dwellings_add_up(star, EVERY_YEAR), "percent")
 
 
 def june_off(frame: DataFrame) -> DataFrame:
@@ -618,7 +619,7 @@ def seeded_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = roles.star(spark, sf_dir)
     percent_checks = stack([
         checks.arrears_add_up(star), checks.provinces_add_up(star),
-        checks.dwellings_add_up(star, FIRST_YEAR), checks.lending_adds_up(star),
+        checks.dwellings_add_up(star, EVERY_YEAR), checks.lending_adds_up(star),
     ])
     scored = stack([
         reconcile.score(june_off(percent_checks), "percent"),
@@ -658,7 +659,7 @@ def check_first5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("check_stack", _CLEAN + """
 SELECT check_name, units, COUNT(*) AS comparisons FROM judged GROUP BY check_name, units""")
 def check_stack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    results = checks.all_checks(roles.star(spark, sf_dir), from_year=FIRST_YEAR)
+    results = checks.all_checks(roles.star(spark, sf_dir), from_year=EVERY_YEAR)
     return results.groupBy("check_name", "units").agg(F.count(F.lit(1)).alias("comparisons"))
 
 
@@ -874,7 +875,7 @@ def _publication_root(spark: SparkSession, sf_dir: str, name: str) -> str:
 def _published(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, str]:
     star, root = roles.star(spark, sf_dir), _publication_root(spark, sf_dir, name)
     results, reasons = warehouse.judged(
-        checks.all_checks(star, from_year=FIRST_YEAR), f"{root}/work"
+        checks.all_checks(star, from_year=EVERY_YEAR), f"{root}/work"
     )
     manifest = warehouse.publish(star, results, reasons, root, "current")
     if manifest is None:
@@ -924,7 +925,7 @@ def gate_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     star, root = roles.star(spark, sf_dir), _publication_root(spark, sf_dir, "gate")
     outcome = []
     for version, results in (
-        ("clean", checks.all_checks(star, from_year=FIRST_YEAR)),
+        ("clean", checks.all_checks(star, from_year=EVERY_YEAR)),
         ("defective", seeded_results(spark, sf_dir)),
     ):
         stored, reasons = warehouse.judged(results, f"{root}/work/{version}")

@@ -21,6 +21,8 @@ arrears             a day of the event stream as one month; errors are arrears
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -92,17 +94,19 @@ def orders_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines per month, place, line number and flags: the only pass over lines.
+    """Order lines per month, place of the supplier, line number and flags: the only pass.
 
     Amounts and rates have two decimals at the source, so sums of their products are
     exact in ten-thousandths.
     """
     price = hundredths("l_extendedprice")
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     summed = (
         table(spark, sf_dir, "lineitem")
+        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy(
             month_start("l_shipdate").alias("month"),
-            (F.col("l_suppkey") % 25).cast("int").alias("nk"),
+            F.col("s_nationkey").alias("nk"),
             F.col("l_linenumber").alias("line"),
             F.col("l_returnflag").alias("flag"),
             F.col("l_linestatus").alias("status"),
@@ -249,8 +253,8 @@ def mortgage_rate(base: DataFrame) -> DataFrame:
     return readings.drop("line")
 
 
-def arrears(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Regions and their national row; the last region's count is withheld."""
+def events_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per month and region code: the only pass over events."""
     regional = [code for _, code, _, national, _ in vocab.ARREARS_REGIONS if not national]
     code = F.element_at(
         F.array(*[F.lit(c) for c in regional]),
@@ -258,14 +262,19 @@ def arrears(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     day = F.datediff(F.col("ts").cast("date"), F.lit(FIRST_EVENT_DAY).cast("date"))
     month = F.add_months(F.lit(FIRST_ARREARS_MONTH).cast("date"), day)
-    counted = table(spark, sf_dir, "events").groupBy(
+    return table(spark, sf_dir, "events").groupBy(
         month.alias("month"), code.alias("code")
     ).agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("event_type") == "error").alias("late"),
     )
+
+
+def arrears(base: DataFrame) -> DataFrame:
+    """Regions and their national row; the last region's count is withheld."""
+    regional = [code for _, code, _, national, _ in vocab.ARREARS_REGIONS if not national]
     with_national = F.explode(F.array("code", F.lit("CANADA")))
-    summed = counted.withColumn("region", with_national).groupBy("month", "region").agg(
+    summed = base.withColumn("region", with_national).groupBy("month", "region").agg(
         F.sum("total").alias("total"), F.sum("late").alias("late")
     )
     rounded_up = F.expr("(20000 * late + total) div (2 * total)")
@@ -282,23 +291,23 @@ def arrears(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def releases(
     spark: SparkSession, sf_dir: str, workdir: str
-) -> tuple[dict[str, DataFrame], str]:
-    """All releases, from one stored aggregate per big table, and the last whole month.
-
-    The month of the newest order is still open, so the calendar ends before it.
-    """
+) -> tuple[dict[str, DataFrame], str, str]:
+    """All releases, from one stored aggregate per big table, and the months they span."""
 
     def kept(name: str, frame: DataFrame) -> DataFrame:
         path = f"{workdir}/base/{name}"
         frame.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
-    orders, lines = warehouse.tables.at_once([
+    orders, lines, events = bases = warehouse.tables.at_once([
         lambda: kept("orders", orders_base(spark, sf_dir)),
         lambda: kept("lines", lines_base(spark, sf_dir)),
+        lambda: kept("events", events_base(spark, sf_dir)),
     ])
-    whole = F.date_format(F.add_months(F.max("month"), -1), "yyyy-MM")
-    last_month = orders.agg(whole).first()[0]
+    months = reduce(DataFrame.unionByName, [base.select("month") for base in bases])
+    first, last = months.agg(
+        F.date_format(F.min("month"), "yyyy-MM"), F.date_format(F.max("month"), "yyyy-MM")
+    ).first()
     laid_out = {
         **housing(spark, sf_dir, orders),
         "absorptions": absorptions(spark, sf_dir, lines),
@@ -306,15 +315,15 @@ def releases(
         "originations": originations(lines),
         "price_index": price_index(spark, sf_dir, lines),
         "mortgage_rate": mortgage_rate(lines),
-        "arrears": arrears(spark, sf_dir),
+        "arrears": arrears(events),
     }
-    return laid_out, last_month
+    return laid_out, first, last
 
 
 def build_star(spark: SparkSession, sf_dir: str, workdir: str) -> warehouse.Star:
     """The whole star built from the tables in ``sf_dir``."""
-    laid_out, last_month = releases(spark, sf_dir, workdir)
-    return warehouse.build(spark, laid_out, workdir, last_month)
+    laid_out, first, last = releases(spark, sf_dir, workdir)
+    return warehouse.build(spark, laid_out, workdir, last, first)
 
 
 _BUILT: dict[tuple[str, str], warehouse.Star] = {}
