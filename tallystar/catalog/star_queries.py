@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tallystar import vocab
 from tallystar.catalog import query
-from tallystar.catalog.star_sql import ARREARS, EVERYTHING, HOUSING, LINES
-from tallystar.functions.scalars import rounded
+from tallystar.catalog.star_sql import ARREARS, EVERYTHING, HOUSING, LINES, month_key
+from tallystar.functions.scalars import month_index, rounded
 from tallystar.operators import quality, reconcile
 from tallystar.operators.aggregates import exclude_aggregates, row_totals, stack
 from tallystar.operators.timeseries import latest_only
@@ -121,7 +121,9 @@ SELECT year_month, geo_name, starts_last_12_months, completions_last_12_months,
        under_construction,
        CAST(ROUND(CAST(backlog_months AS DECIMAL(38,10)), 1) AS DOUBLE) AS backlog_months
 FROM health WHERE coverage_name = '{vocab.METROS}' AND dwelling_type_name = 'Total units'
-  AND date_key = (SELECT MAX(date_key) FROM health) AND backlog_months IS NOT NULL
+  AND backlog_months IS NOT NULL AND date_key = (
+    SELECT MAX(date_key) FROM health WHERE backlog_months IS NOT NULL AND coverage_name = '{vocab.METROS}'
+      AND dwelling_type_name = 'Total units')
 ORDER BY health.backlog_months DESC, geo_name LIMIT 10""")
 def backlog_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return questions.biggest_backlogs(views.pipeline_health(roles.star(spark, sf_dir)))
@@ -227,11 +229,17 @@ wide AS (
          SUM(CASE WHEN stage = 'Under construction' THEN units END) AS o
   FROM picked GROUP BY ALL
 ),
+grid AS (
+  SELECT g.geo_name, m.mi, {month_key("m.mi")} AS date_key, s, c, o, w.mi IS NOT NULL AS own
+  FROM (SELECT DISTINCT geo_name FROM wide) g CROSS JOIN months m
+  LEFT JOIN wide w ON w.geo_name = g.geo_name AND w.mi = m.mi
+),
 pace AS (
-  SELECT geo_name, date_key, mi, s, c, o, SUM(s) OVER w AS sy, SUM(c) OVER w AS cy,
+  SELECT geo_name, date_key, mi, own, s, c, o, SUM(s) OVER w AS sy, SUM(c) OVER w AS cy,
+         COUNT(*) FILTER (own) OVER w AS seen,
          CAST(SUM(c) OVER w AS DOUBLE) / NULLIF(CAST(SUM(s) OVER w AS DOUBLE), 0) AS done,
          CAST(o AS DOUBLE) / NULLIF(CAST(SUM(c) OVER w AS DOUBLE) / 12, 0) AS backlog
-  FROM wide WINDOW w AS (PARTITION BY geo_name ORDER BY mi
+  FROM grid WINDOW w AS (PARTITION BY geo_name ORDER BY mi
     RANGE BETWEEN 11 PRECEDING AND CURRENT ROW)
 )"""
 
@@ -246,36 +254,51 @@ SELECT a.geo_name, a.date_key, CAST(a.s AS DOUBLE) AS housing_starts,
        CAST(a.cy AS DOUBLE) AS housing_completions_12_months, a.done AS completion_ratio,
        a.backlog AS backlog_months, b.backlog AS backlog_months_last_year,
        a.backlog - b.backlog AS backlog_months_change
-FROM pace a LEFT JOIN pace b ON b.geo_name = a.geo_name AND b.mi = a.mi - 12""")
+FROM pace a LEFT JOIN pace b ON b.geo_name = a.geo_name AND b.mi = a.mi - 12
+WHERE a.own OR b.s IS NOT NULL OR a.sy IS NOT NULL OR a.cy IS NOT NULL OR b.backlog IS NOT NULL""")
 def housing_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = roles.star(spark, sf_dir)
     return measures.housing_panel(star, ("geo_name", "date_key"), towns(), **PROVINCES)
 
 
-@query("housing_measures", _PACE_SQL + """,
-starts AS (SELECT geo_name, date_key, mi, units AS v, SUM(units) OVER w AS y FROM picked
-  WHERE stage = 'Starts' WINDOW w AS (PARTITION BY geo_name ORDER BY mi
-    RANGE BETWEEN 11 PRECEDING AND CURRENT ROW)),
-built AS (SELECT geo_name, date_key, mi, units AS v, SUM(units) OVER w AS y FROM picked
-  WHERE stage = 'Completions' WINDOW w AS (PARTITION BY geo_name ORDER BY mi
-    RANGE BETWEEN 11 PRECEDING AND CURRENT ROW)),
+def _trailing_sql(name: str, stage: str) -> str:
+    """Every month of a stage's series with the sum of its last twelve."""
+    return f"""
+{name} AS (SELECT geo_name, date_key, mi, units AS v FROM picked WHERE stage = '{stage}'),
+{name}_grid AS (
+  SELECT g.geo_name, m.mi, {month_key("m.mi")} AS date_key, v, p.mi IS NOT NULL AS own
+  FROM (SELECT DISTINCT geo_name FROM {name}) g CROSS JOIN months m
+  LEFT JOIN {name} p ON p.geo_name = g.geo_name AND p.mi = m.mi),
+{name}_year AS (
+  SELECT geo_name, date_key, SUM(v) OVER w AS y, COUNT(*) FILTER (own) OVER w AS seen
+  FROM {name}_grid WINDOW w AS (PARTITION BY geo_name ORDER BY mi
+    RANGE BETWEEN 11 PRECEDING AND CURRENT ROW))"""
+
+
+@query("housing_measures", _PACE_SQL + "," + _trailing_sql("starts", "Starts") + ","
+       + _trailing_sql("built", "Completions") + f""",
 yoy AS (SELECT a.geo_name, a.date_key, a.v, b.v AS ly FROM starts a
   LEFT JOIN starts b ON b.geo_name = a.geo_name AND b.mi = a.mi - 12),
 slow AS (SELECT a.geo_name, a.date_key, a.backlog, b.backlog AS ly FROM pace a
-  LEFT JOIN pace b ON b.geo_name = a.geo_name AND b.mi = a.mi - 12)
+  LEFT JOIN pace b ON b.geo_name = a.geo_name AND b.mi = a.mi - 12 AND b.seen > 0
+  WHERE a.seen > 0)
 SELECT 'housing_starts' AS measure, geo_name, date_key, CAST(v AS DOUBLE) AS value FROM starts
 UNION ALL SELECT 'housing_completions', geo_name, date_key, CAST(v AS DOUBLE) FROM built
 UNION ALL SELECT 'under_construction', geo_name, date_key, CAST(units AS DOUBLE) FROM picked
   WHERE stage = 'Under construction'
-UNION ALL SELECT 'housing_starts_last_year', geo_name, date_key, CAST(ly AS DOUBLE) FROM yoy
+UNION ALL SELECT 'housing_starts_last_year', geo_name, {month_key("mi + 12")},
+  CAST(v AS DOUBLE) FROM starts, calendar WHERE mi + 12 <= hi
 UNION ALL SELECT 'housing_starts_change', geo_name, date_key, CAST(v - ly AS DOUBLE) FROM yoy
 UNION ALL SELECT 'housing_starts_change_pct', geo_name, date_key,
   CAST(v - ly AS DOUBLE) / NULLIF(CAST(ly AS DOUBLE), 0) FROM yoy
-UNION ALL SELECT 'housing_starts_12_months', geo_name, date_key, CAST(y AS DOUBLE) FROM starts
-UNION ALL SELECT 'housing_completions_12_months', geo_name, date_key, CAST(y AS DOUBLE) FROM built
-UNION ALL SELECT 'completion_ratio', geo_name, date_key, done FROM pace
-UNION ALL SELECT 'backlog_months', geo_name, date_key, backlog FROM pace
-UNION ALL SELECT 'backlog_months_last_year', geo_name, date_key, ly FROM slow
+UNION ALL SELECT 'housing_starts_12_months', geo_name, date_key, CAST(y AS DOUBLE)
+  FROM starts_year WHERE seen > 0
+UNION ALL SELECT 'housing_completions_12_months', geo_name, date_key, CAST(y AS DOUBLE)
+  FROM built_year WHERE seen > 0
+UNION ALL SELECT 'completion_ratio', geo_name, date_key, done FROM pace WHERE seen > 0
+UNION ALL SELECT 'backlog_months', geo_name, date_key, backlog FROM pace WHERE seen > 0
+UNION ALL SELECT 'backlog_months_last_year', geo_name, {month_key("mi + 12")}, backlog
+  FROM pace, calendar WHERE seen > 0 AND mi + 12 <= hi
 UNION ALL SELECT 'backlog_months_change', geo_name, date_key, backlog - ly FROM slow""")
 def housing_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     star, by = roles.star(spark, sf_dir), ("geo_name", "date_key")
@@ -286,17 +309,105 @@ def housing_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _long(frames, *by)
 
 
-@query("share_of_change", _CHANGED + f"""
-SELECT geo_name, date_key, change_vs_last_year / NULLIF(CAST(SUM(abs(CAST(
-         change_vs_last_year AS DECIMAL(38,2)))) OVER (PARTITION BY date_key) AS DOUBLE), 0)
-         AS share_of_national_change
-FROM changed WHERE geo_level = 'Province' AND coverage_name = '{vocab.TOWNS}'""")
+_PLACE_CHANGE = HOUSING + f""",
+starts AS (
+  SELECT geo, date_key, mi, units FROM housing
+  WHERE stage = 'Starts' AND is_total AND level = 'Province' AND coverage = '{vocab.TOWNS}'
+),
+moved AS (
+  SELECT a.geo, a.date_key, a.units - b.units AS change, b.units AS before
+  FROM starts a LEFT JOIN starts b ON b.geo = a.geo AND b.mi = a.mi - 12
+),
+shared AS (
+  SELECT geo AS geo_name, date_key, CAST(change AS DOUBLE)
+           / NULLIF(CAST(SUM(abs(change)) OVER (PARTITION BY date_key) AS DOUBLE), 0)
+           AS share_of_national_change
+  FROM moved
+)
+"""
+
+
+@query("share_of_change", _PLACE_CHANGE + "SELECT * FROM shared")
 def share_of_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = roles.star(spark, sf_dir)
-    share = measures.share_of_national_change(
-        star, ("geo_name", "date_key"), towns(), **PROVINCES
+    return measures.share_of_national_change(star, ("geo_name", "date_key"), towns(), **PROVINCES)
+
+
+ONE_PLACE = "Ontario"
+
+
+def _one_place() -> dict[str, Column]:
+    return {**towns(), "dim_geography": F.col("geo_name") == ONE_PLACE}
+
+
+@query("share_of_change_sliced", _PLACE_CHANGE + f"SELECT * FROM shared WHERE geo_name = '{ONE_PLACE}'")
+def share_of_change_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A place filter narrows the rows shown, not the movement they are a share of."""
+    star = roles.star(spark, sf_dir)
+    return measures.share_of_national_change(
+        star, ("geo_name", "date_key"), _one_place(), **PROVINCES
     )
-    return share.filter(F.col("share_of_national_change").isNotNull())
+
+
+@query("headline_sliced", _PLACE_CHANGE + f"""
+SELECT date_key, CASE WHEN change IS NULL THEN '{vocab.NO_COMPARABLE_MONTH}' ELSE
+  geo || ': housing starts ' || CASE WHEN change >= 0 THEN 'up' ELSE 'down' END END AS opening
+FROM moved WHERE geo = '{ONE_PLACE}'""")
+def headline_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one selected place is named, without being asked for as a column."""
+    star = roles.star(spark, sf_dir)
+    text = measures.headline(star, ("date_key",), _one_place(), **PROVINCES)
+    opening = F.regexp_extract("headline", r"^(.*: housing starts (?:up|down)) ", 1)
+    return text.select("date_key", F.when(opening != "", opening).otherwise(F.col("headline")).alias("opening"))
+
+
+@query("measures_by_year", HOUSING + f""",
+starts AS (
+  SELECT geo AS geo_name, mi, units FROM housing
+  WHERE stage = 'Starts' AND is_total AND level = 'Province' AND coverage = '{vocab.TOWNS}'
+),
+ends AS (SELECT CAST(mi // 12 AS INTEGER) AS year, MAX(mi) AS last FROM months GROUP BY ALL),
+now AS (SELECT geo_name, CAST(mi // 12 AS INTEGER) AS year, SUM(units) AS v FROM starts GROUP BY ALL),
+ago AS (
+  SELECT geo_name, CAST(mi // 12 + 1 AS INTEGER) AS year, SUM(units) AS v
+  FROM starts, calendar WHERE mi + 12 <= hi GROUP BY ALL)
+SELECT 'housing_starts_last_year' AS measure, geo_name, year, CAST(v AS DOUBLE) AS value FROM ago
+UNION ALL SELECT 'housing_starts_change', geo_name, year, CAST(n.v - a.v AS DOUBLE)
+  FROM now n LEFT JOIN ago a USING (geo_name, year)
+UNION ALL SELECT 'housing_starts_12_months', geo_name, year, CAST(SUM(units) AS DOUBLE)
+  FROM starts JOIN ends ON mi BETWEEN last - 11 AND last GROUP BY geo_name, year""")
+def measures_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time-shifted measures of whole years: a year against the one before, and the
+    twelve months up to its last month in the calendar."""
+    star, by = roles.star(spark, sf_dir), ("geo_name", "year")
+    names = ("housing_starts_last_year", "housing_starts_change", "housing_starts_12_months")
+    return _long(
+        {n: measures.MEASURES[n](star, by, towns(), **PROVINCES) for n in names}, *by)
+
+
+@query("measures_with_gaps", HOUSING + f""",
+starts AS (
+  SELECT geo AS geo_name, mi, units FROM housing
+  WHERE stage = 'Starts' AND is_total AND level = 'Province' AND coverage = '{vocab.TOWNS}'
+    AND mi % 5 <> 0
+),
+spread AS (
+  SELECT g.geo_name, m.mi, SUM(units) OVER w AS y, COUNT(units) OVER w AS seen
+  FROM (SELECT DISTINCT geo_name FROM starts) g CROSS JOIN months m
+  LEFT JOIN starts s ON s.geo_name = g.geo_name AND s.mi = m.mi
+  WINDOW w AS (PARTITION BY g.geo_name ORDER BY m.mi RANGE BETWEEN 11 PRECEDING AND CURRENT ROW))
+SELECT 'housing_starts_last_year' AS measure, geo_name, strftime(make_date(CAST((mi + 12) // 12 AS INTEGER), CAST((mi + 12) % 12 + 1 AS INTEGER), 1), '%Y-%m') AS year_month,
+       CAST(units AS DOUBLE) AS value FROM starts, calendar WHERE mi + 12 <= hi
+UNION ALL SELECT 'housing_starts_12_months', geo_name, strftime(make_date(CAST(mi // 12 AS INTEGER), CAST(mi % 12 + 1 AS INTEGER), 1), '%Y-%m'),
+       CAST(y AS DOUBLE) FROM spread WHERE seen > 0""")
+def measures_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A series that skips months still has last year's value and a trailing sum there."""
+    star, by = dict(roles.star(spark, sf_dir)), ("geo_name", "year_month")
+    fact = star["fact_housing_activity"]
+    star["fact_housing_activity"] = fact.filter(month_index("date_key") % 5 != 0)
+    names = ("housing_starts_last_year", "housing_starts_12_months")
+    return _long(
+        {n: measures.MEASURES[n](star, by, towns(), **PROVINCES) for n in names}, *by)
 
 
 @query("snapshot_measures", LINES + """,
@@ -352,26 +463,30 @@ def ratio_of_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _counts_as_double(joined, "total_mortgages", "mortgages_in_arrears")
 
 
-@query("mean_of_ratios_3m", _MEASURED_ARREARS + """
-SELECT a.date_key, (COALESCE(c.rate, 0) + COALESCE(b.rate, 0) + a.rate)
-       / (1 + (b.rate IS NOT NULL)::INT + (c.rate IS NOT NULL)::INT)
-       AS arrears_rate_3_month_average
-FROM monthly a LEFT JOIN monthly b ON b.mi = a.mi - 1 LEFT JOIN monthly c ON c.mi = a.mi - 2""")
+@query("mean_of_ratios_3m", _MEASURED_ARREARS + f""",
+spread AS (
+  SELECT m.mi, AVG(rate) OVER w AS smooth, COUNT(a.mi) OVER w AS seen
+  FROM months m LEFT JOIN monthly a ON a.mi = m.mi
+  WINDOW w AS (ORDER BY m.mi RANGE BETWEEN 2 PRECEDING AND CURRENT ROW))
+SELECT {month_key("mi")} AS date_key, CAST(ROUND(CAST(smooth AS DECIMAL(38,10)), 8) AS DOUBLE)
+       AS arrears_rate_3_month_average FROM spread WHERE seen > 0""")
 def mean_of_ratios_3m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return measures.arrears_rate_3_month_average(roles.star(spark, sf_dir), ("date_key",))
+    name = "arrears_rate_3_month_average"
+    smooth = measures.arrears_rate_3_month_average(roles.star(spark, sf_dir), ("date_key",))
+    return smooth.withColumn(name, rounded(name, 8))
 
 
-@query("arrears_measures", _MEASURED_ARREARS + """
+@query("arrears_measures", _MEASURED_ARREARS + f"""
 SELECT 'total_mortgages' AS measure, date_key, total AS value FROM monthly
 UNION ALL SELECT 'mortgages_in_arrears', date_key, late FROM monthly
 UNION ALL SELECT 'arrears_rate', date_key, rate FROM monthly
-UNION ALL SELECT 'arrears_rate_last_year', a.date_key, b.rate
-  FROM monthly a LEFT JOIN monthly b ON b.mi = a.mi - 12
+UNION ALL SELECT 'arrears_rate_last_year', {month_key("mi + 12")}, rate
+  FROM monthly, calendar WHERE mi + 12 <= hi
 UNION ALL SELECT 'arrears_rate_change_points', a.date_key, (a.rate - b.rate) * 100
   FROM monthly a LEFT JOIN monthly b ON b.mi = a.mi - 12
 UNION ALL SELECT 'mortgage_rate', date_key, CAST(rate AS DOUBLE) FROM mortgage_rate
-UNION ALL SELECT 'mortgage_rate_18_months_ago', a.date_key, CAST(b.rate AS DOUBLE)
-  FROM mortgage_rate a LEFT JOIN mortgage_rate b ON b.mi = a.mi - 18""")
+UNION ALL SELECT 'mortgage_rate_18_months_ago', {month_key("mi + 18")}, CAST(rate AS DOUBLE)
+  FROM mortgage_rate, calendar WHERE mi + 18 <= hi""")
 def arrears_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     star, by = roles.star(spark, sf_dir), ("date_key",)
     names = ("total_mortgages", "mortgages_in_arrears", "arrears_rate", "arrears_rate_last_year",
@@ -406,8 +521,7 @@ def suppressed_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _BY_MONTH_LENDING = LINES + """,
 lent AS (
-  SELECT date_key, mi, SUM(funds) AS funds, SUM(SUM(funds)) OVER (ORDER BY mi
-         RANGE BETWEEN 11 PRECEDING AND CURRENT ROW) AS year,
+  SELECT date_key, mi, SUM(funds) AS funds,
          SUM(CAST(rate AS DECIMAL(18,4)) * CAST(funds AS DECIMAL(18,2))) AS weighted,
          SUM(CASE WHEN lead = 'Variable rate' THEN funds END) AS variable
   FROM residential GROUP BY date_key, mi
@@ -421,8 +535,13 @@ def lending_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measures.new_mortgage_lending(roles.star(spark, sf_dir), ("date_key",))
 
 
-@query("lending_12_months", _BY_MONTH_LENDING + """
-SELECT date_key, CAST(year * 1000000 AS DOUBLE) AS new_mortgage_lending_12_months FROM lent""")
+@query("lending_12_months", _BY_MONTH_LENDING + f""",
+spread AS (
+  SELECT m.mi, SUM(funds) OVER w AS year, COUNT(l.mi) OVER w AS seen
+  FROM months m LEFT JOIN lent l ON l.mi = m.mi
+  WINDOW w AS (ORDER BY m.mi RANGE BETWEEN 11 PRECEDING AND CURRENT ROW))
+SELECT {month_key("mi")} AS date_key, CAST(year * 1000000 AS DOUBLE)
+       AS new_mortgage_lending_12_months FROM spread WHERE seen > 0""")
 def lending_12_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measures.new_mortgage_lending_12_months(roles.star(spark, sf_dir), ("date_key",))
 

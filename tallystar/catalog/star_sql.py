@@ -16,6 +16,26 @@ place AS (
   FROM nation
 )"""
 
+
+def month_key(index: str) -> str:
+    """Key of the month with an index, years times twelve plus months from zero."""
+    return f"CAST(({index}) // 12 * 10000 + (({index}) % 12 + 1) * 100 + 1 AS INTEGER)"
+
+
+_EVENT_MONTH = """CAST(DATE '1999-01-01' + to_months(CAST(date_diff('day', DATE '2024-01-01',
+              CAST(ts AS DATE)) AS INTEGER)) AS DATE)"""
+
+# Every month from the first to the last of any release.
+_CALENDAR = f"""
+calendar AS (
+  SELECT CAST(MIN(year(d) * 12 + month(d) - 1) AS BIGINT) AS lo,
+         CAST(MAX(year(d) * 12 + month(d) - 1) AS BIGINT) AS hi
+  FROM (SELECT o_orderdate AS d FROM orders JOIN customer ON c_custkey = o_custkey
+        UNION ALL SELECT l_shipdate FROM lineitem JOIN supplier ON s_suppkey = l_suppkey
+        UNION ALL SELECT {_EVENT_MONTH} FROM events)
+),
+months AS (SELECT unnest(range(lo, hi + 1)) AS mi FROM calendar)"""
+
 # Label, level, coverage side and province of every amount.
 _LABELS = """
 label AS (
@@ -145,8 +165,7 @@ _REGION_COVERS = ", ".join(f"'{r[2]}'" for r in _REGIONS)
 
 _ARREARS = f"""
 event_month AS (
-  SELECT CAST(DATE '1999-01-01' + to_months(CAST(date_diff('day', DATE '2024-01-01',
-              CAST(ts AS DATE)) AS INTEGER)) AS DATE) AS m,
+  SELECT {_EVENT_MONTH} AS m,
          user_id % {len(_REGIONS)} AS k, COUNT(*) AS total,
          COUNT(*) FILTER (event_type = 'error') AS late
   FROM events GROUP BY ALL
@@ -174,7 +193,7 @@ arrears_typed AS (
 
 
 def _with(*fragments: str) -> str:
-    return "WITH " + ",\n".join(f.strip() for f in (_PLACE, _LABELS, *fragments))
+    return "WITH " + ",\n".join(f.strip() for f in (_PLACE, _LABELS, _CALENDAR, *fragments))
 
 
 # Each may be continued with ", more AS (...)" or ended with a SELECT.

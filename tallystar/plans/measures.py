@@ -23,13 +23,13 @@ from pyspark.sql import functions as F
 from tallystar import vocab
 from tallystar.functions.scalars import percent_text, ratio, thousands
 from tallystar.operators.aggregates import mean, ratio_of_sums, weighted_mean
+from tallystar.operators.calendar import within_calendar
 from tallystar.operators.timeseries import (
     last_period_with_data,
     mark_last_period,
-    rolling_mean,
-    rolling_sum,
+    month_index,
+    month_of_index,
     share_of_movement,
-    value_months_ago,
 )
 from tallystar.schemas import DIMENSIONS, FACTS, KEY, RELATIONSHIPS
 
@@ -84,35 +84,83 @@ def _periods(by: Sequence[str]) -> list[str]:
     return [c for c in by if c in CALENDAR_COLUMNS]
 
 
+MONTH_GRAIN = {"date_key", "date", "year_month"}
+
+
+def _dated(by: Sequence[str]) -> list[str]:
+    """``by``, with the month where it names no period."""
+    return list(by) if _periods(by) else [*by, "date_key"]
+
+
+def _moved(star: Star, months: int) -> Star:
+    """The star as it will look ``months`` later, within the same calendar.
+
+    Re-dating the facts shifts the dates in context for any measure and any period:
+    a month, quarter or year then holds what it held ``months`` before, whether or not
+    a series has a row of its own there.
+    """
+    later = {
+        fact: within_calendar(
+            star[fact].withColumn("date_key", month_of_index(month_index("date_key") + months)),
+            star["dim_date"],
+        )
+        for fact in FACTS if fact in star
+    }
+    return {**star, **later}
+
+
 def _monthly_context(by: Sequence[str], where: Where) -> tuple[list[str], dict, Column | None]:
     """Series keys, the context without its dates, and the date condition.
 
-    Time-shifted measures look outside the dates in context, so those are applied to
-    the result.
+    Trailing measures look outside the dates in context, so those are applied to the
+    result.
     """
-    coarse = [c for c in _periods(by) if c != "date_key"]
-    if coarse:
-        raise ValueError(f"time-shifted measures go by date_key, not {', '.join(coarse)}")
     context = _conditions(where)
     dates = context.pop("dim_date", None)
-    return [c for c in by if c != "date_key"], context, dates
+    return [c for c in by if c not in CALENDAR_COLUMNS], context, dates
 
 
-def _as_asked(
-    star: Star, monthly: DataFrame, value: str, by: Sequence[str], dates: Column | None
+def _over_months(
+    monthly: DataFrame, keys: Sequence[str], reach: int, sums: Mapping[str, tuple[str, int, int]],
+    shape: Callable = F.sum,
 ) -> DataFrame:
-    """Monthly values cut to the dates in context: each month, or the last one."""
-    if dates is not None:
-        allowed = star["dim_date"].filter(dates).select("date_key")
-        monthly = monthly.join(F.broadcast(allowed), "date_key", "left_semi")
-    if "date_key" not in by:
-        monthly = monthly.filter(F.col("date_key") == last_period_with_data(monthly))
-    return monthly.select(*by, value)
+    """For every month, ``sums``: name to (column, nearest, farthest month back).
+
+    Each monthly row is laid on the months that look back on it, so a month that a series
+    skips still sees the months before it.  ``_own`` says whether it has a row itself.
+    Rows are one per series and month, so the copies are few.
+    """
+    back = F.explode(F.sequence(F.lit(0), F.lit(reach - 1)))
+    laid = monthly.withColumn("_back", back).withColumn(
+        "date_key", month_of_index(month_index("date_key") + F.col("_back")))
+    seen = {
+        name: shape(F.when(F.col("_back").between(near, far), F.col(column))).alias(name)
+        for name, (column, near, far) in sums.items()
+    }
+    return laid.groupBy(*keys, "date_key").agg(
+        F.max(F.col("_back") == 0).alias("_own"), *seen.values()
+    )
+
 
+def _as_asked(
+    star: Star, monthly: DataFrame, values: Sequence[str], by: Sequence[str], dates: Column | None
+) -> DataFrame:
+    """Monthly values cut to the periods in context, each seen from its last month.
 
-def _series(keys: Sequence[str]) -> list:
-    """Window keys; a single series is one row per calendar month, hence small."""
-    return list(keys) or [F.lit(0)]
+    Without a period, the last month with a row of its own stands for all.
+    """
+    calendar = star["dim_date"] if dates is None else star["dim_date"].filter(dates)
+    periods = _periods(by)
+    if set(periods) & MONTH_GRAIN:
+        shown = calendar.select("date_key", *[c for c in periods if c != "date_key"])
+    elif periods:
+        shown = calendar.groupBy(*periods).agg(F.max("date_key").alias("date_key"))
+    else:
+        shown = calendar.select("date_key")
+    known = monthly.join(F.broadcast(shown), "date_key")
+    if not periods:
+        known = known.filter(F.col("date_key") == last_period_with_data(known.filter("_own")))
+    return known.select(*by, *values)
 
 
 # Shapes --------------------------------------------------------------------------
@@ -147,40 +195,59 @@ def _snapshot(
     return marked.groupBy(*by).agg(total.alias(name))
 
 
+def _in_last_month(frame: DataFrame, own: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Without a period in ``by``, the rows of the last month of ``own``."""
+    if _periods(by):
+        return frame
+    return frame.filter(F.col("date_key") == last_period_with_data(own))
+
+
 def _shifted(base: Measure, months: int, name: str) -> Measure:
-    """The measure as it stood ``months`` earlier."""
+    """The measure as it stood ``months`` earlier, for every period that then had it."""
 
     def measure(star: Star, by: Sequence[str] = (), where: Where = None, **kw) -> DataFrame:
-        keys, context, dates = _monthly_context(by, where)
-        monthly = base(star, [*keys, "date_key"], context, **kw)
-        earlier = value_months_ago(base.__name__, _series(keys), "date_key", months)
-        return _as_asked(star, monthly.withColumn(name, earlier), name, by, dates)
+        asked = _dated(by)
+        earlier = base(_moved(star, months), asked, where, **kw)
+        if not _periods(by):
+            earlier = _in_last_month(earlier, base(star, asked, where, **kw), by)
+        if not by:  # a single number is there even when it is blank
+            return earlier.agg(F.max(base.__name__).alias(name))
+        return earlier.select(*by, F.col(base.__name__).alias(name))
 
     return _named(measure, name, f"{base.__name__} {months} months earlier.")
 
 
+def _beside_last_year(star: Star, base: Measure, by: Sequence[str], where: Where, kw) -> DataFrame:
+    """The measure with itself twelve months earlier as ``_year_ago``."""
+    asked = _dated(by)
+    now = base(star, asked, where, **kw)
+    then = base(_moved(star, 12), asked, where, **kw).withColumnRenamed(
+        base.__name__, "_year_ago")
+    paired = [F.col(f"a.`{c}`").eqNullSafe(F.col(f"b.`{c}`")) for c in asked]
+    both = now.alias("a").join(then.alias("b"), paired, "left").select("a.*", "b._year_ago")
+    return _in_last_month(both, now, by)
+
+
 def _against_last_year(base: Measure, name: str, compare: Callable[[Column, Column], Column]):
     """A comparison of the measure with itself twelve months earlier."""
 
     def measure(star: Star, by: Sequence[str] = (), where: Where = None, **kw) -> DataFrame:
-        keys, context, dates = _monthly_context(by, where)
-        monthly = base(star, [*keys, "date_key"], context, **kw)
-        year_ago = value_months_ago(base.__name__, _series(keys), "date_key", 12)
-        both = monthly.withColumn("_year_ago", year_ago)
-        compared = both.withColumn(name, compare(F.col(base.__name__), F.col("_year_ago")))
-        return _as_asked(star, compared, name, by, dates)
+        both = _beside_last_year(star, base, by, where, kw)
+        compared = compare(F.col(base.__name__), F.col("_year_ago"))
+        return both.select(*by, compared.alias(name))
 
     return _named(measure, name, f"{base.__name__} compared with twelve months earlier.")
 
 
-def _trailing(base: Measure, months: int, name: str) -> Measure:
-    """Total of the measure over the last ``months`` calendar months."""
+def _trailing(base: Measure, months: int, name: str, shape: Callable = F.sum) -> Measure:
+    """Total, or mean, of the measure over the ``months`` that end with the period."""
 
     def measure(star: Star, by: Sequence[str] = (), where: Where = None, **kw) -> DataFrame:
         keys, context, dates = _monthly_context(by, where)
         monthly = base(star, [*keys, "date_key"], context, **kw)
-        total = rolling_sum(base.__name__, _series(keys), "date_key", months)
-        return _as_asked(star, monthly.withColumn(name, total), name, by, dates)
+        looked = _over_months(
+            monthly, keys, months, {name: (base.__name__, 0, months - 1)}, shape)
+        return _as_asked(star, looked, [name], by, dates)
 
     return _named(measure, name, f"{base.__name__} over the last {months} months.")
 
@@ -255,43 +322,47 @@ housing_completions_12_months = _trailing(
 )
 
 
-def _pace(star, by, where, level, dwelling) -> tuple[DataFrame, list[str], Column | None]:
-    """Monthly stages of each series with their trailing year, from one pass."""
+_STAGES = {"starts": "Starts", "built": "Completions", "open": "Under construction"}
+_PACE = {
+    "starts": ("starts", 0, 0), "built": ("built", 0, 0), "open": ("open", 0, 0),
+    "starts_year": ("starts", 0, 11), "built_year": ("built", 0, 11),
+}
+
+
+def _pace(star, by, where, level, dwelling, reach, sums) -> tuple[DataFrame, Column | None]:
+    """Monthly stages of each series with what its past months add up to, from one pass."""
     keys, context, dates = _monthly_context(by, where)
     context = _place_context(context, level, dwelling)
     rows = in_context(
         star, "fact_housing_activity", [*keys, "date_key", "stage_short"], context
     )
-    stages = {"starts": "Starts", "built": "Completions", "open": "Under construction"}
     monthly = rows.groupBy(*keys, "date_key").agg(*[
         _one_coverage(
             F.sum(F.when(F.col("stage_short") == stage, F.col("units"))), F.col("coverage_key")
         ).alias(name)
-        for name, stage in stages.items()
+        for name, stage in _STAGES.items()
     ])
-    series = _series(keys)
-    rolled = monthly.withColumns({
-        "starts_year": rolling_sum("starts", series),
-        "built_year": rolling_sum("built", series),
-    })
-    return rolled, keys, dates
+    return _over_months(monthly, keys, reach, sums), dates
+
+
+def _backlog(still_open: str, built_year: str) -> Column:
+    return ratio(still_open, F.col(built_year).cast("double") / 12)
 
 
 def completion_ratio(star: Star, by: Sequence[str] = (), where: Where = None, *,
                      level: str, dwelling: str) -> DataFrame:
     """Trailing-year completions over trailing-year starts."""
-    rolled, _, dates = _pace(star, by, where, level, dwelling)
-    value = rolled.withColumn("completion_ratio", ratio("built_year", "starts_year"))
-    return _as_asked(star, value, "completion_ratio", by, dates)
+    paced, dates = _pace(star, by, where, level, dwelling, 12, _PACE)
+    value = paced.withColumn("completion_ratio", ratio("built_year", "starts_year"))
+    return _as_asked(star, value, ["completion_ratio"], by, dates)
 
 
 def backlog_months(star: Star, by: Sequence[str] = (), where: Where = None, *,
                    level: str, dwelling: str) -> DataFrame:
     """Months to finish what is under construction at the trailing year's pace."""
-    rolled, _, dates = _pace(star, by, where, level, dwelling)
-    pace = F.col("built_year").cast("double") / 12
-    value = rolled.withColumn("backlog_months", ratio("open", pace))
-    return _as_asked(star, value, "backlog_months", by, dates)
+    paced, dates = _pace(star, by, where, level, dwelling, 12, _PACE)
+    value = paced.withColumn("backlog_months", _backlog("open", "built_year"))
+    return _as_asked(star, value, ["backlog_months"], by, dates)
 
 
 backlog_months_last_year = _shifted(backlog_months, 12, "backlog_months_last_year")
@@ -303,32 +374,33 @@ def housing_panel(star: Star, by: Sequence[str] = (), where: Where = None, *,
     """All housing measures of each month side by side, from one pass over the fact.
 
     Asking for the measures one by one reads the fact once each; a report that shows
-    several should ask for the panel.  Goes by month, so ``date_key`` is always included.
+    several should ask for the panel.  Goes by month, so ``date_key`` is always included;
+    a month has a row if the series has one there, or any measure does.
     """
-    rolled, keys, dates = _pace(star, by, where, level, dwelling)
-    starts, built = F.col("starts"), F.col("built_year")
-    known = rolled.withColumns({
-        "housing_starts": starts,
+    keys = [c for c in by if c not in CALENDAR_COLUMNS]
+    sums = {
+        **_PACE, "starts_then": ("starts", 12, 12), "open_then": ("open", 12, 12),
+        "built_year_then": ("built", 12, 23),
+    }
+    paced, dates = _pace(star, by, where, level, dwelling, 24, sums)
+    change = F.col("starts") - F.col("starts_then")
+    now, then = _backlog("open", "built_year"), _backlog("open_then", "built_year_then")
+    panel = paced.withColumns({
+        "housing_starts": F.col("starts"),
         "housing_completions": F.col("built"),
         "under_construction": F.col("open"),
-        "housing_starts_last_year": value_months_ago("starts", _series(keys)),
+        "housing_starts_last_year": F.col("starts_then"),
+        "housing_starts_change": change,
+        "housing_starts_change_pct": ratio(change, "starts_then"),
         "housing_starts_12_months": F.col("starts_year"),
-        "housing_completions_12_months": built,
-        "completion_ratio": ratio(built, "starts_year"),
-        "backlog_months": ratio("open", built.cast("double") / 12),
+        "housing_completions_12_months": F.col("built_year"),
+        "completion_ratio": ratio("built_year", "starts_year"),
+        "backlog_months": now,
+        "backlog_months_last_year": then,
+        "backlog_months_change": now - then,
     })
-    change = starts - F.col("housing_starts_last_year")
-    panel = known.withColumns({
-        "housing_starts_change": change,
-        "housing_starts_change_pct": ratio(change, "housing_starts_last_year"),
-        "backlog_months_last_year": value_months_ago("backlog_months", _series(keys)),
-    }).withColumn(
-        "backlog_months_change", F.col("backlog_months") - F.col("backlog_months_last_year")
-    )
-    if dates is not None:
-        allowed = star["dim_date"].filter(dates).select("date_key")
-        panel = panel.join(F.broadcast(allowed), "date_key", "left_semi")
-    return panel.select(*keys, "date_key", *HOUSING_PANEL)
+    shown = F.col("_own") | F.coalesce(*HOUSING_PANEL).isNotNull()
+    return _as_asked(star, panel.filter(shown), HOUSING_PANEL, [*keys, "date_key"], dates)
 
 
 HOUSING_PANEL = (
@@ -373,7 +445,8 @@ def percent_unsold(star: Star, by: Sequence[str] = (), where: Where = None, *,
 
 def _arrears_rows(star: Star, by: Sequence[str], where: Where) -> DataFrame:
     """Regions without the national row, unless the context picks regions itself."""
-    picked = "dim_arrears_region" in (where or {}) or {"region_name", "is_national"} & set(by)
+    columns = set(DIMENSIONS["dim_arrears_region"].fieldNames())
+    picked = "dim_arrears_region" in (where or {}) or columns & set(by)
     if not picked:
         where = _also(where, "dim_arrears_region", ~F.col("is_national"))
     return in_context(star, "fact_mortgage_arrears", by, where)
@@ -401,15 +474,9 @@ arrears_rate_change_points = _against_last_year(
 )
 
 
-def arrears_rate_3_month_average(
-    star: Star, by: Sequence[str] = (), where: Where = None
-) -> DataFrame:
-    """Mean of the last three monthly rates."""
-    name = "arrears_rate_3_month_average"
-    keys, context, dates = _monthly_context(by, where)
-    monthly = arrears_rate(star, [*keys, "date_key"], context)
-    smooth = rolling_mean("arrears_rate", _series(keys), "date_key", 3)
-    return _as_asked(star, monthly.withColumn(name, smooth), name, by, dates)
+arrears_rate_3_month_average = _trailing(
+    arrears_rate, 3, "arrears_rate_3_month_average", F.avg
+)
 
 
 def mortgage_rate(star: Star, by: Sequence[str] = (), where: Where = None) -> DataFrame:
@@ -428,12 +495,17 @@ def share_of_national_change(star: Star, by: Sequence[str] = ("geo_name", "date_
     """A place's change over the total absolute change of all places of its level."""
     if "geo_name" not in by:
         raise ValueError("share_of_national_change goes by geo_name")
-    changes = housing_starts_change(star, by, where, level=level, dwelling=dwelling)
+    everywhere = _conditions(where)
+    places = everywhere.pop("dim_geography", None)
+    changes = housing_starts_change(star, by, everywhere, level=level, dwelling=dwelling)
     group = [c for c in by if c != "geo_name"]
     keyed = changes if group else changes.withColumn("_all", F.lit(0))
     shared = share_of_movement(
         keyed, "housing_starts_change", group or ["_all"], "share_of_national_change", 1.0
     )
+    if places is not None:  # the place filter narrows what is shown, not what is shared
+        chosen = star["dim_geography"].filter(places).select("geo_name")
+        shared = shared.join(chosen, "geo_name", "left_semi")
     return shared.select(*by, "share_of_national_change")
 
 
@@ -450,14 +522,23 @@ def headline_text(place: Column, change: Column, change_pct: Column) -> Column:
 def headline(star: Star, by: Sequence[str] = (), where: Where = None, *,
              level: str, dwelling: str) -> DataFrame:
     """One sentence per group: direction, size and percent of the change."""
-    keys, context, dates = _monthly_context(by, where)
-    monthly = housing_starts(star, [*keys, "date_key"], context, level=level, dwelling=dwelling)
-    year_ago = value_months_ago("housing_starts", _series(keys), "date_key", 12)
-    both = monthly.withColumn("_year_ago", year_ago)
-    now, then = F.col("housing_starts"), F.col("_year_ago")
-    place = F.col("geo_name") if "geo_name" in by else F.lit(vocab.COUNTRY)
-    text = headline_text(place, now - then, ratio(now - then, then))
-    return _as_asked(star, both.withColumn("headline", text), "headline", by, dates)
+    both = _beside_last_year(star, _starts_of_place, by, where, {"level": level, "dwelling": dwelling})
+    now, then = F.col("_starts_of_place"), F.col("_year_ago")
+    text = headline_text(F.col("_place"), now - then, ratio(now - then, then))
+    return both.select(*by, text.alias("headline"))
+
+
+def _starts_of_place(star: Star, by: Sequence[str] = (), where: Where = None, *,
+                     level: str, dwelling: str) -> DataFrame:
+    """Starts, and the one place they are of; the country if there are several."""
+    rows = _housing_rows(
+        star, "Starts", [*by, *({"geo_name"} - set(by))], where, level, dwelling
+    ).withColumn("_name", F.col("geo_name"))
+    one = F.when(F.min("_name") == F.max("_name"), F.min("_name")).otherwise(vocab.COUNTRY)
+    return rows.groupBy(*by).agg(
+        _one_coverage(F.sum("units"), F.col("coverage_key")).alias("_starts_of_place"),
+        one.alias("_place"),
+    )
 
 
 # Lending -------------------------------------------------------------------------

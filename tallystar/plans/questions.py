@@ -34,12 +34,15 @@ def top_movers(what_changed: DataFrame, level: str = "Province",
 
 def biggest_backlogs(pipeline_health: DataFrame, coverage: str = vocab.METROS,
                      k: int = 10) -> DataFrame:
-    """Metro areas that would need longest to finish what is under construction."""
-    rows = latest_only(pipeline_health).filter(
+    """Metro areas that would need longest to finish what is under construction.
+
+    The month is the last one with a backlog to compare: the newest may still be open.
+    """
+    rows = latest_only(pipeline_health.filter(
         (F.col("coverage_name") == coverage)
         & (F.col("dwelling_type_name") == TOTAL_UNITS)
         & F.col("backlog_months").isNotNull()
-    )
+    ))
     best = top_k(rows, k, F.col("backlog_months").desc(), F.col("geo_name").asc())
     return best.select(
         "year_month", "geo_name", "starts_last_12_months", "completions_last_12_months",

@@ -140,8 +140,44 @@ def test_unrelated_dimensions_are_refused(star):
         m.arrears_rate(star, (), {"dim_geography": "true"})
     with pytest.raises(ValueError, match="geo_name"):
         m.arrears_rate(star, ("geo_name",))
-    with pytest.raises(ValueError, match="date_key"):
-        m.housing_starts_last_year(star, ("year",), **PROVINCES)
+
+
+def test_time_shifted_measures_by_longer_periods(star):
+    starts = {2019: sum((10 + i) * 9 for i in range(12)), 2020: sum((22 + i) * 9 for i in range(12))}
+    last_year = tuples(m.housing_starts_last_year(star, ("year",), **PROVINCES))
+    assert last_year == [(2020, starts[2019]), (2021, starts[2020])]
+    change = tuples(m.housing_starts_change(star, ("year",), **PROVINCES))
+    assert change == [(2019, None), (2020, starts[2020] - starts[2019])]
+    trailing = dict(tuples(m.housing_starts_12_months(star, ("year",), **PROVINCES)))
+    assert trailing == starts
+    by_name = dict(tuples(m.housing_starts_last_year(star, ("year_month",), **PROVINCES)))
+    by_key = dict(tuples(m.housing_starts_last_year(star, ("date_key",), **PROVINCES)))
+    assert {k.replace("-", ""): v for k, v in by_name.items()} == {
+        str(k)[:6]: v for k, v in by_key.items()}
+
+
+def test_months_a_series_skips_still_look_back(star):
+    gaps = {**star, "fact_housing_activity": star["fact_housing_activity"].filter(
+        "date_key NOT IN (20200301, 20200401)")}
+    by = ("date_key",)
+    last_year = dict(tuples(m.housing_starts_last_year(gaps, by, **PROVINCES)))
+    assert last_year[20200301] == 12 * 9 and 20210301 not in last_year
+    trailing = dict(tuples(m.housing_starts_12_months(gaps, by, **PROVINCES)))
+    assert trailing[20200401] == sum((10 + i) * 9 for i in range(4, 14))
+    panel = {r["date_key"]: r for r in m.housing_panel(gaps, by, **PROVINCES).collect()}
+    assert panel[20200301]["housing_starts"] is None
+    assert panel[20200301]["housing_starts_last_year"] == 12 * 9
+    assert panel[20200301]["housing_starts_12_months"] == trailing[20200301]
+
+
+def test_a_place_filter_keeps_the_national_movement(star):
+    by, one_place = ("geo_name", "date_key"), {"dim_geography": "geo_name = 'Ontario'"}
+    everywhere = dict(((g, k), v) for g, k, v in tuples(m.share_of_national_change(star, by, **PROVINCES)))
+    sliced = tuples(m.share_of_national_change(star, by, one_place, **PROVINCES))
+    assert sliced == [(g, k, everywhere[g, k]) for g, k, _ in sliced] and len(sliced) == 24
+    assert sliced[-1][2] == pytest.approx(1 / 3)
+    assert one(m.headline(star, (), one_place, **PROVINCES)).startswith("Ontario: housing starts up")
+    assert one(m.headline(star, (), **PROVINCES)).startswith("Canada: housing starts up")
 
 
 def test_snapshots_take_the_last_month(star):
@@ -201,7 +237,7 @@ def test_arrears(star):
 def test_rates_and_prices(star):
     assert one(m.mortgage_rate(star)) == pytest.approx(14 / 3)
     then = dict(tuples(m.mortgage_rate_18_months_ago(star, ("date_key",))))
-    assert then == {20180701: None, 20200101: 3.5, 20200201: None}
+    assert then == {20200101: 3.5, 20210701: 5.0, 20210801: 5.5}
     assert one(m.price_index(star, (), {"dim_date": "date_key = 20200101"})) == 111
     change = dict(tuples(m.price_index_change_pct(star, ("date_key",))))
     assert change == {20190101: None, 20200101: pytest.approx(0.11)}
