@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -766,6 +767,26 @@ def check_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.rollup(seeded_results(spark, sf_dir))
 
 
+@query("check_report", _SEEDED + """,
+per_check AS (
+  SELECT check_name, COUNT(*) AS comparisons, COUNT(*) FILTER (close_enough) AS matched,
+         COUNT(*) FILTER (NOT close_enough AND known_problem) AS known_problems,
+         COUNT(*) FILTER (NOT close_enough AND NOT known_problem) AS failures,
+         MAX(difference) AS gap
+  FROM judged GROUP BY check_name)
+SELECT 'check' AS line, check_name, NULL AS detail, comparisons, matched, known_problems, failures,
+       100.0::DOUBLE * CAST(matched AS DOUBLE) / CAST(comparisons AS DOUBLE) AS matched_percent, gap
+FROM per_check
+UNION ALL SELECT 'total', NULL, NULL, SUM(comparisons)::BIGINT, SUM(matched)::BIGINT,
+       SUM(known_problems)::BIGINT, SUM(failures)::BIGINT,
+       100.0::DOUBLE * CAST(SUM(matched) AS DOUBLE) / CAST(SUM(comparisons) AS DOUBLE), MAX(gap)
+FROM per_check
+UNION ALL SELECT 'known problem', check_name, detail, NULL, NULL, NULL, NULL, NULL, difference
+FROM judged WHERE NOT close_enough AND known_problem""")
+def check_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.report(seeded_results(spark, sf_dir))
+
+
 @query("check_first5", _SEEDED + f"""
 SELECT {_SCORED_COLUMNS}, known_problem, passed, nth FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY check_name ORDER BY detail, our_value) AS INTEGER)
@@ -985,6 +1006,10 @@ def dim_price_component(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Publication ---------------------------------------------------------
 
+_REGION_LIST = f""",
+region_list AS (SELECT unnest([{", ".join(f"'{r[0]}'" for r in vocab.ARREARS_REGIONS)}]) AS region)
+"""
+
 
 def _publication_root(spark: SparkSession, sf_dir: str, name: str) -> str:
     folder = sf_dir.strip("/").replace("/", "_")
@@ -993,22 +1018,17 @@ def _publication_root(spark: SparkSession, sf_dir: str, name: str) -> str:
 
 def _published(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, str]:
     star, root = roles.star(spark, sf_dir), _publication_root(spark, sf_dir, name)
+    version = uuid4().hex
     results, reasons = warehouse.judged(
-        checks.all_checks(star, from_year=EVERY_YEAR), f"{root}/work"
+        checks.all_checks(star, from_year=EVERY_YEAR), f"{root}/work/{version}"
     )
-    manifest = warehouse.publish(star, results, reasons, root, "current")
+    manifest = warehouse.publish(star, results, reasons, root, version)
     if manifest is None:
         raise ValueError("; ".join(reasons))
     return manifest, root
 
 
-@query("publish_manifest")
-def publish_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Check, export all 19 tables, and report rows and bytes per table."""
-    return _published(spark, sf_dir, "export")[0]
-
-
-@query("export_rows", _CLEAN + """
+_EXPORTED = """
 SELECT 'fact_housing_activity' AS table_name, COUNT(*) AS n_rows FROM housing
 UNION ALL SELECT 'fact_market_absorption', COUNT(*) FROM absorption
 UNION ALL SELECT 'fact_unoccupied_housing', COUNT(*) FROM unoccupied
@@ -1025,14 +1045,31 @@ UNION ALL SELECT 'what_changed', COUNT(*) FROM housing a JOIN housing b
   AND b.stage = 'Starts' AND b.is_total
   WHERE a.stage = 'Starts' AND a.is_total AND (NOT a.agg OR a.level = 'Country')
 UNION ALL SELECT 'arrears_trend', COUNT(*) FROM arrears_typed
-UNION ALL SELECT 'check_results', COUNT(*) FROM judged""")
+UNION ALL SELECT 'check_results', COUNT(*) FROM judged
+UNION ALL SELECT 'dim_date', COUNT(*) FROM months
+UNION ALL SELECT 'dim_geography', COUNT(*) + 1 FROM
+  (SELECT geo FROM housing UNION SELECT geo FROM absorption)
+UNION ALL SELECT 'dim_credit_product', COUNT(DISTINCT product) + 1 FROM origination
+UNION ALL SELECT 'dim_price_component', COUNT(DISTINCT component) + 1 FROM component
+UNION ALL SELECT 'dim_dwelling_type', COUNT(DISTINCT dwelling) + 1 FROM typed_lines
+UNION ALL SELECT 'dim_construction_stage', COUNT(DISTINCT stage) + 1 FROM housing
+UNION ALL SELECT 'dim_coverage', COUNT(DISTINCT coverage) + 1 FROM housing
+UNION ALL SELECT 'dim_arrears_region', COUNT(*) + 1 FROM region_list"""
+
+
+@query("publish_manifest", _CLEAN + _REGION_LIST + f"""
+SELECT *, TRUE AS has_bytes FROM ({_EXPORTED})""")
+def publish_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Check, export all 19 tables, and report rows per table; file sizes vary."""
+    manifest = _published(spark, sf_dir, "export")[0]
+    return manifest.select("table_name", "n_rows", (F.col("n_bytes") > 0).alias("has_bytes"))
+
+
+@query("export_rows", _CLEAN + _REGION_LIST + _EXPORTED)
 def export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the export in force, read back table by table."""
     root = _published(spark, sf_dir, "readback")[1]
-    export = warehouse.read_export(spark, root)
-    return row_totals({
-        name: frame for name, frame in export.items() if not name.startswith("dim_")
-    })
+    return row_totals(warehouse.read_export(spark, root))
 
 
 @query("gate_publish", _SEEDED + """,
@@ -1041,7 +1078,8 @@ SELECT 'clean' AS version, 0 AS reasons, TRUE AS published, 'clean' AS in_force
 UNION ALL SELECT 'defective', n, FALSE, 'clean' FROM failed""")
 def gate_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A clean run is published; a defective one is refused and changes nothing."""
-    star, root = roles.star(spark, sf_dir), _publication_root(spark, sf_dir, "gate")
+    star = roles.star(spark, sf_dir)
+    root = f"{_publication_root(spark, sf_dir, 'gate')}/{uuid4().hex}"
     outcome = []
     for version, results in (
         ("clean", checks.all_checks(star, from_year=EVERY_YEAR)),
@@ -1064,3 +1102,42 @@ def latest_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     by = ["date_key", "geo_name", "component_name"]
     latest = {**star, "fact_price_index": latest_only(star["fact_price_index"])}
     return measures.in_context(latest, "fact_price_index", by).select(*by, "index_value")
+
+
+_KEPT = """
+SELECT 'housing_activity' AS release, SUM(CAST(o_totalprice AS DECIMAL(18,2)))::DOUBLE AS total
+FROM orders JOIN customer ON c_custkey = o_custkey
+UNION ALL SELECT 'absorptions', SUM(CAST(l_quantity AS DECIMAL(18,2)))::DOUBLE
+FROM lineitem JOIN supplier ON s_suppkey = l_suppkey
+UNION ALL SELECT 'unoccupied', SUM(CAST(l_quantity AS DECIMAL(18,2)))::DOUBLE
+FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE l_returnflag = 'N'
+UNION ALL SELECT 'originations', SUM(CAST(l_extendedprice AS DECIMAL(18,2)))::DOUBLE
+FROM lineitem JOIN supplier ON s_suppkey = l_suppkey
+UNION ALL SELECT 'arrears', COUNT(*)::DOUBLE FROM events"""
+
+
+@query("rows_kept", _KEPT)
+def rows_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What came in, per release, is in its fact: nothing is lost before the first month,
+    after the last one, or to a label."""
+    star = roles.star(spark, sf_dir)
+    parts = star["dim_dwelling_type"].filter(~F.col("is_total")).select("dwelling_type_key")
+    country = star["dim_geography"].filter(F.col("geo_level") == "Country").select("geography_key")
+    regions = star["dim_arrears_region"].filter("is_national").select("arrears_region_key")
+    detailed = star["dim_credit_product"].filter(~F.col("is_total")).select("credit_product_key")
+
+    def total(release: str, fact: str, value: Column, *picked: DataFrame) -> DataFrame:
+        rows = star[fact]
+        for members in picked:
+            rows = rows.join(members, members.columns[0], "left_semi")
+        return rows.agg(F.sum(value).cast("double").alias("total")).select(
+            F.lit(release).alias("release"), "total")
+
+    absorbed = F.coalesce("absorptions", F.lit(0)) + F.coalesce("unabsorbed_inventory", F.lit(0))
+    return stack([
+        total("housing_activity", "fact_housing_activity", F.col("units"), parts, country),
+        total("absorptions", "fact_market_absorption", absorbed, parts, country),
+        total("unoccupied", "fact_unoccupied_housing", F.col("unoccupied_units"), parts, country),
+        total("originations", "fact_mortgage_originations", F.col("funds_advanced_millions"), detailed),
+        total("arrears", "fact_mortgage_arrears", F.col("total_mortgages"), regions),
+    ])

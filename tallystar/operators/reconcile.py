@@ -96,7 +96,7 @@ def score(comparisons: DataFrame, kind: str, allowed: float | None = None) -> Da
 def verdict(scored: DataFrame, known: Iterable[tuple[str, str]] = ()) -> DataFrame:
     """Add known_problem and passed; the allow-list is a literal, so it is broadcast."""
     schema = StructType([StructField(c, StringType(), False) for c in ("check_name", "detail")])
-    listed = literal_frame(scored.sparkSession, list(known), schema)
+    listed = literal_frame(scored.sparkSession, list(dict.fromkeys(known)), schema)
     flagged = scored.join(
         F.broadcast(listed.withColumn("_listed", F.lit(True))), ["check_name", "detail"], "left"
     )
@@ -124,6 +124,31 @@ def rollup(results: DataFrame) -> DataFrame:
     )
 
 
+def report(results: DataFrame) -> DataFrame:
+    """What a reader of the checks wants: a line per check, each known problem with its
+    gap, and the grand total over all comparisons."""
+    counts = ("comparisons", "matched", "known_problems", "failures")
+    per_check = rollup(results)
+    line = lambda kind, name, detail, gap, *numbers, share: [
+        F.lit(kind).alias("line"), name.alias("check_name"), detail.alias("detail"),
+        *[n.alias(c) for c, n in zip(counts, numbers)],
+        share.alias("matched_percent"), gap.alias("gap")]
+    nothing, no_count = F.lit(None).cast("string"), F.lit(None).cast("bigint")
+    no_share = F.lit(None).cast("double")
+    checks = per_check.select(*line(
+        "check", F.col("check_name"), nothing, F.col("worst_gap"), *[F.col(c) for c in counts],
+        share=F.col("matched_percent")))
+    total = per_check.agg(
+        *[F.sum(c).alias(c) for c in counts], F.max("worst_gap").alias("worst_gap")
+    ).select(*line(
+        "total", nothing, nothing, F.col("worst_gap"), *[F.col(c) for c in counts],
+        share=ratio(F.lit(100.0) * F.col("matched"), "comparisons")))
+    known = results.filter(~F.col("close_enough") & F.col("known_problem")).select(*line(
+        "known problem", F.col("check_name"), F.col("detail"), F.col("difference"),
+        *[no_count] * len(counts), share=no_share))
+    return checks.unionByName(total).unionByName(known)
+
+
 def first_failures(results: DataFrame, n: int = 5) -> DataFrame:
     """First ``n`` real failures of each check, by detail.
 

@@ -61,13 +61,8 @@ def dim_arrears_region(spark: SparkSession) -> DataFrame:
 
 
 def dim_coverage(spark: SparkSession) -> DataFrame:
-    rows = [
-        (vocab.TOWNS, "Towns with at least 10,000 people, by province; shown by default.", True),
-        (vocab.METROS, "The 37 largest metro areas, all of them inside the towns figure: "
-                       "never add the two.", False),
-    ]
     return _literal(
-        spark, "dim_coverage", rows,
+        spark, "dim_coverage", list(vocab.COVERAGES),
         {"coverage_key": vocab.UNKNOWN_KEY, "coverage_name": "Unknown", "is_default": False},
     )
 

@@ -22,6 +22,7 @@ arrears             a day of the event stream as one month; errors are arrears
 from __future__ import annotations
 
 from functools import reduce
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -326,14 +327,29 @@ def build_star(spark: SparkSession, sf_dir: str, workdir: str) -> warehouse.Star
     return warehouse.build(spark, laid_out, workdir, last, first)
 
 
-_BUILT: dict[tuple[str, str], warehouse.Star] = {}
+_BUILT: dict[tuple[str, str, int], warehouse.Star] = {}
+_BUILDING = Lock()
+INPUTS = ("nation", "customer", "supplier", "orders", "lineitem", "events")
+
+
+def _inputs_mark(spark: SparkSession, sf_dir: str) -> int:
+    """A number that changes with the input files; lists them, without reading them."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(
+        [f"{sf_dir}/{name}.parquet" for name in INPUTS])
+    mark = F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))
+    return int(files.agg(mark).first()[0])
 
 
 def star(spark: SparkSession, sf_dir: str) -> warehouse.Star:
-    """The star of ``sf_dir``, built on first use in an application and stored."""
+    """The star of ``sf_dir``, built on first use in an application and stored.
+
+    Changed inputs are built anew; one build runs at a time.
+    """
     application = spark.sparkContext.applicationId
-    if (application, sf_dir) not in _BUILT:
-        folder = sf_dir.strip("/").replace("/", "_")
-        workdir = f"{shared_dir(spark)}/star-{application}-{folder}"
-        _BUILT[application, sf_dir] = build_star(spark, sf_dir, workdir)
-    return _BUILT[application, sf_dir]
+    with _BUILDING:
+        key = (application, sf_dir, _inputs_mark(spark, sf_dir))
+        if key not in _BUILT:
+            folder = sf_dir.strip("/").replace("/", "_")
+            workdir = f"{shared_dir(spark)}/star-{application}-{folder}-{key[2] % 10**9}"
+            _BUILT[key] = build_star(spark, sf_dir, workdir)
+        return _BUILT[key]

@@ -118,8 +118,9 @@ def arrears_trend(star: Star, mode: str = "calendar") -> DataFrame:
     """Arrears against a year ago, with the mortgage rate now and 18 months before.
 
     Last year's value comes from one row per region and month, so that rows piled up on
-    the Unknown region are not drawn into one window.  The rate of 18 months ago is looked up by calendar month in the rate table; a row
-    lag over region rows would reach back two months, not eighteen.
+    the Unknown region are not drawn into one window.  The rate of 18 months ago is
+    looked up by calendar month in the rate table; a row lag over region rows would reach
+    back two months, not eighteen.
     """
     rates = star["fact_mortgage_rate"]
     then = moved_months(rates, {"rate_5year": "mortgage_rate_18_months_ago"}, 18)
@@ -128,7 +129,8 @@ def arrears_trend(star: Star, mode: str = "calendar") -> DataFrame:
     fact = star["fact_mortgage_arrears"]
     last_year = (
         fact.groupBy(*region_month)
-        .agg(F.max("arrears_rate").alias("_rate"))
+        # Rows piled up on the Unknown region have no rate in common.
+        .agg(F.when(F.count(F.lit(1)) == 1, F.max("arrears_rate")).alias("_rate"))
         .select(
             *region_month,
             value_months_ago("_rate", region_month[:1], "date_key", 12, mode).alias(

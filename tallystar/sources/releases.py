@@ -20,12 +20,13 @@ class Release:
 
     pid: str
     name: str
+    description: str = ""
 
     def path(self, raw_dir: str) -> str:
         return f"{raw_dir.rstrip('/')}/{self.name}/{self.pid}.csv"
 
 
-REGISTRY = {name: Release(pid, name) for pid, name in vocab.RELEASES}
+REGISTRY = {name: Release(pid, name, text) for pid, name, text in vocab.RELEASES}
 
 
 def read_text_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -119,10 +120,15 @@ def publish(
     """Export under ``root/version`` and announce it, unless there are reasons not to.
 
     Readers follow the latest announcement.  It is appended after the last table is
-    complete, so a refused or broken run leaves the previous export in force.
+    complete, so a refused or broken run leaves the previous export in force.  A version
+    that was announced is never written again: its readers may still be there.
     """
     if reasons:
         return None
+    spark = next(iter(tables.values())).sparkSession
+    log = _announcements(spark, root)
+    if log is not None and not log.filter(F.col("version") == version).isEmpty():
+        raise ValueError(f"version {version} is published already")
     manifest = export_tables(tables, f"{root}/{version}", cluster)
     announced = manifest.groupBy().agg(F.sum("n_rows").alias("n_rows")).select(
         F.lit(version).alias("version"), "n_rows", F.current_timestamp().alias("published_at")
@@ -133,10 +139,16 @@ def publish(
 
 def current_version(spark: SparkSession, root: str) -> str | None:
     """Version announced last; None before the first publication."""
+    log = _announcements(spark, root)
+    if log is None:
+        return None
+    return log.agg(F.max_by("version", "published_at")).first()[0]
+
+
+def _announcements(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        log = spark.read.parquet(f"{root}/{PUBLICATIONS}")
-    except Exception as error:  # no announcement yet
-        if "PATH_NOT_FOUND" in str(error):
+        return spark.read.parquet(f"{root}/{PUBLICATIONS}")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    return log.agg(F.max_by("version", "published_at")).first()[0]

@@ -113,13 +113,21 @@ RESIDENTIAL = "Residential mortgage"
 
 # Release registry: table number and folder name.
 RELEASES = (
-    ("34100143", "housing_activity"),
-    ("34100154", "housing_cma"),
-    ("34100149", "absorptions"),
-    ("34100162", "unoccupied"),
-    ("18100205", "price_index"),
-    ("34100145", "mortgage_rate"),
-    ("10100006", "originations"),
+    ("34100143", "housing_activity",
+     "Housing starts, under construction, completions - towns of 10,000+"),
+    ("34100154", "housing_cma", "Same three measures, but for 37 big metro areas"),
+    ("34100149", "absorptions", "Finished homes: how many sold, how many still empty"),
+    ("34100162", "unoccupied", "Newly built homes that are finished but nobody lives in yet"),
+    ("18100205", "price_index", "New housing price index"),
+    ("34100145", "mortgage_rate", "5-year conventional mortgage rate"),
+    ("10100006", "originations", "Bank of Canada: new mortgage money lent out each month"),
+)
+
+# What is said of each coverage, and which one is the default.
+COVERAGES = (
+    (TOWNS, "Every town of 10,000+ people, by province. The default view.", True),
+    (METROS, "Just the 37 largest metro areas. These are INSIDE the figure above, "
+     "so never add the two together.", False),
 )
 
 # First month loaded when the caller names none.

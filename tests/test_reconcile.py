@@ -107,3 +107,15 @@ def test_completeness_allows_no_gap(spark):
 
     assert passes(*range(1, 300))
     assert not passes(-1, *range(1, 300))
+
+
+def test_a_pair_listed_twice_excuses_one_comparison(spark):
+    rows = [("c", "x", 1.0, 3.0, 2.0, 0.01, "%", False), ("c", "y", 1.0, 1.0, 0.0, 0.01, "%", True)]
+    scored = spark.createDataFrame(
+        rows, "check_name string, detail string, our_value double, published_value double,"
+        " difference double, allowed double, units string, close_enough boolean")
+    judged = reconcile.verdict(scored, [("c", "x"), ("c", "x")])
+    assert tuples(judged, "detail", "known_problem", "passed") == [("x", True, True), ("y", False, True)]
+    lines = {(r["line"], r["check_name"]): r for r in reconcile.report(judged).collect()}
+    assert lines["total", None]["comparisons"] == 2 and lines["total", None]["known_problems"] == 1
+    assert lines["known problem", "c"]["gap"] == 2.0 and lines["check", "c"]["failures"] == 0

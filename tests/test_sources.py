@@ -22,7 +22,8 @@ def raw_dir(tmp_path):
 
 
 def test_registry_names_every_release():
-    assert set(releases.REGISTRY) == {name for _, name in vocab.RELEASES}
+    assert set(releases.REGISTRY) == {name for _, name, _ in vocab.RELEASES}
+    assert all(release.description for release in releases.REGISTRY.values())
     assert releases.REGISTRY["price_index"].path("/raw/") == "/raw/price_index/18100205.csv"
 
 
@@ -99,3 +100,5 @@ def test_refused_publication_leaves_the_last_one(spark, tmp_path):
     assert tables.current_version(spark, root) == "v1"
     tables.publish({"t": frame}, root, "v2", [])
     assert tables.current_version(spark, root) == "v2"
+    with pytest.raises(ValueError, match="published already"):
+        tables.publish({"t": frame}, root, "v1", [])
