@@ -279,8 +279,23 @@ class Sample:
 
 
 def sample_of(windows: list[list[bytes]], toxic: list[int]) -> Sample:
+    """Words of all windows, read a block at a time so that little is held at once."""
     flat = [w for text in windows for w in text]
-    words = read_words(flat)
+    parts, start = [], 0
+    while start < len(flat):
+        stop, size = start, 0
+        while stop < len(flat) and (stop == start or size + len(flat[stop]) <= PIECE_BYTES):
+            size += len(flat[stop])
+            stop += 1
+        parts.append(read_words(flat[start:stop]))
+        start = stop
+    n_words = np.cumsum([0] + [len(p.word) for p in parts])
+    n_grams = np.cumsum([0] + [len(p.gram) for p in parts])
+    words = Words(
+        *[np.concatenate([getattr(p, name) for p in parts]) for name in ("word", "head", "gram")],
+        np.concatenate([p.gram_begin + n for p, n in zip(parts, n_grams)]),
+        np.concatenate([p.gram_count for p in parts]),
+        np.concatenate([p.text_begin[:-1] + n for p, n in zip(parts, n_words)] + [n_words[-1:]]))
     owner = np.repeat(np.arange(len(windows)), [len(t) for t in windows])
     first = words.text_begin[:-1]
     count = np.minimum(np.diff(words.text_begin), WINDOW)
