@@ -25,6 +25,8 @@ FILES_PER_BATCH = 64
 _STREAM_CONF = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # State is many small rows: a small write buffer is enough, and stores are open per core.
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "16",
     # A store is closed when its task ends, so open ones follow the cores, not the keys.
     "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }

@@ -30,8 +30,8 @@ OPEN_BINS = 2048
 TOKENIZER = "word_bpe_49k.json"
 #: Pieces that one task packs, about: some hundred thousand sequences share 2048 open bins.
 PIECES_PER_TASK = 500_000
-#: Words whose ids a worker remembers, some 150 MB, before it forgets the later half.
-REMEMBERED_WORDS = 700_000
+#: Words whose ids a task remembers, some 80 MB, before it forgets the later half.
+REMEMBERED_WORDS = 500_000
 ROWS_AT_ONCE = 256
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -96,16 +96,12 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, words))
 
 
-#: One per worker process, kept from task to task.
-_WORDS: dict[str, WordIds] = {}
-
-
 def _pieces(path: str, capacity: int):
     tail = np.asarray([END_ID], dtype="<u4").tobytes()
     step = 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = _WORDS.get(path) or _WORDS.setdefault(path, WordIds(path))
+        ids_of = WordIds(path)  # the task's own, so that nothing outlives it
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(at, ROWS_AT_ONCE)
