@@ -27,7 +27,6 @@ from tallystar.operators.lookup import (
     lookup_key,
     pick,
     surrogate_key,
-    unclassified,
     with_unknown,
 )
 from tallystar.operators.report_text import extract_records
@@ -151,6 +150,8 @@ def semi_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Open orders at the last month of each year, and (year 0) at the last month of all."""
     year = F.floor(F.col("date_key") / 10000).cast("int")
     open_orders = monthly_orders(spark, sf_dir).filter("status = 'P'").withColumn("year", year)
+    shared_dir(spark)
+    open_orders = open_orders.checkpoint()  # read three times, made once
     yearly = semi_additive_last(open_orders, "units", ["nation"], "open_units", periods=["year"])
     latest = semi_additive_last(open_orders, "units", ["nation"], "open_units")
     return stack([yearly, latest.withColumn("year", F.lit(0))])
@@ -461,8 +462,10 @@ def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT geo_name FROM places WHERE geo_level = 'Unknown'""")
 def unclassified_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels no rule claims, for someone to look at."""
-    keyed = dims.number_places(place_labels(spark, sf_dir))
-    return unclassified(keyed, "geo_level", "geography_key").select("geo_name")
+    places = labels.with_place(place_labels(spark, sf_dir), "geo_name")
+    # Unnested first: a filter on the rules themselves would repeat them in the plan.
+    levels = places.select("geo_name", F.explode(F.array("geo_level")).alias("level"))
+    return levels.filter("level = 'Unknown'").select("geo_name")
 
 
 _SPELLING = """
@@ -640,7 +643,7 @@ def reconcile_joined_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Report text ------------------------------------------------------------------------
 
 REPORT_REGIONS = {"A": "ATLANTIC", "N": "BRITISH COLUMBIA", "R": "TERRITORIES"}
-RECORDS_PER_PAGE, PAGES_PER_REGION = 40, 1000
+RECORDS_PER_PAGE = 40
 
 _REPORT = """
 WITH recs AS (
@@ -705,13 +708,13 @@ def report_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).otherwise(F.lit(""))
     pages = printed.select(
         "doc_id",
-        (section * PAGES_PER_REGION + F.col("page")).cast("int").alias("page_no"),
+        (section.cast("long") * 2**32 + F.col("page")).alias("page_no"),
         F.concat(
             header, F.lit("As at   Total   Arrears\n"), F.array_join(lines, "\n")
         ).alias("text"),
     )
     summaries = listed.select("doc_id").distinct().select(
-        "doc_id", F.lit(0).alias("page_no"),
+        "doc_id", F.lit(0).cast("long").alias("page_no"),
         F.lit("All sections\n1999-01  1,234,567  8,901  0.72%").alias("text"),
     )
     return stack([summaries, pages])

@@ -48,8 +48,15 @@ def month_of_key(date_key: ColumnOrName) -> Column:
 
 
 def decimal_cell(cell: ColumnOrName, kind: str = "decimal(18,2)") -> Column:
-    """Text cell to number; blanks and footnote letters mean "not published"."""
-    return col(cell).try_cast(kind)
+    """Text cell to number; blanks and footnote letters mean "not published".
+
+    A number too large for ``kind`` is an error, not an unpublished one.
+    """
+    number = col(cell).try_cast(kind)
+    too_large = number.isNull() & col(cell).rlike(r"^\s*[+-]?[0-9]+(\.[0-9]*)?\s*$")
+    return F.when(
+        too_large, F.raise_error(F.concat(F.lit(f"number beyond {kind}: "), col(cell)))
+    ).otherwise(number)
 
 
 def count_cell(cell: ColumnOrName) -> Column:

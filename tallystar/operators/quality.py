@@ -39,14 +39,33 @@ def referential_integrity(
     tables: Mapping[str, DataFrame],
     edges: Sequence[tuple[str, str, str, str]],
 ) -> DataFrame:
-    """Orphans per edge ``(dim, dim key, fact, fact key)``."""
-    return stack([
-        orphan_count(tables[fact], tables[dim], key, dim_key).select(
-            F.lit(dim).alias("dim"), F.lit(fact).alias("fact"), F.lit(key).alias("key"),
-            "orphan_rows",
-        )
-        for dim, dim_key, fact, key in edges
-    ])
+    """Orphans per edge ``(dim, dim key, fact, fact key)``.
+
+    Each fact is read once, whatever its number of edges: its keys are counted side by
+    side, one row per edge and distinct key, and only these meet the dimensions.
+    """
+    parts = []
+    for fact in dict.fromkeys(edge[2] for edge in edges):
+        own = [(number, *edge) for number, edge in enumerate(edges) if edge[2] == fact]
+        keys = F.array(*[
+            F.struct(F.lit(n).alias("edge"), F.col(key).cast("string").alias("value"))
+            for n, _, _, _, key in own])
+        counted = tables[fact].select(F.inline(keys)).groupBy("edge", "value").agg(
+            F.count(F.lit(1)).alias("_rows"))
+        members = stack([
+            tables[dim].select(F.lit(n).alias("edge"), F.col(dim_key).cast("string").alias("value"))
+            for n, dim, dim_key, _, _ in own]).distinct().withColumn("_known", F.lit(True))
+        names = F.array(*[
+            F.struct(F.lit(n).alias("edge"), F.lit(dim).alias("dim"), F.lit(fact).alias("fact"),
+                     F.lit(key).alias("key"))
+            for n, dim, _, _, key in own])
+        orphaned = F.when(F.col("_known").isNull(), F.col("_rows"))
+        found = counted.join(members, ["edge", "value"], "left").groupBy("edge").agg(
+            F.sum(orphaned).alias("_orphans"))
+        listed = tables[fact].sparkSession.range(1).select(F.inline(names))
+        parts.append(listed.join(found, "edge", "left").select(
+            "dim", "fact", "key", F.coalesce("_orphans", F.lit(0)).alias("orphan_rows")))
+    return stack(parts)
 
 
 def unknown_rows(fact: DataFrame, keys: Sequence[str], unknown: int = UNKNOWN_KEY) -> DataFrame:

@@ -205,21 +205,17 @@ def forward_fill(
 ) -> DataFrame:
     """Carry the last non-null ``value`` forward along an integer ``position``.
 
-    Two levels keep one huge key out of a single task: within blocks of ``block``
-    positions a window does the filling, and what a block inherits comes from a
-    second window over one summary row per block.
+    Levels keep one huge key out of a single task: within blocks of ``block`` positions a
+    window does the filling; what a block inherits comes from one summary row per block,
+    filled the same way within blocks of blocks; and what these inherit from one row per
+    block of blocks.  A key with a million million sparse positions has some sixty
+    thousand of those.
     """
     blocked = frame.withColumn("_block", F.floor(F.col(position) / block).cast("long"))
     known = F.col(value).isNotNull()
     tail = F.max_by(F.when(known, F.col(value)), F.when(known, F.col(position)))
-    earlier = (
-        Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = (
-        blocked.groupBy(*keys, "_block")
-        .agg(tail.alias("_tail"))
-        .withColumn("_carried", F.last("_tail", ignorenulls=True).over(earlier))
-    )
+    tails = blocked.groupBy(*keys, "_block").agg(tail.alias("_tail"))
+    carried = _carried(tails, keys, "_block", block)
     paired = [F.col(f"a.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in (*keys, "_block")]
     joined = blocked.alias("a").join(carried.alias("b"), paired).select("a.*", "b._carried")
     inside = (
@@ -231,6 +227,25 @@ def forward_fill(
     return joined.withColumn(name, filled).drop("_block", "_carried")
 
 
+def _carried(tails: DataFrame, keys: Sequence[str], at: str, block: int, levels: int = 1):
+    """What each row's place inherits: the last non-null ``_tail`` before it."""
+    before = Window.orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    if not levels:
+        return tails.withColumn(
+            "_carried", F.last("_tail", ignorenulls=True).over(before.partitionBy(*keys)))
+    upper = f"{at}_of"
+    grouped = tails.withColumn(upper, F.floor(F.col(at) / block).cast("long"))
+    known = F.col("_tail").isNotNull()
+    tops = grouped.groupBy(*keys, upper).agg(
+        F.max_by(F.when(known, F.col("_tail")), F.when(known, F.col(at))).alias("_tail"))
+    inherited = _carried(tops, keys, upper, block, levels - 1).select(
+        *keys, upper, F.col("_carried").alias("_above"))
+    paired = [F.col(f"a.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in (*keys, upper)]
+    inside = F.last("_tail", ignorenulls=True).over(before.partitionBy(*keys, upper))
+    joined = grouped.alias("a").join(inherited.alias("b"), paired).select("a.*", "b._above")
+    return joined.withColumn("_carried", F.coalesce(inside, F.col("_above"))).drop(upper, "_above")
+
+
 def first_per_key(
     frame: DataFrame, keys: Sequence[str], order: Sequence[ColumnOrName]
 ) -> DataFrame:

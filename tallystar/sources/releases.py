@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -56,12 +56,20 @@ def read_all(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
 
 
 def read_report_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Report text files to ``(doc_id, page_no, text)``; form feeds separate pages."""
-    docs = spark.read.text(path, wholetext=True)
-    return docs.select(
-        F.input_file_name().alias("doc_id"),
-        F.posexplode(F.split("value", "\f")).alias("page_no", "text"),
+    """Report text files to ``(doc_id, page_no, text)``; form feeds separate pages.
+
+    Files are read page by page and may be split between tasks; pages are numbered from 0
+    by their place in the file.
+    """
+    pages = spark.read.text(path, lineSep="\f").select(
+        F.col("_metadata.file_path").alias("doc_id"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
+        F.col("value").alias("text"),
     )
+    in_file = Window.partitionBy("doc_id").orderBy("_block", "_row")
+    return pages.select(
+        "doc_id", (F.row_number().over(in_file) - 1).alias("page_no"), "text")
 
 
 def column_starting_with(frame: DataFrame, prefix: str) -> str | None:

@@ -31,10 +31,10 @@ def conform(frame: DataFrame, schema: StructType) -> DataFrame:
 def write_table(frame: DataFrame, path: str, cluster: tuple[str, ...] = ()) -> int:
     """Overwrite a table and return its row count, counted while writing.
 
-    ``cluster`` names the key columns of a big fact, month first: rows are range
-    partitioned and sorted by them and stored by year.  Ranges over the whole key
-    split a heavy year, or a heavy month, across tasks; a hash of the row comes last, so
-    that rows piled up on one key, such as the Unknown member's, are split as well.
+    ``cluster`` names the key columns of a big fact, month first: rows are stored by year
+    and sorted by them within each file.  The input is evaluated once: years are brought
+    together by a rebalance, which splits a heavy one by size instead of sampling the
+    input for ranges first.
     """
     seen = Observation()
     writer_input = frame
@@ -42,7 +42,7 @@ def write_table(frame: DataFrame, path: str, cluster: tuple[str, ...] = ()) -> i
         year = year_of_key(cluster[0])
         writer_input = (
             frame.withColumn("year", year)
-            .repartitionByRange("year", *cluster, F.xxhash64(*frame.columns))
+            .hint("rebalance", "year")
             .sortWithinPartitions("year", *cluster)
         )
     observed = writer_input.observe(seen, F.count(F.lit(1)).alias("rows"))
