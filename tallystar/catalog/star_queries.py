@@ -5,19 +5,20 @@ from __future__ import annotations
 from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallystar import vocab
 from tallystar.catalog import query
 from tallystar.catalog.star_sql import ARREARS, EVERYTHING, HOUSING, LINES, month_key
-from tallystar.functions.scalars import month_index, rounded
+from tallystar.functions.scalars import decimal_cell, month_index, rounded
 from tallystar.operators import quality, reconcile
-from tallystar.operators.aggregates import exclude_aggregates, row_totals, stack
+from tallystar.operators.aggregates import exclude_aggregates, row_totals, stack, sum_of_amounts
 from tallystar.operators.timeseries import latest_only
 from tallystar.plans import checks, measures, questions, roles, views, warehouse
 from tallystar.schemas import CHECK_RESULTS, FACTS
 from tallystar.session import shared_dir
+from tallystar.sources import releases
 
 #: The published questions start in a year of their own data; here every year counts.
 EVERY_YEAR = 0
@@ -1141,3 +1142,96 @@ def rows_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
         total("originations", "fact_mortgage_originations", F.col("funds_advanced_millions"), detailed),
         total("arrears", "fact_mortgage_arrears", F.col("total_mortgages"), regions),
     ])
+
+
+# Sources, dimensions and display, end to end ------------------------------------------
+
+
+@query("read_release_text", """
+SELECT n_name AS geo, COUNT(*) AS months, SUM(price)::DOUBLE AS total, MIN(m) AS first_month
+FROM (SELECT n_name, strftime(o_orderdate, '%Y-%m') AS m, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS price
+      FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY ALL)
+GROUP BY 1""")
+def read_release_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written as the CSV of a registered release, found by its number and title,
+    read back as text and parsed."""
+    release = releases.REGISTRY["absorptions"]
+    raw = f"{_publication_root(spark, sf_dir, 'raw')}/{uuid4().hex}"
+    orders = roles.table(spark, sf_dir, "orders").join(
+        roles.table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
+    ).join(roles.table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    monthly = orders.groupBy(
+        F.date_format("o_orderdate", "yyyy-MM").alias("REF_DATE"), F.col("n_name").alias("GEO")
+    ).agg(sum_of_amounts("o_totalprice").cast("string").alias("VALUE"))
+    monthly.withColumn("Type of dwelling unit", F.lit('Total "units"')).write.csv(
+        release.path(raw), header=True, escape='"')
+    read = releases.read_release(spark, raw, release.name)
+    (frame, title), = releases.with_prefix({release.name: read}, "Type of")
+    known = frame.filter(F.col(f"`{title}`") == 'Total "units"')
+    return known.groupBy(F.col("GEO").alias("geo")).agg(
+        F.count(F.lit(1)).alias("months"), F.sum(decimal_cell("VALUE")).cast("double").alias("total"),
+        F.min("REF_DATE").alias("first_month"))
+
+
+@query("views_in_sql", _CHANGED + """
+SELECT year, geo_level, COUNT(*) AS places, MAX(units) AS most FROM changed GROUP BY ALL""")
+def views_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The views answer SQL under their own names."""
+    warehouse.register_views(roles.star(spark, sf_dir))
+    return spark.sql(
+        "SELECT year, geo_level, COUNT(*) AS places, CAST(MAX(units) AS DOUBLE) AS most"
+        " FROM what_changed GROUP BY year, geo_level")
+
+
+@query("months_in_range", LINES + """
+SELECT date_key, COUNT(*) AS n_rows FROM component
+WHERE date_key BETWEEN (SELECT MIN(date_key) FROM component WHERE date_key % 10000 = 601)
+  AND (SELECT MAX(date_key) FROM component WHERE date_key % 10000 = 601) GROUP BY date_key""")
+def months_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored fact read between two Junes: month bounds prune its folders and files."""
+    fact = roles.star(spark, sf_dir)["fact_price_index"]
+    junes = fact.filter(F.col("date_key") % 10000 == 601).agg(F.min("date_key"), F.max("date_key")).first()
+    folder = f"{_publication_root(spark, sf_dir, 'pruned')}/{uuid4().hex}"
+    warehouse.tables.write_table(fact, folder, ("date_key", "geography_key"))
+    read = warehouse.tables.read_table(spark, folder, FACTS["fact_price_index"], *junes)
+    return read.groupBy("date_key").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("display_order", HOUSING + """,
+shown AS (SELECT DISTINCT stage FROM housing)
+SELECT stage AS stage_short, CAST(row_number() OVER (ORDER BY CASE stage WHEN 'Starts' THEN 1
+         WHEN 'Under construction' THEN 2 ELSE 3 END, stage) AS INTEGER) AS position FROM shown""")
+def display_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stages that have data, in the order they are shown."""
+    star = roles.star(spark, sf_dir)
+    stages = star["dim_construction_stage"].join(star["fact_housing_activity"], "stage_key", "left_semi")
+    ordered = warehouse.in_display_order(stages, "dim_construction_stage", "stage_short")
+    place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
+    return ordered.select("stage_short", place.alias("position"))
+
+
+def _quoted_text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+@query("dim_coverage", HOUSING + f"""
+SELECT coverage AS coverage_name, d AS description, coverage = '{vocab.TOWNS}' AS is_default
+FROM (SELECT DISTINCT coverage FROM housing) JOIN (VALUES
+  {", ".join(f"({_quoted_text(name)}, {_quoted_text(text)})" for name, text, _ in vocab.COVERAGES)}
+) AS said(name, d) ON name = coverage""")
+def dim_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverages that have data, as described by their publisher."""
+    star = roles.star(spark, sf_dir)
+    used = star["dim_coverage"].join(star["fact_housing_activity"], "coverage_key", "left_semi")
+    return used.drop("coverage_key")
+
+
+@query("dim_arrears_region", ARREARS + """
+SELECT region AS region_name, ANY_VALUE(covers) AS covers_provinces, BOOL_OR(nat) AS is_national,
+       COUNT(*) AS months FROM arrears GROUP BY region""")
+def dim_arrears_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions with the months they report; none lands on the Unknown member."""
+    star = roles.star(spark, sf_dir)
+    rows = star["fact_mortgage_arrears"].join(star["dim_arrears_region"], "arrears_region_key")
+    return rows.groupBy("region_name", "covers_provinces", "is_national").agg(
+        F.count(F.lit(1)).alias("months"))
