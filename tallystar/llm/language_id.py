@@ -95,7 +95,7 @@ def vectors(texts: list[bytes]) -> np.ndarray:
     while start < len(texts):
         stop, size = start, 0
         while stop < len(texts) and stop - start < 64 and (
-            stop == start or size + len(texts[stop]) <= PIECE_BYTES // 2
+            stop == start or size + len(texts[stop]) <= PIECE_BYTES // 8
         ):
             size += len(texts[stop])
             stop += 1

@@ -30,8 +30,8 @@ OPEN_BINS = 2048
 TOKENIZER = "word_bpe_49k.json"
 #: Pieces that one task packs, about: some hundred thousand sequences share 2048 open bins.
 PIECES_PER_TASK = 500_000
-#: Words whose ids a task remembers, some 80 MB, before it forgets the later half.
-REMEMBERED_WORDS = 500_000
+#: Words whose ids a task remembers, some 30 MB, before it forgets the later half.
+REMEMBERED_WORDS = 200_000
 ROWS_AT_ONCE = 256
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
