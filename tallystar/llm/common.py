@@ -27,6 +27,22 @@ def stored(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+#: Rows of whole texts that are handed to Python at once, at most.
+ROWS_PER_BATCH = 1000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(docs: DataFrame) -> DataFrame:
+    """``docs``, with the session told to hand texts to Python in small batches.
+
+    The setting only bounds memory, and only ever gets smaller.
+    """
+    conf = docs.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH_CONF)) <= ROWS_PER_BATCH:
+        conf.set(_BATCH_CONF, str(ROWS_PER_BATCH))
+    return docs
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows that no model may learn from: crc32 of the id as text, modulo five, is 0."""
     crc = F.crc32(doc_id.cast("string").cast("binary"))

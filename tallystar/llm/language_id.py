@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallystar.llm.common import held_out
+from tallystar.llm.common import held_out, small_batches
 
 TRAIN_DOCS = 800
 MIN_DOCS_PER_LANGUAGE = 20
@@ -333,4 +333,4 @@ def accepted(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
             yield batch.filter(told).drop_columns(["has_letter"])
 
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return docs.withColumn("has_letter", letters).mapInArrow(run, docs.schema)
+    return small_batches(docs).withColumn("has_letter", letters).mapInArrow(run, docs.schema)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallystar.llm.common import stored
+from tallystar.llm.common import small_batches, stored
 
 SEQUENCE_TOKENS = 4096
 END_ID = 1
@@ -127,7 +127,7 @@ def document_pieces(
 ) -> DataFrame:
     """Pieces of every row's tokens, the end id included; a null text has only the end id."""
     path = public_tokenizers.path(tokenizer)
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts = small_batches(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return texts.mapInArrow(_pieces(path, capacity), PIECE_SCHEMA)
 
 

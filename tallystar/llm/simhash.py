@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallystar.llm.common import join_ids, stored
+from tallystar.llm.common import join_ids, small_batches, stored
 from tallystar.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -66,7 +66,7 @@ def _fingerprints(words_per_shingle: int):
 
 def fingerprints(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, print) for every row; a null text is empty."""
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts = small_batches(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return texts.mapInArrow(_fingerprints(words_per_shingle), "doc_id long, print long")
 
 
