@@ -79,3 +79,45 @@ def join_ids(
         ids = F.broadcast(ids)
     joined = docs.join(ids, docs["doc_id"].eqNullSafe(ids["joined_id"]), how)
     return joined.drop("joined_id")
+
+
+def row_mark(text: Column) -> Column:
+    """A number that tells the texts of one id apart; null as empty."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def one_of_each_group(
+    docs: DataFrame, decided: DataFrame, broadcast_ids: int = BROADCAST_IDS
+) -> DataFrame:
+    """``docs`` with one row of each group: the smallest id, null last, then the smallest mark.
+
+    ``decided`` has (doc_id, mark, root) for every row of ``docs``, ``mark`` by
+    ``row_mark`` and ``root`` naming the row's group.  A row goes by its id and its text
+    together, so another text under the same id, or without one, stays.
+    """
+    decided = stored(decided)
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")
+    keepers = decided.groupBy("root").agg(F.min(order).alias("keeper"), F.count("*").alias("n"))
+    # Groups of one need no join.
+    groups = keepers.where("n > 1").select("root", "keeper")
+    rows = decided.join(groups, "root").groupBy("doc_id", "mark").agg(
+        F.first(F.col("doc_id").eqNullSafe(F.col("keeper.doc_id"))
+                & (F.col("mark") == F.col("keeper.mark"))).alias("keeps"),
+        F.count("*").alias("n")).where("not keeps or n > 1")
+    rows = stored(rows.select(F.col("doc_id").alias("joined_id"), F.col("mark").alias("joined_mark"), "keeps"))
+    small = rows.count() <= broadcast_ids
+    marked = docs.withColumn("joined_with", row_mark(F.col("text")))
+
+    def joined(wanted: DataFrame, how: str) -> DataFrame:
+        wanted = wanted.drop("keeps")
+        same = marked["doc_id"].eqNullSafe(wanted["joined_id"]) & (
+            marked["joined_with"] == wanted["joined_mark"])
+        return marked.join(F.broadcast(wanted) if small else wanted, same, how)
+
+    left = joined(rows, "left_anti").drop("joined_with")
+    twice = rows.where("keeps")
+    if twice.isEmpty():
+        return left
+    # The keeper stands there more than once, id and text alike.
+    once = joined(twice, "left_semi").dropDuplicates(["doc_id", "joined_with"])
+    return left.unionByName(once.drop("joined_with"))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallystar.llm.common import join_ids, small_batches, stored
+from tallystar.llm.common import one_of_each_group, row_mark, small_batches, stored
 from tallystar.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -59,15 +59,18 @@ def _fingerprints(words_per_shingle: int):
             texts = batch.column("text").cast(pa.binary())
             prints = [fingerprint(t.as_py(), words_per_shingle) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(prints, pa.int64())], names=["doc_id", "print"])
+                [batch.column("doc_id"), batch.column("mark"), pa.array(prints, pa.int64())],
+                names=["doc_id", "mark", "print"])
 
     return run
 
 
 def fingerprints(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, print) for every row; a null text is empty."""
-    texts = small_batches(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInArrow(_fingerprints(words_per_shingle), "doc_id long, print long")
+    """(doc_id, mark, print) for every row; a null text is empty, ``mark`` is ``row_mark``'s."""
+    texts = small_batches(docs).select(
+        "doc_id", row_mark(F.col("text")).alias("mark"), F.coalesce("text", F.lit("")).alias("text"))
+    return texts.mapInArrow(
+        _fingerprints(words_per_shingle), "doc_id long, mark long, print long")
 
 
 def _byte_mask(positions: tuple[int, ...]) -> int:
@@ -134,6 +137,17 @@ def print_links(
     return pairs.union(stars)
 
 
+def _roots(
+    prints: DataFrame, max_bits: int = MAX_BITS, paired_list: int = PAIRED_LIST
+) -> DataFrame:
+    """(print, head, root): distinct fingerprints, their smallest id, and their component."""
+    heads = stored(prints.groupBy("print").agg(F.min("doc_id").alias("head")))
+    links = print_links(heads.select("print"), max_bits, paired_list)
+    members = connected_components(links).select(
+        F.col("node").alias("print"), F.col("component").alias("root"))
+    return heads.join(members, "print", "left").withColumn("root", F.coalesce("root", "print"))
+
+
 def near_duplicates(
     docs: DataFrame,
     words_per_shingle: int = SHINGLE_WORDS,
@@ -148,25 +162,24 @@ def near_duplicates(
     takes part and is the component's id only if no other is there.  Repeated rows repeat
     in the result; an empty table gives an empty one.
     """
-    prints = stored(fingerprints(docs, words_per_shingle))
-    heads = stored(prints.groupBy("print").agg(F.min("doc_id").alias("head")))
-    links = print_links(heads.select("print"), max_bits, paired_list)
-    members = connected_components(links).select(
-        F.col("node").alias("print"), F.col("component").alias("root"))
-    rooted = heads.join(members, "print", "left").withColumn(
-        "root", F.coalesce("root", "print"))
+    prints = stored(fingerprints(docs, words_per_shingle).select("doc_id", "print"))
+    rooted = _roots(prints, max_bits, paired_list)
     smallest = rooted.groupBy("root").agg(F.min("head").alias("component_id"))
     answer = rooted.join(smallest, "root").select("print", "component_id")
     return prints.join(answer, "print").select(
         "doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def deduplicated(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each group of near-duplicates, the smallest id.
+def deduplicated(
+    docs: DataFrame,
+    words_per_shingle: int = SHINGLE_WORDS,
+    max_bits: int = MAX_BITS,
+    paired_list: int = PAIRED_LIST,
+) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates, that of the smallest id.
 
-    Rows with the same id stay or go together.
+    Rows are kept or removed by id and text together.
     """
-    gone = (
-        near_duplicates(docs, **options)
-        .where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct())
-    return join_ids(docs, gone, "left_anti")
+    prints = stored(fingerprints(docs, words_per_shingle))
+    roots = _roots(prints, max_bits, paired_list).select("print", "root")
+    return one_of_each_group(docs, prints.join(roots, "print").select("doc_id", "mark", "root"))

@@ -98,6 +98,16 @@ def test_simhash_groups(spark, make_docs, corpus):
     assert simhash.near_duplicates(make_docs([(None, None), (None, "")])).count() == 2
 
 
+def test_a_near_duplicate_takes_no_other_text_with_it(spark, make_docs):
+    shared, alone, other = "one two three four five six", "quite another text than that", "words of no other row"
+    rows = [(3, shared), (None, shared.upper()), (None, alone), (4, other), (4, shared), (None, "no id here"),
+            (None, "NO id here"), (5, "same id twice"), (5, "SAME id twice"), (6, "a copy"), (6, "a copy")]
+    left = [(r["doc_id"], r["text"].lower()) for r in simhash.deduplicated(make_docs(rows)).collect()]
+    assert sorted(left, key=repr) == sorted([
+        (3, shared), (None, alone), (4, other), (None, "no id here"), (5, "same id twice"), (6, "a copy")], key=repr)
+    assert simhash.deduplicated(make_docs([])).count() == 0
+
+
 def test_spark_hash_is_the_contracts(spark):
     text = "some three words"
     row = spark.createDataFrame([(text,)], "t string").select(F.xxhash64("t")).first()
