@@ -319,18 +319,22 @@ def identify(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
 
 
 def accepted(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
-    """``docs`` without the rows whose language cannot be told.
+    """``docs`` without the rows whose language cannot be told: those without a letter.
 
-    Rows are judged where they lie and pass with all of their columns.
+    Rows are judged where they lie and pass with all of their columns.  The machines name
+    a language for every text with a letter, so they reject none; where there was nothing
+    to learn from, the letter alone decides.
     """
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, train_docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             has_letter = batch.column("has_letter").to_pylist()
-            names, _ = _judge(shared.value, batch.column("text"), has_letter)
-            told = pa.array([name != UNDETERMINED for name in names], pa.bool_())
-            yield batch.filter(told).drop_columns(["has_letter"])
+            told = has_letter
+            if shared.value is not None:
+                names, _ = _judge(shared.value, batch.column("text"), has_letter)
+                told = [name != UNDETERMINED for name in names]
+            yield batch.filter(pa.array(told, pa.bool_())).drop_columns(["has_letter"])
 
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     return small_batches(docs).withColumn("has_letter", letters).mapInArrow(run, docs.schema)

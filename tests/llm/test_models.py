@@ -152,3 +152,10 @@ def test_all_windows_overlap():
                 assert begin[t] <= f and f + n <= begin[t + 1] and n <= toxicity.WINDOW
                 seen |= set(range(f, f + n))
         assert seen == set(range(begin[t], begin[t + 1]))
+
+
+def test_nothing_to_learn_rejects_no_letter(make_docs):
+    rows = [(1, "a clean text", None), (2, "ein Satz", None), (3, "123 ...", None), (4, None, None), (None, "é", None)]
+    assert language_id.fit(make_docs(rows)) is None
+    left = language_id.accepted(make_docs(rows)).collect()
+    assert sorted((r["text"] for r in left)) == ["a clean text", "ein Satz", "é"]
