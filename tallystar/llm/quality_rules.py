@@ -1,11 +1,12 @@
 """Quality rules by robust multivariate outliers.
 
 Every text is reduced in its row to a few counts; nothing but these is shuffled.  Per
-language and source, the minimum-covariance-determinant estimate of their transformed
-values is found by concentration steps: start from robust location and scale, keep the
-share of documents nearest to the current centre, estimate again from these, until the
-determinant stops falling.  Documents whose Mahalanobis distance from the final estimate
-is too large are rejected.
+language and source, and per language, the minimum-covariance-determinant estimate of
+their transformed values is found by concentration steps: start from robust location and
+scale, keep the share of documents nearest to the current centre, estimate again from
+these, until the determinant stops falling.  The estimate of a language and source is
+drawn towards its language's by a weight that falls as its rows grow.  Documents whose
+Mahalanobis distance from the final estimate is too large are rejected.
 
 A group's estimate is made of sums, so a source that holds a third of all rows costs one
 partial sum per task.  The half-set is cut at a rank found from counts per distance bin,
@@ -15,6 +16,7 @@ which are bounded however large the group is.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,7 +26,8 @@ from tallystar.llm.common import space_words, stored
 MIN_WORDS = 50
 MAX_REPEATED_SHARE = 50
 COVERED = 0.75
-MIN_GROUP = 60
+#: Rows that a language's estimate counts for in a source's: as many as it has free numbers.
+PRIOR_ROWS = 20
 STEPS = 12
 #: Chance that a regular document lies beyond the cut, were its vector normal.
 TAIL = 1e-9
@@ -117,21 +120,56 @@ def _moments(rows: DataFrame) -> DataFrame:
         *[F.avg(x[i]).alias(f"mu{i}") for i in range(p)],
         *[F.avg(x[i] * x[j]).alias(f"xx{i}{j}") for i, j in pairs])
     floors = list(FLOORS.values())
-    for i in range(p):
-        for j in range(i + 1):
-            value = F.col(f"xx{i}{j}") - F.col(f"mu{i}") * F.col(f"mu{j}")
-            if i == j:
-                value = F.greatest(value, F.lit(0.0)) + floors[i] ** 2
-            for k in range(j):
-                value = value - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-            entry = F.sqrt(F.greatest(value, F.lit(1e-12))) if i == j else value / F.col(f"l{j}{j}")
-            sums = sums.withColumn(f"l{i}{j}", entry)
+
+    def covariance(i: int, j: int) -> Column:
+        value = F.col(f"xx{i}{j}") - F.col(f"mu{i}") * F.col(f"mu{j}")
+        return F.greatest(value, F.lit(0.0)) + floors[i] ** 2 if i == j else value
+
+    return _factored(sums, covariance)
+
+
+def _factored(groups: DataFrame, covariance: Callable[[int, int], Column]) -> DataFrame:
+    """The groups' means mu, Cholesky factor L of their covariance, and log determinant."""
+    p = len(DIMENSIONS)
+    pairs = [(i, j) for i in range(p) for j in range(i + 1)]
+    for i, j in pairs:
+        value = covariance(i, j)
+        for k in range(j):
+            value = value - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
+        entry = F.sqrt(F.greatest(value, F.lit(1e-12))) if i == j else value / F.col(f"l{j}{j}")
+        groups = groups.withColumn(f"l{i}{j}", entry)
     determinant = sum((2 * F.log(f"l{i}{i}") for i in range(p)), F.lit(0.0))
-    return sums.select(
+    return groups.select(
         "group", determinant.alias("log_det"),
         *[f"mu{i}" for i in range(p)], *[f"l{i}{j}" for i, j in pairs])
 
 
+def _drawn(estimate: DataFrame, parents: DataFrame, prior_rows: float) -> DataFrame:
+    """Estimates drawn towards their parents' by ``prior_rows`` / (n + ``prior_rows``).
+
+    ``parents`` has (group, parent, n); ``estimate`` holds groups and parents.
+    """
+    p = len(DIMENSIONS)
+    pairs = [(i, j) for i in range(p) for j in range(i + 1)]
+    numbers = [*[f"mu{i}" for i in range(p)], *[f"l{i}{j}" for i, j in pairs]]
+    own = estimate.select("group", F.struct(*numbers).alias("own"))
+    parent = estimate.select(F.col("group").alias("parent"), F.struct(*numbers).alias("of_parent"))
+    weight = F.col("n") / (F.col("n") + F.lit(float(prior_rows)))
+    both = parents.join(own, "group").join(parent, "parent").withColumn("weight", weight)
+
+    def mixed(a: Column, b: Column) -> Column:
+        return F.col("weight") * a + (1 - F.col("weight")) * b
+
+    def covariance(i: int, j: int) -> Column:
+        entry = lambda side: sum(
+            (F.col(f"{side}.l{i}{k}") * F.col(f"{side}.l{j}{k}") for k in range(j + 1)), F.lit(0.0))
+        return mixed(entry("own"), entry("of_parent"))
+
+    for i in range(p):
+        both = both.withColumn(f"mu{i}", mixed(F.col(f"own.mu{i}"), F.col(f"of_parent.mu{i}")))
+    return _factored(both, covariance)
+
+
 def _distance() -> Column:
     """Squared Mahalanobis distance, by forward substitution."""
     z: list[Column] = []
@@ -220,7 +258,8 @@ def mcd(rows: DataFrame, covered: float = COVERED, steps: int = STEPS) -> DataFr
 def assess(
     docs: DataFrame,
     covered: float = COVERED,
-    min_group: int = MIN_GROUP,
+    min_group: int | None = None,
+    prior_rows: float = PRIOR_ROWS,
     tail: float = TAIL,
     min_words: int = MIN_WORDS,
     max_repeated_share: int = MAX_REPEATED_SHARE,
@@ -230,18 +269,27 @@ def assess(
     ``base_failed``: under ``min_words`` words, or more than ``max_repeated_share`` per
     cent of them repeated.  ``kept``: not failed, and within the cut of its group.
 
-    Groups are language and source; groups of fewer than ``min_group`` rows are judged
-    together.  Null language or source is a value of its own.  A null text has no words
+    Groups are language and source; the estimate of n rows weighs n, its language's
+    ``prior_rows``.  With ``min_group``, nothing is drawn, and groups of fewer rows are
+    judged together.  Null language or source is a value of its own.  A null text has no words
     and fails.  Repeated rows count as often as they stand.  Distances are scaled so
     that, were the vectors normal, ``tail`` of the regular ones would lie beyond.
     """
     key = F.to_json(F.struct("lang", "source"), {"ignoreNullFields": "false"})
     counts = stored(_transformed(text_counts(docs)).withColumn("own", key))
-    large = counts.groupBy("own").count().where(F.col("count") >= min_group).select(
-        "own", F.col("own").alias("group"))
-    grouped = counts.join(large, "own", "left").withColumn(
-        "group", F.coalesce("group", F.lit("small groups")))
-    estimate = mcd(grouped.select("group", *DIMENSIONS), covered)
+    if min_group is None:
+        grouped = counts.withColumn("group", F.col("own"))
+        parent = F.to_json(F.struct("lang"), {"ignoreNullFields": "false"})
+        twice = counts.select(F.explode(F.array("own", parent)).alias("group"), *DIMENSIONS)
+        parents = counts.groupBy(F.col("own").alias("group"), parent.alias("parent")).agg(
+            F.count("*").alias("n"))
+        estimate = _drawn(mcd(stored(twice), covered), parents, prior_rows)
+    else:
+        large = counts.groupBy("own").count().where(F.col("count") >= min_group).select(
+            "own", F.col("own").alias("group"))
+        grouped = counts.join(large, "own", "left").withColumn(
+            "group", F.coalesce("group", F.lit("small groups")))
+        estimate = mcd(grouped.select("group", *DIMENSIONS), covered)
     p = len(DIMENSIONS)
     # The covered part understates the scatter by a known factor.
     scale = covered / _chi2(p + 2, chi2_quantile(p, covered))

@@ -6,6 +6,7 @@ import duckdb
 import numpy as np
 import pytest
 from odd_rows import ODD
+from pyspark.sql import functions as F
 
 from tallystar.llm import license_scan, quality_rules, queries, url_filter
 
@@ -91,6 +92,36 @@ def test_quality_of_odd_rows(spark, make_docs):
     assert quality_rules.assess(make_docs([])).count() == 0
 
 
+def test_small_groups_are_not_judged_by_another_language(make_docs, corpus, monkeypatch):
+    mcd = quality_rules.mcd
+    monkeypatch.setattr(quality_rules, "mcd", lambda rows, covered: mcd(rows, covered, steps=0))
+    texts = [t for _, t, lang, _ in corpus if lang == "en" and t][:40]
+    own = [(k, t, "en", f"s{k % 3}") for k, t in enumerate(texts)]
+    alone = {r["doc_id"]: r["distance"] for r in quality_rules.assess(make_docs(own)).collect()}
+    more = own + [(100 + k, " ".join(3 * w for w in t.split()), "xx", "s0") for k, t in enumerate(texts[:30])]
+    found = {r["doc_id"]: r["distance"] for r in quality_rules.assess(make_docs(more)).collect()}
+    assert len(found) == len(more)
+    assert np.allclose([found[k] for k in alone], list(alone.values()), rtol=1e-6)
+
+
+def test_drawn_estimate_weighs_rows(spark, make_docs, corpus):
+    rows = [(k, t, "en", f"s{k % 2}") for k, (_, t, lang, _) in enumerate(corpus) if lang == "en"]
+    counts = quality_rules._transformed(quality_rules.text_counts(make_docs(rows)))
+    both = counts.select(F.explode(F.array("source", "lang")).alias("group"), *quality_rules.DIMENSIONS)
+    plain = quality_rules.mcd(quality_rules.stored(both), steps=0)
+    parents = spark.createDataFrame([("s0", "en", 60), ("s1", "en", 0)], "group string, parent string, n long")
+    of = lambda frame: {r["group"]: r.asDict() for r in frame.collect()}
+    before, after = of(plain), of(quality_rules._drawn(plain, parents, 20))
+
+    def parts(row):
+        low = np.array([[row.get(f"l{i}{j}", 0.0) for j in range(5)] for i in range(5)])
+        return np.array([row[f"mu{i}"] for i in range(5)]), low @ low.T
+
+    for group, weight in (("s0", 0.75), ("s1", 0.0)):
+        for got, own, lang in zip(parts(after[group]), parts(before[group]), parts(before["en"])):
+            assert np.allclose(got, weight * own + (1 - weight) * lang)
+
+
 def test_chi_square():
     assert quality_rules._chi2(4, 4) == pytest.approx(1 - math.exp(-2) * 3, rel=1e-12)
     assert 1 - quality_rules._chi2(4, 60) == pytest.approx(math.exp(-30) * 31, rel=1e-3)
