@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.llm import (
-    exact_dedup, language_id, license_scan, mixing, packing, quality_rules, simhash, sql,
-    suffix_dedup, toxicity, url_filter,
+    exact_dedup, language_id, license_scan, line_dedup, mixing, packing, quality_rules, simhash,
+    source_divergence, sql, suffix_dedup, toxicity, url_filter, whitening,
 )
 from tallystar.llm.common import table
 
@@ -90,6 +90,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.without_repeated_lines(docs).select(
+        "row.doc_id", "n_lines", "n_dropped",
+        F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_license_scan": op2_license_scan,
@@ -101,6 +116,9 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_packing": op10_packing,
+    "op11_whitening": op11_whitening,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLES: dict[str, str] = {
@@ -108,4 +126,6 @@ ORACLES: dict[str, str] = {
     "op7_url_filter": sql.url_filter(FETCH_START, FETCH_STEP, FETCH_SPAN),
     "op8_mixing": sql.MIXING,
     "op9_exact_dedup": sql.EXACT_DEDUP,
+    "op12_line_dedup": sql.LINE_DEDUP,
+    "op13_source_divergence": sql.SOURCE_DIVERGENCE,
 }

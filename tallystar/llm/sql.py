@@ -60,6 +60,69 @@ FROM bodies WINDOW same AS (PARTITION BY body)
 """
 
 
+LINE_DEDUP = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS spot
+  FROM documents),
+keyed AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+repeated AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+judged AS (
+  SELECT doc_id, spot, line, keeper IS NOT NULL AND keeper <> doc_id AS gone
+  FROM keyed LEFT JOIN repeated USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY spot) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+SOURCE_DIVERGENCE = r"""
+WITH plain AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words,
+         row_number() OVER () AS doc
+  FROM documents),
+terms AS (
+  SELECT lang, source, doc, translate(unnest(words), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                      'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM plain),
+kept AS (
+  SELECT lang, term, count(*)::HUGEINT AS total FROM terms
+  GROUP BY ALL HAVING count(DISTINCT doc) >= 3),
+langs AS (SELECT lang, count(*) AS v, sum(total)::HUGEINT AS n FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM plain),
+counts AS (SELECT lang, source, term, count(*)::HUGEINT AS c FROM terms GROUP BY ALL),
+sizes AS (
+  SELECT lang, source, sum(c)::HUGEINT AS n FROM counts JOIN kept USING (lang, term) GROUP BY ALL),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+         1 + 1000000000::HUGEINT * (coalesce(c.c, 0) + 1) // (coalesce(s.n, 0) + l.v) AS p,
+         1 + 1000000000::HUGEINT * (k.total + 1) // (l.n + l.v) AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+  LEFT JOIN sizes s USING (lang, source) LEFT JOIN counts c USING (lang, source, term)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM shares a JOIN shares b
+      ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY ALL) priced ON priced.lang = a.lang AND priced.source = a.source AND priced.item = b.source),
+every AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM shares WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, value,
+       (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+FROM every
+QUALIFY part = 'pair' OR rank <= 200
+"""
+
+
 def _quoted(words: str) -> str:
     return "[" + ", ".join(f"'{w}'" for w in words.split()) + "]"
 
