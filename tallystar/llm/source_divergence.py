@@ -1,10 +1,10 @@
 """How far the sources of a language are from each other, term by term.
 
 Every (language, source) group keeps its counts of the language's terms as sorted arrays
-of (term id, count), cut into blocks of ids.  Each unordered pair of groups of a language
-is a task per block: the two arrays are co-grouped and merged by a galloping
-intersection, which prices terms that both have and terms that one has, both ways.
-Terms that neither has all cost the same and are priced by their number.
+of (term id, count), cut into blocks of ids.  The arrays of a language's groups meet block by
+block, and every unordered pair of them is merged by a galloping intersection, which
+prices terms that both have and terms that one has, both ways.  Terms that neither has
+all cost the same and are priced by their number.
 """
 
 from __future__ import annotations
@@ -25,6 +25,10 @@ UNIT = 1_000_000_000
 TERM_RANKS = 200
 #: Term ids per block: what a task of a pair holds of each side.
 BLOCK = 1 << 12
+#: Bits of a packed (term id in its block, count) that are the count's.
+COUNT_BITS = 48
+#: Sources whose arrays are in one task; more of a language are taken chunk by chunk.
+CHUNK = 32
 #: Distinct terms a task holds before it hands its counts on.
 HELD_TERMS = 200_000
 
@@ -79,31 +83,37 @@ def _plain(name: str) -> Column:
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, count, docs): occurrences of each term, and rows that hold it."""
+    """(lang, source, term, count, docs): occurrences of each term, and rows that hold it.
+
+    Tasks have counted already; what they send is dealt by language and term, so that
+    counts per group and per language need no further shuffle.
+    """
     texts = small_batches(docs).select(_plain("lang"), _plain("source"), _plain("text"))
     partial = texts.mapInArrow(_counts, "lang string, source string, term string, count long, docs long")
-    return partial.groupBy("lang", "source", "term").agg(
+    return partial.repartition("lang", "term").groupBy("lang", "source", "term").agg(
         F.sum("count").alias("count"), F.sum("docs").alias("docs"))
 
 
 def numbered_terms(counts: DataFrame, documents: int = DOCUMENTS) -> DataFrame:
-    """(lang, term, total, id): kept terms, numbered from 0 within their language.
+    """(lang, term, total, uses, id): kept terms, numbered from 0 within their language.
 
-    A distributed sort gives every term a slot; ids follow from the number of terms
-    before each task's, one row per task and language.
+    ``uses`` has (source, count) of each of the language's sources with the term.  A task
+    numbers its own terms; ids follow from the number of terms before each task's, one
+    row per task and language.
     """
-    kept = counts.groupBy("lang", "term").agg(
-        F.sum("docs").alias("docs"), F.sum("count").alias("total")).where(F.col("docs") >= documents)
     slotted = stored(
-        kept.select("lang", "term", "total").orderBy("lang", "term")
-        .withColumn("slot", F.monotonically_increasing_id()))
+        counts.groupBy("lang", "term").agg(
+            F.sum("docs").alias("docs"), F.sum("count").alias("total"),
+            F.collect_list(F.struct("source", "count")).alias("uses"))
+        .where(F.col("docs") >= documents).select("lang", "term", "total", "uses")
+        .sortWithinPartitions("lang").withColumn("slot", F.monotonically_increasing_id()))
     task = F.shiftright("slot", 33)
     before = Window.partitionBy("lang").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     starts = slotted.groupBy("lang", task.alias("task")).agg(
         F.count("*").alias("n"), F.min("slot").alias("least")).select(
         "lang", "task", "least", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    return slotted.withColumn("task", task).join(F.broadcast(starts), ["lang", "task"]).select(
-        "lang", "term", "total", (F.col("before") + F.col("slot") - F.col("least")).alias("id"))
+    return slotted.withColumn("task", task).join(starts, ["lang", "task"]).select(
+        "lang", "term", "total", "uses", (F.col("before") + F.col("slot") - F.col("least")).alias("id"))
 
 
 # Shares --------------------------------------------------------------------------
@@ -184,45 +194,59 @@ def price(
 _PRICED = "lang string, a string, b string, there long, back long, met long"
 
 
-def _side(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Ids and counts per row; a missing side has neither."""
-    sizes = np.asarray(column.value_lengths().fill_null(0), dtype=np.int64)
-    terms = column.flatten()
-    ids, counts = (np.asarray(terms.field(k), dtype=np.int64) for k in ("id", "count"))
-    ends = np.cumsum(sizes)
-    return [(ids[e - n : e], counts[e - n : e]) for e, n in zip(ends, sizes, strict=True)]
-
-
-def _pair_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each row is one pair in one block, with the arrays of both sides."""
-    for batch in batches:
-        sides = zip(_side(batch.column("terms_a")), batch.column("whole_a").to_pylist(),
-                    _side(batch.column("terms_b")), batch.column("whole_b").to_pylist(), strict=True)
-        priced = [price(*a, whole_a, *b, whole_b) for a, whole_a, b, whole_b in sides]
-        sums = np.array(priced, dtype=np.int64).reshape(-1, 3)
-        yield pa.RecordBatch.from_arrays(
-            [*map(batch.column, ("lang", "a", "b")), *map(pa.array, sums.T)],
-            names=["lang", "a", "b", "there", "back", "met"])
-
-
-def _pair_values(placed: DataFrame, groups: DataFrame, block: int) -> DataFrame:
-    """(lang, source, item, value) for both directions of every pair of a language."""
-    other = groups.select(
-        "lang", F.col("source").alias("b"), F.col("whole").alias("whole_b"))
-    pairs = groups.withColumnsRenamed({"source": "a", "whole": "whole_a"}).join(
-        other, "lang").where("a < b")
-    arrays = placed.groupBy("lang", "source", F.expr(f"id div {block}").alias("block")).agg(
-        F.sort_array(F.collect_list(F.struct("id", "count"))).alias("terms"))
-    ends = pairs.select("lang", "a", "b", "whole_a", "whole_b")
-    task = ["lang", "a", "b", "block", "whole_a", "whole_b"]
-
-    def side(name: str) -> DataFrame:
-        mine = arrays.withColumnRenamed("source", name).join(ends, ["lang", name])
-        return mine.select(*[F.col(c).alias(c) for c in task], F.col("terms").alias(f"terms_{name}"))
-
-    # Both sides of a pair and block meet, also where one of them has no term there.
-    met = small_batches(side("a").join(side("b"), task, "full"))
-    priced = met.select(*task, "terms_a", "terms_b").mapInArrow(_pair_tasks, _PRICED)
+def _pair_tasks(key: tuple, table: pa.Table) -> pa.Table:
+    """Every pair of two chunks of a language's sources, or of one, in one block."""
+    lang, _, first, second = (k.as_py() for k in key)
+    packed = table.column("terms").combine_chunks()
+    flat = np.asarray(packed.flatten(), dtype=np.int64)
+    ends = np.cumsum(np.asarray(packed.value_lengths().fill_null(0), dtype=np.int64))
+    names, wholes, chunks = (table.column(c).to_pylist() for c in ("source", "whole", "chunk"))
+    groups = sorted((
+        (chunk, name.encode(), name, whole, part)
+        for chunk, name, whole, part in zip(chunks, names, wholes, np.split(flat, ends[:-1]), strict=True)),
+        key=lambda group: group[:2])
+    sides = [(c, n, w, part >> COUNT_BITS, part & (1 << COUNT_BITS) - 1) for c, _, n, w, part in groups]
+    rows = []
+    for k, (chunk, a, whole_a, *terms_a) in enumerate(sides):
+        for its, b, whole_b, *terms_b in sides[k + 1 :]:
+            if (chunk, its) == (first, second):
+                rows.append((lang, a, b, *price(*terms_a, whole_a, *terms_b, whole_b)))
+    columns = zip(*rows, strict=True) if rows else [()] * 6
+    types = [pa.string()] * 3 + [pa.int64()] * 3
+    return pa.table(
+        [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+        names=["lang", "a", "b", "there", "back", "met"])
+
+
+def _pair_values(terms: DataFrame, groups: DataFrame, block: int, chunk: int) -> DataFrame:
+    """(lang, source, item, value) for both directions of every pair of a language.
+
+    An array meets those of its own chunk of sources and of every other chunk, once per
+    chunk and not once per source.  Every source has an array in every block of its
+    language, be it empty, so that terms only one side has are priced too.
+    """
+    ranked = groups.withColumn("place", F.row_number().over(
+        Window.partitionBy("lang").orderBy("source")) - 1).select(
+        "lang", "source", "whole", "kept_terms", F.expr(f"place div {chunk}").alias("chunk"))
+    others = ranked.groupBy("lang").agg(F.max("chunk").alias("last"))
+    ranked = stored(ranked.join(others, "lang"))
+    uses = terms.select("lang", F.expr(f"id div {block}").alias("block"), (
+        F.col("id") % block).alias("at"), F.inline("uses"))
+    arrays = uses.groupBy("lang", "source", "block").agg(F.sort_array(F.collect_list(
+        F.shiftleft("at", COUNT_BITS).bitwiseOR(F.col("count")))).alias("terms"))
+    last_block = F.expr(f"(kept_terms - 1) div {block}")
+    slots = ranked.where("kept_terms > 0").withColumn(
+        "block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
+    dealt = slots.join(arrays, ["lang", "source", "block"], "left").withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))))
+    priced = dealt.select(
+        "lang", "block", F.least("chunk", "other").alias("first"),
+        F.greatest("chunk", "other").alias("second"), "source", "whole", "chunk", "terms",
+    ).groupBy("lang", "block", "first", "second").applyInArrow(_pair_tasks, _PRICED)
+    left, right = (ranked.select(
+        "lang", F.col("source").alias(n), F.col("whole").alias(f"whole_{n}"), F.col("kept_terms").alias(f"kept_{n}"),
+        F.col("chunk").alias(f"chunk_{n}")) for n in "ab")
+    pairs = left.join(right, "lang").where("a < b").withColumn("kept_terms", F.col("kept_a"))
     sums = priced.groupBy("lang", "a", "b").agg(
         *[F.sum(c).alias(c) for c in ("there", "back", "met")])
     none = F.lit(0).cast("long")
@@ -251,6 +275,7 @@ def _term_values(placed: DataFrame, groups: DataFrame) -> DataFrame:
 
 def audit(
     docs: DataFrame, documents: int = DOCUMENTS, term_ranks: int = TERM_RANKS, block: int = BLOCK,
+    chunk: int = CHUNK,
 ) -> DataFrame:
     """(lang, source, part, item, value, rank): sources against each other, and their terms.
 
@@ -261,10 +286,8 @@ def audit(
     source has no pairs.  Equal values are ranked by the bytes of their names.  An empty
     table gives an empty result.
     """
-    counts = stored(term_counts(docs))
-    terms = numbered_terms(counts, documents)
-    placed = stored(counts.join(terms, ["lang", "term"]).select(
-        "lang", "source", "term", "id", "count", "total"))
+    terms = numbered_terms(term_counts(docs), documents)
+    placed = terms.select("lang", "term", "total", F.inline("uses"))
     languages = terms.groupBy("lang").agg(
         F.count("*").alias("kept_terms"), F.sum("total").alias("lang_n"))
     sizes = placed.groupBy("lang", "source").agg(F.sum("count").alias("n"))
@@ -279,7 +302,7 @@ def audit(
             F.greatest(F.coalesce("lang_n", none) + kept, F.lit(1)).alias("lang_whole")))
     along = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     rank = F.row_number().over(along).alias("rank")
-    pairs = _pair_values(placed, groups, block).select(
+    pairs = _pair_values(terms, groups, block, chunk).select(
         "lang", "source", F.lit("pair").alias("part"), "item", "value", rank)
     found = _term_values(placed, groups).select(
         "lang", "source", F.lit("term").alias("part"), "item", "value", rank)
