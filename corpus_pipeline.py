@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallystar.llm import exact_dedup, language_id, mixing, near_dedup, packing
+from tallystar.llm import exact_dedup, language_id, mixing, packing, simhash
 from tallystar.llm.common import table
 from tallystar.session import shared_dir
 
@@ -30,8 +30,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return near_dedup.deduplicated(docs)
+    """One document of each group of near-duplicates by SimHash: three words, two bits."""
+    return simhash.deduplicated(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
