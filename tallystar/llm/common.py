@@ -62,6 +62,14 @@ def unit_fraction(value: Column, seed: str) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name``, or that with enough underscores that no column of the frames has it."""
+    taken = {c.lower() for frame in frames for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 #: Up to so many ids, a few ten bytes each, are broadcast to find their rows; more are joined.
 BROADCAST_IDS = 1_000_000
 
@@ -74,11 +82,12 @@ def join_ids(
     The table is counted: a small one goes to the texts, so that these stay where they
     are; with a larger one, both are dealt by id.
     """
-    ids = stored(ids.withColumnRenamed("doc_id", "joined_id"))
+    name = unused("joined_id", docs, ids)
+    ids = stored(ids.withColumnRenamed("doc_id", name))
     if ids.count() <= broadcast_ids:
         ids = F.broadcast(ids)
-    joined = docs.join(ids, docs["doc_id"].eqNullSafe(ids["joined_id"]), how)
-    return joined.drop("joined_id")
+    joined = docs.join(ids, docs["doc_id"].eqNullSafe(ids[name]), how)
+    return joined.drop(name)
 
 
 def row_mark(text: Column) -> Column:
@@ -106,18 +115,19 @@ def one_of_each_group(
         F.count("*").alias("n")).where("not keeps or n > 1")
     rows = stored(rows.select(F.col("doc_id").alias("joined_id"), F.col("mark").alias("joined_mark"), "keeps"))
     small = rows.count() <= broadcast_ids
-    marked = docs.withColumn("joined_with", row_mark(F.col("text")))
+    name = unused("joined_with", docs)
+    marked = docs.withColumn(name, row_mark(F.col("text")))
 
     def joined(wanted: DataFrame, how: str) -> DataFrame:
         wanted = wanted.drop("keeps")
         same = marked["doc_id"].eqNullSafe(wanted["joined_id"]) & (
-            marked["joined_with"] == wanted["joined_mark"])
+            marked[name] == wanted["joined_mark"])
         return marked.join(F.broadcast(wanted) if small else wanted, same, how)
 
-    left = joined(rows, "left_anti").drop("joined_with")
+    left = joined(rows, "left_anti").drop(name)
     twice = rows.where("keeps")
     if twice.isEmpty():
         return left
     # The keeper stands there more than once, id and text alike.
-    once = joined(twice, "left_semi").dropDuplicates(["doc_id", "joined_with"])
-    return left.unionByName(once.drop("joined_with"))
+    once = joined(twice, "left_semi").dropDuplicates(["doc_id", name])
+    return left.unionByName(once.drop(name))

@@ -17,7 +17,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm.common import BROADCAST_IDS, SPACE_RUN, join_ids, stored
+from tallystar.llm.common import BROADCAST_IDS, SPACE_RUN, join_ids, stored, unused
 from tallystar.session import shared_dir
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -145,16 +145,18 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
     """
     decided = stored(exact_groups(docs, **options).select("doc_id", "kept", "text_sha256"))
     digest = F.sha2(normalised(F.col("text")), 256)
+    names = unused("gone_digests", docs)
     gone = decided.where(~F.col("kept")).groupBy("doc_id").agg(
-        F.collect_set("text_sha256").alias("gone_digests"))
+        F.collect_set("text_sha256").alias(names))
     marked = join_ids(docs, gone, "left")
     left = marked.where(
-        F.col("gone_digests").isNull() | ~F.array_contains("gone_digests", digest)
-    ).drop("gone_digests")
+        F.col(names).isNull() | ~F.array_contains(F.col(names), digest)
+    ).drop(names)
     twice = decided.where("kept").groupBy("doc_id", "text_sha256").count().where("count > 1")
     twice = stored(twice.select("doc_id").distinct())
     if twice.isEmpty():
         return left
-    again = join_ids(left, twice, "left_semi").withColumn("exact_digest", digest)
+    name = unused("exact_digest", docs)
+    again = join_ids(left, twice, "left_semi").withColumn(name, digest)
     return join_ids(left, twice, "left_anti").unionByName(
-        again.dropDuplicates(["doc_id", "exact_digest"]).drop("exact_digest"))
+        again.dropDuplicates(["doc_id", name]).drop(name))

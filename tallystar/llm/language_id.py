@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallystar.llm.common import held_out, small_batches
+from tallystar.llm.common import held_out, small_batches, unused
 
 TRAIN_DOCS = 800
 MIN_DOCS_PER_LANGUAGE = 20
@@ -326,15 +326,16 @@ def accepted(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     to learn from, the letter alone decides.
     """
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, train_docs))
+    mark = unused("has_letter", docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            has_letter = batch.column("has_letter").to_pylist()
+            has_letter = batch.column(mark).to_pylist()
             told = has_letter
             if shared.value is not None:
                 names, _ = _judge(shared.value, batch.column("text"), has_letter)
                 told = [name != UNDETERMINED for name in names]
-            yield batch.filter(pa.array(told, pa.bool_())).drop_columns(["has_letter"])
+            yield batch.filter(pa.array(told, pa.bool_())).drop_columns([mark])
 
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return small_batches(docs).withColumn("has_letter", letters).mapInArrow(run, docs.schema)
+    return small_batches(docs).withColumn(mark, letters).mapInArrow(run, docs.schema)

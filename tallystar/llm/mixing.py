@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallystar.llm.common import join_ids, space_words, stored, unit_fraction
+from tallystar.llm.common import join_ids, space_words, stored, unit_fraction, unused
 
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
@@ -119,22 +119,24 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     leave as were taken, spread over them.
     """
     plan = mix_plan(docs, **options)
+    mix_copies, mix_rows, mix_take, mix_copy = (
+        unused(c, docs) for c in ("mix_copies", "mix_rows", "mix_take", "mix_copy"))
     copies = plan.groupBy("doc_id").agg(
-        F.sum("copies").alias("mix_copies"), F.count("*").alias("mix_rows"))
-    copies = stored(copies.where("mix_copies > 0"))
+        F.sum("copies").alias(mix_copies), F.count("*").alias(mix_rows))
+    copies = stored(copies.where(F.col(mix_copies) > 0))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    once = join_ids(docs, copies.where("mix_rows = 1").drop("mix_rows"), "inner").withColumn(
-        "mix_take", F.col("mix_copies"))
-    twins = stored(copies.where("mix_rows > 1"))
+    once = join_ids(docs, copies.where(F.col(mix_rows) == 1).drop(mix_rows), "inner").withColumn(
+        mix_take, F.col(mix_copies))
+    twins = stored(copies.where(F.col(mix_rows) > 1))
     if not twins.isEmpty():
         # A row of an id that repeats cannot be told from its twins: each gives the mean,
         # and the first by content give what is left over.
         again = join_ids(docs, twins, "inner")
         place = F.row_number().over(Window.partitionBy("doc_id").orderBy(*columns))
-        share = F.floor(F.col("mix_copies") / F.col("mix_rows"))
-        over = F.when(place <= F.col("mix_copies") % F.col("mix_rows"), 1).otherwise(0)
-        again = again.withColumn("mix_take", share + over).drop("mix_rows").where("mix_take > 0")
+        share = F.floor(F.col(mix_copies) / F.col(mix_rows))
+        over = F.when(place <= F.col(mix_copies) % F.col(mix_rows), 1).otherwise(0)
+        again = again.withColumn(mix_take, share + over).drop(mix_rows).where(F.col(mix_take) > 0)
         once = once.unionByName(again)
     return once.withColumn(
-        "mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_take").cast("long")))
+        mix_copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(mix_take).cast("long")))
     ).select(*columns)
