@@ -111,9 +111,12 @@ def planes(shifted: np.ndarray, bits: list[int]) -> np.ndarray:
     sliced = np.concatenate([
         (shifted[:, d, None] >> np.arange(n, dtype=np.int64) & 1).astype(np.uint8).T
         for d, n in enumerate(bits)])
+    words = np.zeros((len(sliced), -(-sliced.shape[1] // 64)), dtype=np.uint64)
+    if not len(sliced):
+        return words
     packed = np.packbits(sliced, axis=1)
-    spare = -packed.shape[1] % 8
-    return np.ascontiguousarray(np.pad(packed, ((0, 0), (0, spare)))).view(np.uint64)
+    words.view(np.uint8)[:, : packed.shape[1]] = packed
+    return words
 
 
 def scatter(sliced: np.ndarray, bits: list[int]) -> list[list[int]]:
@@ -305,13 +308,12 @@ def identity_error(vectors: DataFrame, model: Fit) -> float:
 
     Each task sends one state of 16 x 16 numbers; eight tasks merge them, then one.
     """
-    width = len(model.sums)
+    width, k = len(model.sums), len(model.values)
+    if not k:
+        return 0.0
     states = vectors.select("x").mapInArrow(_spread(width, model), _STATE)
     few = states.repartition(8).mapInArrow(_merge_states, _STATE).coalesce(1)
     rows = few.mapInArrow(_merge_states, _STATE).collect()
-    if not rows or not len(model.values):
-        return 0.0
-    k = len(model.values)
     covariance = np.array(rows[0]["squares"]).reshape(k, k) / rows[0]["n"]
     return float(np.abs(covariance - np.eye(k)).max())
 
