@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from tallystar import vocab
 from tallystar.catalog import query
 from tallystar.catalog.star_sql import ARREARS, EVERYTHING, HOUSING, LINES, month_key
-from tallystar.functions.scalars import decimal_cell, month_index, rounded
+from tallystar.functions.scalars import decimal_cell, rounded
 from tallystar.operators import quality, reconcile
 from tallystar.operators.aggregates import exclude_aggregates, row_totals, stack, sum_of_amounts
 from tallystar.operators.timeseries import latest_only
-from tallystar.plans import checks, measures, questions, roles, views, warehouse
+from tallystar.plans import checks, fusion, measures, questions, roles, views, warehouse
 from tallystar.schemas import CHECK_RESULTS, FACTS
 from tallystar.session import shared_dir
 from tallystar.sources import releases
@@ -303,12 +303,10 @@ UNION ALL SELECT 'backlog_months_last_year', geo_name, {month_key("mi + 12")}, b
   FROM pace, calendar WHERE seen > 0 AND mi + 12 <= hi
 UNION ALL SELECT 'backlog_months_change', geo_name, date_key, backlog - ly FROM slow""")
 def housing_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star, by = roles.star(spark, sf_dir), ("geo_name", "date_key")
-    frames = {
-        name: measures.MEASURES[name](star, by, towns(), **PROVINCES)
-        for name in measures.HOUSING_PANEL
-    }
-    return _long(frames, *by)
+    """Twelve measures by name, from one pass over their fact."""
+    return fusion.listed(
+        roles.star(spark, sf_dir), measures.HOUSING_PANEL, ("geo_name", "date_key"), towns(),
+        **PROVINCES)
 
 
 _PLACE_CHANGE = HOUSING + f""",
@@ -381,17 +379,15 @@ UNION ALL SELECT 'housing_starts_12_months', geo_name, year, CAST(SUM(units) AS
 def measures_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Time-shifted measures of whole years: a year against the one before, and the
     twelve months up to its last month in the calendar."""
-    star, by = roles.star(spark, sf_dir), ("geo_name", "year")
     names = ("housing_starts_last_year", "housing_starts_change", "housing_starts_12_months")
-    return _long(
-        {n: measures.MEASURES[n](star, by, towns(), **PROVINCES) for n in names}, *by)
+    return fusion.listed(
+        roles.star(spark, sf_dir), names, ("geo_name", "year"), towns(), **PROVINCES)
 
 
 @query("measures_with_gaps", HOUSING + f""",
 starts AS (
   SELECT geo AS geo_name, mi, units FROM housing
   WHERE stage = 'Starts' AND is_total AND level = 'Province' AND coverage = '{vocab.TOWNS}'
-    AND mi % 5 <> 0
 ),
 spread AS (
   SELECT g.geo_name, m.mi, SUM(units) OVER w AS y, COUNT(units) OVER w AS seen
@@ -403,15 +399,47 @@ SELECT 'housing_starts_last_year' AS measure, geo_name, strftime(make_date(CAST(
 UNION ALL SELECT 'housing_starts_12_months', geo_name, strftime(make_date(CAST(mi // 12 AS INTEGER), CAST(mi % 12 + 1 AS INTEGER), 1), '%Y-%m'),
        CAST(y AS DOUBLE) FROM spread WHERE seen > 0""")
 def measures_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A series that skips months still has last year's value and a trailing sum there."""
-    star, by = dict(roles.star(spark, sf_dir)), ("geo_name", "year_month")
-    fact = star["fact_housing_activity"]
-    star["fact_housing_activity"] = fact.filter(month_index("date_key") % 5 != 0)
+    """Last year's value and a trailing sum in every month of the calendar, also in those
+    that a series skips: the first and last months of many places, and a few between."""
+    star, by = roles.star(spark, sf_dir), ("geo_name", "year_month")
     names = ("housing_starts_last_year", "housing_starts_12_months")
     return _long(
         {n: measures.MEASURES[n](star, by, towns(), **PROVINCES) for n in names}, *by)
 
 
+#: Several facts by month: what a report's first page shows.
+FRONT_PAGE = ("unsold_inventory", "homes_sold_or_rented", "percent_unsold", "new_mortgage_lending",
+              "mortgage_debt_outstanding", "variable_rate_share", "mortgage_rate", "arrears_rate")
+
+
+@query("measures_together", EVERYTHING + """,
+sold AS (
+  SELECT date_key, SUM(unabsorbed) AS unsold, SUM(absorptions) AS sold FROM absorption
+  WHERE level = 'Province' AND is_total GROUP BY date_key),
+lent AS (
+  SELECT date_key, SUM(funds) AS funds, SUM(balance) AS owed,
+         SUM(CASE WHEN lead = 'Variable rate' THEN funds END) AS variable
+  FROM residential GROUP BY date_key),
+late AS (
+  SELECT date_key, CAST(SUM(late) AS DOUBLE) / NULLIF(CAST(SUM(total) AS DOUBLE), 0) AS rate
+  FROM arrears WHERE NOT nat GROUP BY date_key),
+every AS (
+  SELECT date_key FROM sold UNION SELECT date_key FROM lent UNION SELECT date_key FROM late
+  UNION SELECT date_key FROM mortgage_rate)
+SELECT date_key, CAST(unsold AS DOUBLE) AS unsold_inventory,
+       CAST(sold AS DOUBLE) AS homes_sold_or_rented,
+       CAST(unsold AS DOUBLE) / NULLIF(CAST(unsold + sold AS DOUBLE), 0) AS percent_unsold,
+       CAST(funds * 1000000 AS DOUBLE) AS new_mortgage_lending,
+       CAST(owed * 1000000 AS DOUBLE) AS mortgage_debt_outstanding,
+       CAST(variable AS DOUBLE) / NULLIF(CAST(funds AS DOUBLE), 0) AS variable_rate_share,
+       CAST(m.rate AS DOUBLE) AS mortgage_rate, l.rate AS arrears_rate
+FROM every LEFT JOIN sold USING (date_key) LEFT JOIN lent USING (date_key)
+LEFT JOIN mortgage_rate m USING (date_key) LEFT JOIN late l USING (date_key)""")
+def measures_together(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight measures of four facts side by side, each fact read once."""
+    return fusion.together(roles.star(spark, sf_dir), FRONT_PAGE, ("date_key",), **PROVINCES)
+
+
 @query("snapshot_measures", LINES + """,
 last_a AS (SELECT MAX(date_key) AS k FROM absorption WHERE level = 'Province' AND is_total
            AND unabsorbed IS NOT NULL),
@@ -490,10 +518,10 @@ UNION ALL SELECT 'mortgage_rate', date_key, CAST(rate AS DOUBLE) FROM mortgage_r
 UNION ALL SELECT 'mortgage_rate_18_months_ago', {month_key("mi + 18")}, CAST(rate AS DOUBLE)
   FROM mortgage_rate, calendar WHERE mi + 18 <= hi""")
 def arrears_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star, by = roles.star(spark, sf_dir), ("date_key",)
+    """Measures of two facts, each read once."""
     names = ("total_mortgages", "mortgages_in_arrears", "arrears_rate", "arrears_rate_last_year",
              "arrears_rate_change_points", "mortgage_rate", "mortgage_rate_18_months_ago")
-    return _long({name: measures.MEASURES[name](star, by) for name in names}, *by)
+    return fusion.listed(roles.star(spark, sf_dir), names, ("date_key",))
 
 
 @query("suppressed_null", ARREARS + """
