@@ -15,7 +15,9 @@ from tallystar.functions.scalars import decimal_cell, rounded
 from tallystar.operators import quality, reconcile
 from tallystar.operators.aggregates import exclude_aggregates, row_totals, stack, sum_of_amounts
 from tallystar.operators.timeseries import latest_only
-from tallystar.plans import checks, fusion, measures, questions, roles, views, warehouse
+from tallystar.plans import (
+    checks, dims, facts, fusion, measures, questions, roles, views, warehouse,
+)
 from tallystar.schemas import CHECK_RESULTS, FACTS
 from tallystar.session import shared_dir
 from tallystar.sources import releases
@@ -1201,6 +1203,68 @@ def read_release_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("REF_DATE").alias("first_month"))
 
 
+@query("read_arrears_text", ARREARS + """
+SELECT CASE WHEN nat THEN 'everywhere' ELSE covers END AS covers, COUNT(*) AS months,
+       SUM(total)::DOUBLE AS total, SUM(late)::DOUBLE AS late, COUNT(*) FILTER (hidden) AS hidden
+FROM arrears_typed GROUP BY ALL""")
+def read_arrears_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written as the CSV of arrears rows, read back as text, and built into the
+    fact by region."""
+    raw = f"{_publication_root(spark, sf_dir, 'arrears')}/{uuid4().hex}"
+    roles.arrears(roles.events_base(spark, sf_dir)).write.csv(
+        releases.arrears_path(raw), header=True, escape='"')
+    releases.require_whole_lines(spark, [releases.arrears_path(raw)])
+    star = roles.star(spark, sf_dir)
+    fact = facts.mortgage_arrears(releases.read_arrears(spark, raw), star)
+    region = star["dim_arrears_region"].select(
+        "arrears_region_key", F.when(F.col("is_national"), "everywhere").otherwise(
+            F.col("covers_provinces")).alias("covers"))
+    return fact.join(region, "arrears_region_key").groupBy("covers").agg(
+        F.count(F.lit(1)).alias("months"), F.sum("total_mortgages").cast("double").alias("total"),
+        F.sum("mortgages_in_arrears").cast("double").alias("late"),
+        F.count_if("is_hidden").alias("hidden"))
+
+
+@query("stage_dimension", HOUSING + """
+SELECT CASE stage WHEN 'Starts' THEN 'Housing starts' WHEN 'Completions' THEN 'Housing completions'
+            ELSE 'Housing under construction' END AS stage_name, stage AS stage_short,
+       CAST(CASE stage WHEN 'Starts' THEN 1 WHEN 'Under construction' THEN 2 ELSE 3 END AS INTEGER) AS stage_order,
+       COUNT(*) AS n_rows, CAST(SUM(units) AS DOUBLE) AS units
+FROM housing GROUP BY ALL
+UNION ALL SELECT 'Unknown', 'Unknown', 9, 0, NULL""")
+def stage_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every member of the stage dimension with the rows of the fact that point at it."""
+    star = roles.star(spark, sf_dir)
+    rows = star["fact_housing_activity"].groupBy("stage_key").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("units").alias("units"))
+    return dims.dim_construction_stage(spark).join(rows, "stage_key", "left").select(
+        "stage_name", "stage_short", "stage_order", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "units")
+
+
+@query("read_report_files", """
+SELECT c_nationkey || '-' || CAST(year(o_orderdate) AS INTEGER) AS report,
+       CAST(row_number() OVER (PARTITION BY c_nationkey, year(o_orderdate) ORDER BY o_orderkey) - 1
+            AS INTEGER) AS page_no,
+       o_orderkey AS order_key, CAST(o_orderpriority AS VARCHAR) AS priority
+FROM orders JOIN customer ON c_custkey = o_custkey""")
+def read_report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders printed a page each, a report file per nation and year, read back page by
+    page: numbered by their place in the file, however the file is split."""
+    folder = f"{_publication_root(spark, sf_dir, 'reports')}/{uuid4().hex}"
+    printed = roles.table(spark, sf_dir, "orders").join(
+        roles.table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
+    ).select(
+        F.concat_ws("-", "c_nationkey", F.year("o_orderdate")).alias("report"), "o_orderkey",
+        F.concat(F.lit("REGION: "), "o_orderkey", F.lit("\n"), "o_orderpriority").alias("page"))
+    printed.repartition("report").sortWithinPartitions("report", "o_orderkey").select(
+        "report", "page").write.partitionBy("report").option("lineSep", "\f").text(folder)
+    pages = releases.read_report_pages(spark, folder)
+    return pages.select(
+        F.regexp_extract("doc_id", "report=([^/]+)/", 1).alias("report"), "page_no",
+        F.regexp_extract("text", "REGION: ([0-9]+)", 1).cast("bigint").alias("order_key"),
+        F.substring_index("text", "\n", -1).alias("priority"))
+
+
 @query("views_in_sql", _CHANGED + """
 SELECT year, geo_level, COUNT(*) AS places, MAX(units) AS most FROM changed GROUP BY ALL""")
 def views_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -102,3 +102,38 @@ def test_refused_publication_leaves_the_last_one(spark, tmp_path):
     assert tables.current_version(spark, root) == "v2"
     with pytest.raises(ValueError, match="published already"):
         tables.publish({"t": frame}, root, "v1", [])
+
+
+def test_pages_of_split_files_keep_their_numbers(spark, tmp_path):
+    """One file of two in five pages, read in hundreds of splits beside small ones."""
+    sizes = {"large.txt": 400, **{f"small{k}.txt": 60 for k in range(10)}}
+    for name, n in sizes.items():
+        (tmp_path / name).write_text("\f".join(f"{name} page {k}\n" + "x" * (k % 40) for k in range(n)))
+    conf = {"spark.sql.files.maxPartitionBytes": "300", "spark.sql.files.openCostInBytes": "1"}
+    before = {key: spark.conf.get(key) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        frame = releases.read_report_pages(spark, str(tmp_path))
+        assert frame.rdd.getNumPartitions() > 30
+        found = frame.collect()
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len(found) == sum(sizes.values())
+    for row in found:
+        name = row["doc_id"].rsplit("/", 1)[1]
+        assert row["text"].startswith(f"{name} page {row['page_no']}\n")
+    # Text is read once without an exchange; the window goes over splits alone.
+    exchanged = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanged and all("value" not in line and "text" not in line for line in exchanged)
+
+
+def test_values_with_line_breaks_are_refused(spark, tmp_path):
+    good, bad = tmp_path / "good.csv", tmp_path / "bad.csv"
+    good.write_text('a,b\n"x ""quoted""",1\n')
+    bad.write_text('a,b\n"two\nlines",1\n')
+    releases.require_whole_lines(spark, [str(good)])
+    with pytest.raises(ValueError, match="bad.csv"):
+        releases.require_whole_lines(spark, [str(good), str(bad)])
