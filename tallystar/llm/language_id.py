@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tallystar.llm.common import held_out, small_batches, unused
 
-TRAIN_DOCS = 800
+TRAIN_DOCS = 1600
 MIN_DOCS_PER_LANGUAGE = 20
 DIMENSIONS = 1 << 13
 GRAM_LENGTHS = (1, 2, 3, 4)
@@ -234,17 +234,19 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model | None:
     """Learn from rows with a language and a letter that are not held out.
 
     At most ``train_docs`` documents, the same number of each language, in the order of a
-    hash of their ids; their vectors come to the driver.  None if there is nothing to
-    learn from.
+    hash of their ids; their vectors come to the driver.  Of more than
+    ``train_docs / MIN_DOCS_PER_LANGUAGE`` languages, those with the most documents are
+    learned.  None if there is nothing to learn from.
     """
     rank = F.xxhash64(F.lit("language"), "doc_id").bitwiseAND(F.lit((1 << 62) - 1))
     usable = docs.select("doc_id", "lang", "text", rank.alias("rank")).where(
         F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["n"] for r in docs.where(F.col("lang").isNotNull())
-              .groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    most = max(1, train_docs // MIN_DOCS_PER_LANGUAGE)
+    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n"))
+              .orderBy(F.desc("n"), "lang").limit(most).collect()}
     if not counts:
         return None
-    each = max(MIN_DOCS_PER_LANGUAGE, train_docs // len(counts))
+    each = max(1, train_docs // len(counts))
     # A little more than needed by hash, then the first ones exactly.
     limits = F.create_map(*[
         F.lit(v) for lang, n in counts.items()
@@ -255,7 +257,7 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model | None:
     taken: dict[str, int] = {}
     places, labels = [], []
     for row in sorted(rows, key=lambda r: (r["rank"], r["lang"], len(r["place"]))):
-        if taken.get(row["lang"], 0) >= 2 * each:
+        if taken.get(row["lang"], 0) >= each:
             continue
         taken[row["lang"]] = taken.get(row["lang"], 0) + 1
         places.append((np.frombuffer(row["place"], np.uint16), np.frombuffer(row["value"], np.float32)))

@@ -33,6 +33,26 @@ def test_held_out_labels_are_never_learned(spark, make_docs, corpus):
     assert "xx" not in {r["lang_pred"] for r in found.collect()}
 
 
+def test_labels_of_held_out_rows_change_nothing(spark, make_docs, corpus):
+    lied = [(i, t, "xx" if is_held_out(i) else lang, s) for i, t, lang, s in corpus]
+    bare = [(i, t, None if is_held_out(i) else lang, s) for i, t, lang, s in corpus]
+    one, other = (sorted(map(tuple, language_id.identify(make_docs(rows)).collect())) for rows in (lied, bare))
+    assert one == other
+
+
+def test_the_bound_on_training_holds_for_any_number_of_languages(spark, make_docs, monkeypatch):
+    rows = [(k, f"word{k % 300} and some more of it {k}", f"l{k % 300:03d}" if k % 3 else "l000", "s")
+            for k in range(1500)]
+    seen = []
+    train = language_id.train
+    monkeypatch.setattr(language_id, "train", lambda x, labels: seen.append(labels) or train(x, labels))
+    assert language_id.fit(make_docs(rows), train_docs=100) is not None
+    labels, = seen
+    assert len(labels) <= 100
+    assert len(set(labels)) <= 100 // language_id.MIN_DOCS_PER_LANGUAGE
+    assert "l000" in labels
+
+
 def test_languages_of_odd_rows(spark, make_docs, corpus):
     docs = make_docs(corpus + ODD + [(900, "... 123 %%%", "en", "s")])
     model = language_id.fit(docs)
