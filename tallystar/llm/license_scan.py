@@ -1,16 +1,19 @@
 """License scans: an exact set-similarity join of licence templates with text blocks.
 
-A template is the set of words of a notice; a block is a run of consecutive words.  A
-block matches when it contains at least ``threshold`` of a template's words, so of a
-template of n words at least o = ceil(threshold * n) must stand in the block.
+A template is the set of words of a notice; a block is any run of ``block_words``
+consecutive words, wherever it starts.  A block matches when it contains at least
+``threshold`` of a template's words, so of a template of n words at least
+o = ceil(threshold * n) must stand in the block.
 
 * Tokens are ordered by how many words of the corpus they are, rarest first, counted
   over all rows.  A block with o template words has one of the template's first n - o + 1
   tokens (prefix filter), so only occurrences of these few rare tokens are joined.
-* From an occurrence, blocks are cut around it.  The block's own template-vocabulary
-  tokens, put in the same order, must number at least o (length filter), and the tokens
-  from the shared one on must suffice on both sides (positional filter).
-* What is left is verified by counting the words in common.
+* All blocks with the occurrence lie within the words around it.  The template-vocabulary
+  tokens of these, put in the same order, must number at least o (length filter), and the
+  tokens from the shared one on must suffice on both sides (positional filter).
+* What is left is verified by counting the words in common, block by block.  A block that
+  starts with a word of no use loses nothing by starting later, so blocks that start with
+  a word of the template stand for all.
 
 Fixed phrases are templates too, with threshold 1, so their prefix is their rarest word;
 an occurrence is verified by comparing the words around it in order.
@@ -77,8 +80,8 @@ def _words(text: Column) -> Column:
 
 
 def block_words(templates: Sequence[tuple[str, str]]) -> int:
-    """Words a block moves on by; a block has twice as many, so none is cut through."""
-    return max(len(t.split()) for t, _ in templates)
+    """Words of a block: twice those of the longest template."""
+    return 2 * max(len(t.split()) for t, _ in templates)
 
 
 def token_counts(docs: DataFrame, vocabulary: Sequence[str]) -> dict[str, int]:
@@ -104,8 +107,8 @@ def scan(
 
     Null, empty and wordless texts have no words, no labels and score 0.  The templates
     are short lists of the caller's, so the prefix table is broadcast; its size does not
-    depend on the corpus.  Rows that repeat an id are scanned as one document whose places
-    add up and whose words are the most of its rows; a null id likewise.
+    depend on the corpus.  Every row is answered by itself, also where an id repeats or is
+    null.
     """
     spark = docs.sparkSession
     vocabulary = sorted({w for t, _ in [*phrases, *notices] for w in t.split()})
@@ -125,10 +128,11 @@ def scan(
         probes, "word string, template int, kind int, place int, needed int, wording array<string>,"
         " label string, size int")
 
-    step = block_words([*phrases, *notices])
-    rows = docs.select("doc_id", _words(F.col("text")).alias("words"))
+    width = block_words([*phrases, *notices])
+    rows = docs.select(
+        "doc_id", F.monotonically_increasing_id().alias("row"), _words(F.col("text")).alias("words"))
     hits = (
-        rows.select("doc_id", "words", F.posexplode("words").alias("at", "word"))
+        rows.select("doc_id", "row", "words", F.posexplode("words").alias("at", "word"))
         .join(F.broadcast(prefix), "word"))
 
     # A phrase: its words around the hit, in order.
@@ -137,32 +141,33 @@ def scan(
         F.slice("words", F.greatest(start, F.lit(0)) + 1, F.col("needed")) == F.col("wording"))
     is_place = (F.col("kind") == 0) & (F.col("template") >= 0) & in_order
 
-    # A notice: the two blocks that hold the hit.
+    # A notice: what is around the hit may suffice, and one of the blocks there does.
     universe = F.array(*[F.lit(w) for w in sorted(vocabulary, key=rank.__getitem__)])
-
-    def containment(block: Column) -> Column:
-        begin = block * step
-        # Ordered by rank, because that is the order of the universe.
-        present = F.array_intersect(universe, F.slice("words", begin + 1, F.lit(2 * step)))
-        rest_of_template = F.col("size") - F.col("place")
-        rest_of_block = F.size(present) - F.array_position(present, F.col("word")).cast("int") + 1
-        shared = F.size(F.array_intersect(present, F.col("wording")))
-        fits = (F.size(present) >= F.col("needed")) & (
-            F.least(rest_of_template, rest_of_block) + F.col("place") >= F.col("needed"))
-        return F.when(fits, F.when(shared >= F.col("needed"), shared / F.col("size")))
-
-    block = F.floor(F.col("at") / F.lit(step)).cast("int")
-    best = F.greatest(
-        containment(block), F.when(block > 0, containment(F.greatest(block - 1, F.lit(0)))))
-    notice_score = F.when(F.col("kind") == 1, best)
+    first = F.greatest(F.col("at") - (width - 1), F.lit(0))
+    around = F.slice("words", first + 1, F.lit(2 * width - 1))
+    # Ordered by rank, because that is the order of the universe.
+    present = F.array_intersect(universe, around)
+    rest_of_template = F.col("size") - F.col("place")
+    rest_of_text = F.size(present) - F.array_position(present, F.col("word")).cast("int") + 1
+    may = (F.size(F.array_intersect(around, F.col("wording"))) >= F.col("needed")) & (
+        F.least(rest_of_template, rest_of_text) + F.col("place") >= F.col("needed"))
+
+    def shared(begin: Column) -> Column:
+        block = F.slice("words", begin + 1, F.lit(width))
+        useful = F.array_contains("wording", F.element_at("words", begin + 1))
+        return F.when(useful, F.size(F.array_intersect(F.col("wording"), block)))
+
+    most = F.array_max(F.transform(F.sequence(first, F.col("at")), shared))
+    found = F.when((F.col("kind") == 1) & may, most)
+    notice_score = F.when(found >= F.col("needed"), found / F.col("size"))
 
     judged = hits.select(
-        "doc_id", "label",
+        "doc_id", "row", "label",
         F.when(F.col("template") == -1, F.col("at")).alias("n_words"),
         F.when(is_place, start).alias("place"),
         notice_score.alias("notice_score"))
     joined = lambda labels: F.array_join(F.array_sort(labels), ",")
-    return judged.groupBy("doc_id").agg(
+    return judged.groupBy("doc_id", "row").agg(
         F.coalesce(F.max("n_words"), F.lit(0)).cast("long").alias("n_words"),
         F.count("place").alias("n_base"),
         F.min("place").cast("long").alias("first_word"),
@@ -173,4 +178,4 @@ def scan(
         F.coalesce(
             F.max(F.when(F.col("place").isNotNull(), 1.0).otherwise(F.col("notice_score"))),
             F.lit(0.0)).alias("score"),
-    )
+    ).drop("row")

@@ -128,9 +128,10 @@ def _quoted(words: str) -> str:
 
 
 def _license_scan() -> str:
-    """Every block against every template, and every word as a place of every phrase."""
+    """The block at every word of every text that has enough of a template's words anywhere,
+    and every word as a place of every phrase."""
     phrases, notices = license_scan.PHRASES, license_scan.NOTICES
-    step = license_scan.block_words([*phrases, *notices])
+    width = license_scan.block_words([*phrases, *notices])
     phrase_rows = ", ".join(f"({_quoted(t)}, '{label}')" for t, label in phrases)
     notice_rows = ", ".join(
         f"(list_sort(list_distinct({_quoted(t)})), '{label}')" for t, label in notices)
@@ -147,12 +148,16 @@ places AS (
   SELECT doc_id, label, spot, 1.0::DOUBLE AS score
   FROM starts, phrases
   WHERE words[spot + 1] = wording[1] AND words[spot + 1 : spot + len(wording)] = wording),
+hopeful AS (
+  SELECT doc_id, words, wording, label, ceil({license_scan.THRESHOLD} * len(wording) - 1e-9) AS needed
+  FROM split, notices WHERE len(list_intersect(wording, words)) >= needed),
 blocks AS (
-  SELECT doc_id, words[spot + 1 : spot + {2 * step}] AS block FROM starts WHERE spot % {step} = 0),
+  SELECT doc_id, wording, label, needed, unnest(list_transform(
+           range(len(words)), lambda spot: words[spot + 1 : spot + {width}])) AS block
+  FROM hopeful),
 found AS (
   SELECT doc_id, label, NULL AS spot, len(list_intersect(wording, block)) / len(wording) AS score
-  FROM blocks, notices
-  WHERE len(list_intersect(wording, block)) >= ceil({license_scan.THRESHOLD} * len(wording) - 1e-9)),
+  FROM blocks WHERE len(list_intersect(wording, block)) >= needed),
 every AS (SELECT * FROM places UNION ALL SELECT * FROM found),
 listed AS (
   SELECT doc_id, count(spot) AS n_base, min(spot) AS first_word, max(spot) AS last_word,
