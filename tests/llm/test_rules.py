@@ -158,21 +158,39 @@ def test_license_scan_against_every_block(spark, make_docs):
     assert license_scan.scan(make_docs([])).count() == 0
 
 
+def test_license_found_wherever_its_block_starts(spark, make_docs):
+    """A notice with a foreign word between each two fills a block, and stands anywhere."""
+    notice = next(t for t, label in license_scan.NOTICES if label == "mit").split()
+    spread = " ".join(f"{w} foreign{k}" for k, w in enumerate(notice))
+    rows = [(k, "pad " * k * 3 + spread) for k in range(20)]
+    found = license_scan.scan(make_docs(rows)).collect()
+    assert {r["labels"] for r in found} == {"mit"} and len({r["score"] for r in found}) == 1
+
+
+def test_license_scan_answers_every_row(spark, make_docs):
+    rows = [(None, "all rights reserved"), (None, "cc by nc"), (None, None), (7, "one two"),
+            (7, "under the mit license"), (7, "under the mit license")]
+    found = license_scan.scan(make_docs(rows)).select("doc_id", "n_words", "n_base", "labels")
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted([
+        (None, 3, 0, "all-rights-reserved"), (None, 3, 1, "cc-by-nc"), (None, 0, 0, ""), (7, 2, 0, ""),
+        (7, 4, 1, "mit"), (7, 4, 1, "mit")], key=repr)
+
+
 def test_license_prefix_filter_is_exact(spark, make_docs, corpus):
     """Templates of common words: many candidates, all thresholds."""
     common = [w for w, _ in collections.Counter(
         w for r in corpus for w in re.findall("[a-z]+", r[1].lower())).most_common(24)]
     notices = [(" ".join(common[k : k + 8]), f"n{k}") for k in range(0, 16, 4)]
     rows = corpus[:50]
-    step = license_scan.block_words(notices)
+    width = license_scan.block_words(notices)
     for threshold in (0.6, 0.8, 1.0):
         found = license_scan.scan(make_docs(rows), phrases=(), notices=notices, threshold=threshold)
         for r in found.collect():
             text = next(t for k, t, *_ in rows if k == r["doc_id"])
             words = [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower()) if w]
             hit = {}
-            for at in range(0, max(len(words), 1), step):
-                block = set(words[at : at + 2 * step])
+            for at in range(max(len(words), 1)):
+                block = set(words[at : at + width])
                 for wording, label in notices:
                     share = len(block & set(wording.split())) / len(set(wording.split()))
                     if share >= threshold - 1e-9:
