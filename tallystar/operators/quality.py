@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallystar.operators.aggregates import stack
 from tallystar.operators.lookup import duplicate_keys
 from tallystar.operators.timeseries import last_period_with_data
+from tallystar.session import shared_dir
 from tallystar.vocab import UNKNOWN_KEY
 
 __all__ = [
@@ -35,15 +36,82 @@ def orphan_count(
     )
 
 
+#: Buckets of 32,768 keys, 4 kB each, that the bitmaps of all dimensions may have.
+KEY_BUCKETS = 4096
+_WORDS = 512  # longs per bucket
+
+
+def key_bitmaps(members: Mapping[str, DataFrame]) -> DataFrame:
+    """``(dim, bucket, words)``: the keys of each dimension as bits of longs.
+
+    ``members`` holds one integer column per dimension.
+    """
+    keys = stack([
+        frame.select(F.lit(dim).alias("dim"), F.col(frame.columns[0]).cast("bigint").alias("key"))
+        for dim, frame in members.items()]).filter("key IS NOT NULL")
+    word = "conv(hex(substring(bits, 8 * i + 1, 8)), 16, -10)"
+    return keys.groupBy("dim", F.bitmap_bucket_number("key").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("key")).alias("bits")
+    ).select("dim", "bucket", F.expr(
+        f"transform(sequence(0, {_WORDS - 1}), i -> CAST({word} AS BIGINT))").alias("words"))
+
+
+def _has_bit(words: Column, key: Column) -> Column:
+    """Whether the key's bit is set in its bucket; false without a bucket."""
+    place = F.bitmap_bit_position(key)
+    # A word was read from bytes, so its first byte is the highest; bits count from the lowest.
+    shift = (7 - F.floor(place % 64 / 8)) * 8 + place % 8
+    bit = F.getbit(F.get(words, F.floor(place / 64).cast("int")), shift.cast("int"))
+    return F.coalesce(bit == 1, F.lit(False))
+
+
 def referential_integrity(
     tables: Mapping[str, DataFrame],
     edges: Sequence[tuple[str, str, str, str]],
+    key_buckets: int = KEY_BUCKETS,
 ) -> DataFrame:
-    """Orphans per edge ``(dim, dim key, fact, fact key)``.
+    """Orphans per edge ``(dim, dim key, fact, fact key)``; a missing key is one.
 
-    Each fact is read once, whatever its number of edges: its keys are counted side by
-    side, one row per edge and distinct key, and only these meet the dimensions.
+    Integer keys of dimensions become bitmaps, whose size is checked before they go to the
+    facts: a row's keys are looked up where the row lies, all edges of a fact in one scan,
+    and only counts are shuffled.  Keys of other types, or too many or too scattered for
+    bitmaps, are counted and joined instead.
     """
+    whole = ("tinyint", "smallint", "int", "bigint")
+    sides = {(dim, key): tables[dim].select(key) for dim, key, _, _ in edges}
+    plain = all(
+        frame.schema[0].dataType.simpleString() in whole
+        for frame in [*sides.values(), *(tables[fact].select(key) for _, _, fact, key in edges)])
+    if not plain:
+        return _counted_integrity(tables, edges)
+    named = {f"{dim}.{key}": frame for (dim, key), frame in sides.items()}
+    shared_dir(next(iter(tables.values())).sparkSession)
+    bitmaps = key_bitmaps(named).checkpoint()
+    if bitmaps.count() > key_buckets:
+        return _counted_integrity(tables, edges)
+    parts = []
+    for fact in dict.fromkeys(edge[2] for edge in edges):
+        own = [edge for edge in edges if edge[2] == fact]
+        rows = tables[fact].select(*dict.fromkeys(key for _, _, _, key in own))
+        missing = []
+        for n, (dim, dim_key, _, key) in enumerate(own):
+            bits = bitmaps.filter(F.col("dim") == f"{dim}.{dim_key}").select(
+                F.col("bucket").alias(f"_bucket{n}"), F.col("words").alias(f"_words{n}"))
+            rows = rows.join(
+                F.broadcast(bits), F.bitmap_bucket_number(F.col(key).cast("bigint")) == F.col(f"_bucket{n}"), "left")
+            missing.append(F.count_if(~_has_bit(F.col(f"_words{n}"), F.col(key).cast("bigint"))).alias(f"_edge{n}"))
+        found = rows.agg(*missing)
+        parts.append(found.select(F.inline(F.array(*[
+            F.struct(F.lit(dim).alias("dim"), F.lit(fact).alias("fact"), F.lit(key).alias("key"),
+                     F.col(f"_edge{n}").alias("orphan_rows"))
+            for n, (dim, _, _, key) in enumerate(own)]))))
+    return stack(parts)
+
+
+def _counted_integrity(
+    tables: Mapping[str, DataFrame], edges: Sequence[tuple[str, str, str, str]],
+) -> DataFrame:
+    """The same by counts: one row per edge and distinct key meets the dimensions."""
     parts = []
     for fact in dict.fromkeys(edge[2] for edge in edges):
         own = [(number, *edge) for number, edge in enumerate(edges) if edge[2] == fact]

@@ -64,3 +64,33 @@ def test_history_span(spark):
 def test_non_empty(spark):
     frames = {"full": spark.range(3), "empty": spark.range(0)}
     assert tuples(quality.is_non_empty(frames)) == [("empty", False), ("full", True)]
+
+
+def test_integrity_by_bitmaps_and_by_counts(spark):
+    """Keys around the ends of buckets and words, negative, missing and far away."""
+    keys = [1, 2, 63, 64, 65, 127, 128, 32767, 32768, 32769, 65536, 70000, -1, 0, 2**40]
+    strays = [3, 66, 129, 32766, 65537, -2, 2**40 + 1, 10**12]
+    d = spark.createDataFrame([(k,) for k in keys], "k bigint")
+    e = spark.createDataFrame([(k,) for k in range(1, 300)], "k int")
+    rows = [(k, j % 310) for j, k in enumerate([*keys, *strays, None] * 20)]
+    f = spark.createDataFrame(rows, "d bigint, e int")
+    edges = [("d", "k", "f", "d"), ("e", "k", "f", "e"), ("e", "k", "g", "e")]
+    tables = {"d": d, "e": e, "f": f, "g": f.limit(0)}
+    known_d, known_e = set(keys), set(range(1, 300))
+    want = sorted([
+        ("d", "f", "d", sum(k not in known_d for k, _ in rows)),
+        ("e", "f", "e", sum(k not in known_e for _, k in rows)), ("e", "g", "e", 0)])
+    assert tuples(quality.referential_integrity(tables, edges)) == want
+    assert tuples(quality.referential_integrity(tables, edges, key_buckets=1)) == want
+
+
+def test_integrity_scans_a_fact_once_and_shuffles_counts(spark, tmp_path):
+    spark.range(1000).selectExpr("CAST(id AS INT) k").write.parquet(f"{tmp_path}/dim")
+    spark.range(5000).selectExpr("CAST(id % 900 AS INT) a", "CAST(id AS INT) b").write.parquet(f"{tmp_path}/fact")
+    tables = {name: spark.read.parquet(f"{tmp_path}/{name}") for name in ("dim", "fact")}
+    edges = [("dim", "k", "fact", "a"), ("dim", "k", "fact", "b")]
+    found = quality.referential_integrity(tables, edges)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    assert "Exchange hashpartitioning" not in plan and plan.count("Exchange SinglePartition") == 1
+    assert tuples(found) == [("dim", "fact", "a", 0), ("dim", "fact", "b", 4000)]
