@@ -135,16 +135,22 @@ def scan(
         rows.select("doc_id", "row", "words", F.posexplode("words").alias("at", "word"))
         .join(F.broadcast(prefix), "word"))
 
+    # What blocks with the hit can reach is cut once; the text itself goes no further.
+    first = F.greatest(F.col("at") - (width - 1), F.lit(0))
+    hits = hits.select(
+        "doc_id", "row", "at", *prefix.columns, (F.col("at") - first).alias("here"),
+        F.slice("words", first + 1, F.lit(2 * width - 1)).alias("around"))
+
     # A phrase: its words around the hit, in order.
     start = F.col("at") - F.col("place")
-    in_order = (start >= 0) & (
-        F.slice("words", F.greatest(start, F.lit(0)) + 1, F.col("needed")) == F.col("wording"))
+    begin = F.col("here") - F.col("place")
+    in_order = (begin >= 0) & (
+        F.slice("around", F.greatest(begin, F.lit(0)) + 1, F.col("needed")) == F.col("wording"))
     is_place = (F.col("kind") == 0) & (F.col("template") >= 0) & in_order
 
     # A notice: what is around the hit may suffice, and one of the blocks there does.
     universe = F.array(*[F.lit(w) for w in sorted(vocabulary, key=rank.__getitem__)])
-    first = F.greatest(F.col("at") - (width - 1), F.lit(0))
-    around = F.slice("words", first + 1, F.lit(2 * width - 1))
+    around = F.col("around")
     # Ordered by rank, because that is the order of the universe.
     present = F.array_intersect(universe, around)
     rest_of_template = F.col("size") - F.col("place")
@@ -153,11 +159,11 @@ def scan(
         F.least(rest_of_template, rest_of_text) + F.col("place") >= F.col("needed"))
 
     def shared(begin: Column) -> Column:
-        block = F.slice("words", begin + 1, F.lit(width))
-        useful = F.array_contains("wording", F.element_at("words", begin + 1))
+        block = F.slice("around", begin + 1, F.lit(width))
+        useful = F.array_contains("wording", F.element_at("around", begin + 1))
         return F.when(useful, F.size(F.array_intersect(F.col("wording"), block)))
 
-    most = F.array_max(F.transform(F.sequence(first, F.col("at")), shared))
+    most = F.array_max(F.transform(F.sequence(F.lit(0), F.col("here")), shared))
     found = F.when((F.col("kind") == 1) & may, most)
     notice_score = F.when(found >= F.col("needed"), found / F.col("size"))
 
