@@ -34,6 +34,7 @@ from tallystar.plans.measures import (
 )
 from tallystar.schemas import CHECK_RESULTS, DIMENSIONS, FACTS, KEY, RELATIONSHIPS
 from tallystar.session import shared_dir
+from tallystar.sources.tables import FOLDER, within_months
 
 
 @dataclass(frozen=True, eq=False)
@@ -431,6 +432,13 @@ class _Fact:
 
     # Execution
 
+    def months_seen(self, star: Star) -> DataFrame:
+        """The months in context and those that they look back on."""
+        back = F.expr(f"explode(array({', '.join(map(str, sorted(self.offsets)))}))")
+        chosen = star["dim_date"].filter(self.request.where["dim_date"])
+        return chosen.select("date_key", back.alias("_back")).select(
+            month_of_index(month_index("date_key") - F.col("_back")).alias("date_key"))
+
     def first_aggregate(self, star: Star, fact: str) -> DataFrame:
         """States by series and month: the one scan of the fact."""
         request, conditions = self.request, self.conditions
@@ -443,6 +451,9 @@ class _Fact:
             if c not in FACTS[fact].fieldNames()]
         flags: dict[str, list[str]] = {name: [] for name in conditions}
         rows = star[fact]
+        if "dim_date" in request.where:
+            rows = within_months(rows, self.months_seen(star))
+        rows = rows.drop(FOLDER)
         for dim in reachable:
             if dim == "dim_date":
                 continue

@@ -32,6 +32,7 @@ from tallystar.operators.timeseries import (
     share_of_movement,
 )
 from tallystar.schemas import DIMENSIONS, FACTS, KEY, RELATIONSHIPS
+from tallystar.sources.tables import FOLDER, within_months
 
 Star = Mapping[str, DataFrame]
 Where = Mapping[str, Column | str] | None
@@ -59,13 +60,19 @@ def _also(where: Where, dim: str, condition: Column) -> dict[str, Column]:
 
 
 def in_context(star: Star, fact: str, by: Sequence[str], where: Where = None) -> DataFrame:
-    """The fact joined to just those dimensions that filter it or name its groups."""
+    """The fact joined to just those dimensions that filter it or name its groups.
+
+    A condition on the calendar keeps the scan to the year folders that it names.
+    """
     where = _conditions(where)
-    rows = star[fact]
     reachable = [dim for dim, target in RELATIONSHIPS if target == fact]
+    rows = star[fact]
     stray = set(where) - set(reachable)
     if stray:
         raise ValueError(f"{fact} has no relationship to {', '.join(sorted(stray))}")
+    if "dim_date" in where:
+        rows = within_months(rows, star["dim_date"].filter(where["dim_date"]))
+    rows = rows.drop(FOLDER)
     wanted = [c for c in by if c not in FACTS[fact].fieldNames()]
     for dim in reachable:
         members = star[dim].filter(where[dim]) if dim in where else star[dim]
@@ -73,7 +80,7 @@ def in_context(star: Star, fact: str, by: Sequence[str], where: Where = None) ->
         wanted = [c for c in wanted if c not in shown]
         if shown:
             rows = rows.join(members.select(KEY[dim], *shown), KEY[dim])
-        elif dim in where:
+        elif dim in where and dim != "dim_date":
             rows = rows.join(members.select(KEY[dim]), KEY[dim], "left_semi")
     if wanted:
         raise ValueError(f"{fact} has no dimension column {', '.join(wanted)}")
@@ -101,7 +108,8 @@ def _moved(star: Star, months: int) -> Star:
     """
     later = {
         fact: within_calendar(
-            star[fact].withColumn("date_key", month_of_index(month_index("date_key") + months)),
+            star[fact].drop(FOLDER).withColumn(
+                "date_key", month_of_index(month_index("date_key") + months)),
             star["dim_date"],
         )
         for fact in FACTS if fact in star

@@ -62,7 +62,7 @@ def build(
     def keep(name: str, frame: DataFrame, schema, cluster=()) -> tuple[str, DataFrame]:
         path = f"{workdir}/star/{name}"
         tables.write_table(frame, path, cluster)
-        return name, tables.read_table(spark, path, schema)
+        return name, tables.read_table(spark, path, schema, folders=name in FACTS)
 
     builders = all_dims(spark, staged, end_month, start_month)
 
@@ -80,10 +80,13 @@ def build(
     return {**dims, **dict(stored)}
 
 
-def load(spark: SparkSession, workdir: str) -> Star:
-    """A star stored by :func:`build`, or the tables of an export."""
+def load(spark: SparkSession, workdir: str, folders: bool = False) -> Star:
+    """A star stored by :func:`build`, or the tables of an export.
+
+    With ``folders``, facts show the folder their rows lie in, by which measures prune.
+    """
     return {
-        name: tables.read_table(spark, f"{workdir}/{name}", schema)
+        name: tables.read_table(spark, f"{workdir}/{name}", schema, folders=folders and name in FACTS)
         for name, schema in {**DIMENSIONS, **FACTS}.items()
     }
 
@@ -116,7 +119,8 @@ def publish(
     star: Star, results: DataFrame, reasons: list[str], root: str, version: str
 ) -> DataFrame | None:
     """Export dimensions, facts, views and check results, unless a check forbids it."""
-    everything = {**star, **all_views(star), "check_results": to_stored(results)}
+    stored = {name: frame.drop(tables.FOLDER) for name, frame in star.items()}
+    everything = {**stored, **all_views(star), "check_results": to_stored(results)}
     return tables.publish(everything, root, version, reasons, GRAIN)
 
 
@@ -144,8 +148,8 @@ def run(
     return publish(star, results, reasons, root, version), reasons
 
 
-def read_export(spark: SparkSession, root: str) -> Star | None:
-    """Tables of the export in force."""
+def read_export(spark: SparkSession, root: str, folders: bool = False) -> Star | None:
+    """Tables of the export in force; ``folders`` as in :func:`load`."""
     version = tables.current_version(spark, root)
     if version is None:
         return None
@@ -155,7 +159,7 @@ def read_export(spark: SparkSession, root: str) -> Star | None:
         for name in ("pipeline_health", "what_changed", "arrears_trend")
     }
     results = tables.read_table(spark, f"{folder}/check_results", CHECK_RESULTS)
-    return {**load(spark, folder), **views, "check_results": results}
+    return {**load(spark, folder, folders), **views, "check_results": results}
 
 
 def fact_rows(star: Star) -> DataFrame:

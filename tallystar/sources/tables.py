@@ -13,6 +13,8 @@ from pyspark.sql.types import StructType
 from tallystar.functions.scalars import year_of_key
 
 PUBLICATIONS = "publications"
+#: Name under which a read fact shows the folder its rows lie in.
+FOLDER = "stored_year"
 _CONCURRENT_WRITES = 8
 
 
@@ -57,15 +59,37 @@ def read_table(
     schema: StructType,
     first_month: int | None = None,
     last_month: int | None = None,
+    folders: bool = False,
 ) -> DataFrame:
-    """A stored table; month bounds prune year folders as well as row groups."""
+    """A stored table; month bounds prune year folders as well as row groups.
+
+    With ``folders``, a table stored by year also shows it as ``stored_year``, so that a
+    join with chosen months can prune folders at run time.
+    """
     frame = spark.read.parquet(path)
     for bound, keep in ((first_month, "__ge__"), (last_month, "__le__")):
         if bound is not None:
             frame = frame.filter(getattr(F.col("date_key"), keep)(bound))
             if "year" in frame.columns and "year" not in schema.fieldNames():
                 frame = frame.filter(getattr(F.col("year"), keep)(bound // 10000))
-    return frame.select(*schema.fieldNames())
+    by_year = folders and "year" in frame.columns and "year" not in schema.fieldNames()
+    shown = [F.col("year").alias(FOLDER)] if by_year else []
+    return frame.select(*schema.fieldNames(), *shown)
+
+
+def within_months(fact: DataFrame, months: DataFrame) -> DataFrame:
+    """Rows of the given months: a semi join that never reads the folders of other years.
+
+    ``months`` has a ``date_key`` column and is broadcast: a row per month at most, however
+    large the fact.  Where the fact shows its folders the join carries the year, which lets
+    the scan leave out folders once the months are known.
+    """
+    keys = months.select("date_key").distinct()
+    on = ["date_key"]
+    if FOLDER in fact.columns:
+        keys = keys.withColumn(FOLDER, year_of_key("date_key"))
+        on.append(FOLDER)
+    return fact.join(F.broadcast(keys), on, "left_semi")
 
 
 def stored_bytes(spark: SparkSession, folder: str) -> DataFrame:
