@@ -526,6 +526,25 @@ def arrears_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fusion.listed(roles.star(spark, sf_dir), names, ("date_key",))
 
 
+@query("rates_of_late_years", _MEASURED_ARREARS + f""",
+ends AS (SELECT MAX(date_key) // 10000 AS last FROM mortgage_rate),
+sides AS (
+  SELECT date_key, CAST(rate AS DOUBLE) AS now, CAST(NULL AS DOUBLE) AS earlier FROM mortgage_rate
+  UNION ALL SELECT {month_key("mi + 18")}, NULL, CAST(rate AS DOUBLE) FROM mortgage_rate, calendar
+  WHERE mi + 18 <= hi)
+SELECT date_key, MAX(now) AS mortgage_rate, MAX(earlier) AS mortgage_rate_18_months_ago
+FROM sides, ends WHERE date_key // 10000 BETWEEN last - 2 AND last GROUP BY date_key""")
+def rates_of_late_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of the last three years that have one, beside those of eighteen months before:
+    the scan reads the year folders of these months alone."""
+    star = roles.star(spark, sf_dir)
+    last = star["fact_mortgage_rate"].agg(F.max("date_key")).first()[0] or 0
+    years = F.col("year").between(last // 10000 - 2, last // 10000)
+    names = ("mortgage_rate", "mortgage_rate_18_months_ago")
+    rates = fusion.together(star, names, ("date_key",), {"dim_date": years})
+    return rates.select("date_key", *[F.col(n).cast("double").alias(n) for n in names])
+
+
 @query("suppressed_null", ARREARS + """
 SELECT region AS region_name, COUNT(*) AS months, COUNT(*) FILTER (hidden) AS hidden_months,
        COUNT(*) FILTER (late IS NULL) AS missing_counts, COUNT(*) FILTER (late = 0) AS zero_counts,
@@ -981,7 +1000,7 @@ def fact_price_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("fact_mortgage_rate", LINES + """
 SELECT date_key, CAST(rate AS DOUBLE) AS rate_5year FROM mortgage_rate""")
 def fact_mortgage_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return roles.star(spark, sf_dir)["fact_mortgage_rate"]
+    return roles.star(spark, sf_dir)["fact_mortgage_rate"].select("date_key", "rate_5year")
 
 
 @query("dim_geography", HOUSING + """,

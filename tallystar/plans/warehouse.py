@@ -107,7 +107,7 @@ def judged(results: DataFrame, workdir: str) -> tuple[DataFrame, list[str]]:
 def register_views(star: Star, views: Mapping[str, DataFrame] | None = None) -> None:
     """Make every table and view answerable from SQL under its own name."""
     for name, frame in {**star, **(views or all_views(star))}.items():
-        frame.createOrReplaceTempView(name)
+        frame.drop(tables.FOLDER).createOrReplaceTempView(name)
 
 
 def in_display_order(dim: DataFrame, table: str, label: str) -> DataFrame:
