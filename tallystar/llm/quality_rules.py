@@ -35,6 +35,8 @@ TAIL = 1e-9
 FLOORS = {"x_length": 0.3, "x_word": 0.1, "x_symbols": 0.08, "x_lines": 0.3, "x_repeat": 0.12}
 DIMENSIONS = tuple(FLOORS)
 BINS_PER_DOUBLING = 32
+#: Groups whose estimates are sent to the rows, some 200 bytes each; more are joined.
+BROADCAST_GROUPS = 100_000
 
 
 def _repeat_words(words: Column) -> Column:
@@ -185,15 +187,25 @@ def _bin(distance: Column) -> Column:
     return F.floor(F.log2(F.greatest(distance, F.lit(1e-9))) * BINS_PER_DOUBLING).cast("int")
 
 
-def _nearest(rows: DataFrame, estimate: DataFrame, covered: float) -> DataFrame:
+def _few(groups: DataFrame) -> bool:
+    """Whether the groups of a stored frame are few enough to be broadcast."""
+    return groups.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
+
+
+def _beside(rows: DataFrame, groups: DataFrame, few: bool, how: str = "inner") -> DataFrame:
+    """Rows with the numbers of their group, where they lie if the groups are few."""
+    return rows.join(F.broadcast(groups) if few else groups, "group", how)
+
+
+def _nearest(rows: DataFrame, estimate: DataFrame, covered: float, few: bool) -> DataFrame:
     """The rows nearest to their group's centre: whole bins, until the share is covered."""
-    measured = rows.join(estimate, "group").withColumn("bin", _bin(_distance()))
+    measured = _beside(rows, estimate, few).withColumn("bin", _bin(_distance()))
     bins = measured.groupBy("group", "bin").agg(F.count("*").alias("n"))
     of_group = Window.partitionBy("group")
     upto = F.sum("n").over(of_group.orderBy("bin"))
     reached = F.when(upto >= F.ceil(F.sum("n").over(of_group) * covered), F.col("bin"))
     cut = bins.withColumn("reached", reached).groupBy("group").agg(F.min("reached").alias("cut"))
-    return measured.join(cut, "group").where("bin <= cut").select("group", *DIMENSIONS)
+    return _beside(measured, cut, few).where("bin <= cut").select("group", *DIMENSIONS)
 
 
 def _chi2(p: int, x: float) -> float:
@@ -235,19 +247,20 @@ def mcd(rows: DataFrame, covered: float = COVERED, steps: int = STEPS) -> DataFr
     stored.  The start leaves the outer quarters of every dimension out.  Each step can
     only lower the determinants; the driver sees their sum.
     """
-    quarters = rows.groupBy("group").agg(*[
-        F.percentile_approx(d, [0.25, 0.5, 0.75], 1000).alias(f"q_{d}") for d in DIMENSIONS])
+    quarters = stored(rows.groupBy("group").agg(*[
+        F.percentile_approx(d, [0.25, 0.5, 0.75], 1000).alias(f"q_{d}") for d in DIMENSIONS]))
+    few = _few(quarters)
     near = F.lit(True)
     for d, floor in FLOORS.items():
         spread = F.greatest(F.col(f"q_{d}")[2] - F.col(f"q_{d}")[0], F.lit(2 * floor))
         near = near & (F.abs(F.col(d) - F.col(f"q_{d}")[1]) <= spread)
-    first = _moments(rows.join(quarters, "group").where(near))
+    first = stored(_moments(_beside(rows, quarters, few).where(near)))
     # A group whose middle is empty starts from all of its rows.
-    missing = _moments(rows.join(first.select("group"), "group", "left_anti"))
+    missing = _moments(_beside(rows, first.select("group"), few, "left_anti"))
     estimate = stored(first.unionByName(missing))
     total = estimate.agg(F.sum("log_det")).first()[0]
     for _ in range(steps):
-        better = stored(_moments(_nearest(rows, estimate, covered)))
+        better = stored(_moments(_nearest(rows, estimate, covered, few)))
         now = better.agg(F.sum("log_det")).first()[0]
         if total is None or now > total - 1e-9:
             break
@@ -258,7 +271,6 @@ def mcd(rows: DataFrame, covered: float = COVERED, steps: int = STEPS) -> DataFr
 def assess(
     docs: DataFrame,
     covered: float = COVERED,
-    min_group: int | None = None,
     prior_rows: float = PRIOR_ROWS,
     tail: float = TAIL,
     min_words: int = MIN_WORDS,
@@ -270,33 +282,25 @@ def assess(
     cent of them repeated.  ``kept``: not failed, and within the cut of its group.
 
     Groups are language and source; the estimate of n rows weighs n, its language's
-    ``prior_rows``.  With ``min_group``, nothing is drawn, and groups of fewer rows are
-    judged together.  Null language or source is a value of its own.  A null text has no words
+    ``prior_rows``.  Null language or source is a value of its own.  A null text has no words
     and fails.  Repeated rows count as often as they stand.  Distances are scaled so
     that, were the vectors normal, ``tail`` of the regular ones would lie beyond.
     """
     key = F.to_json(F.struct("lang", "source"), {"ignoreNullFields": "false"})
     counts = stored(_transformed(text_counts(docs)).withColumn("own", key))
-    if min_group is None:
-        grouped = counts.withColumn("group", F.col("own"))
-        parent = F.to_json(F.struct("lang"), {"ignoreNullFields": "false"})
-        twice = counts.select(F.explode(F.array("own", parent)).alias("group"), *DIMENSIONS)
-        parents = counts.groupBy(F.col("own").alias("group"), parent.alias("parent")).agg(
-            F.count("*").alias("n"))
-        estimate = _drawn(mcd(stored(twice), covered), parents, prior_rows)
-    else:
-        large = counts.groupBy("own").count().where(F.col("count") >= min_group).select(
-            "own", F.col("own").alias("group"))
-        grouped = counts.join(large, "own", "left").withColumn(
-            "group", F.coalesce("group", F.lit("small groups")))
-        estimate = mcd(grouped.select("group", *DIMENSIONS), covered)
+    grouped = counts.withColumn("group", F.col("own"))
+    parent = F.to_json(F.struct("lang"), {"ignoreNullFields": "false"})
+    twice = counts.select(F.explode(F.array("own", parent)).alias("group"), *DIMENSIONS)
+    parents = counts.groupBy(F.col("own").alias("group"), parent.alias("parent")).agg(
+        F.count("*").alias("n"))
+    estimate = stored(_drawn(mcd(stored(twice), covered), parents, prior_rows))
     p = len(DIMENSIONS)
     # The covered part understates the scatter by a known factor.
     scale = covered / _chi2(p + 2, chi2_quantile(p, covered))
     distance = F.coalesce(_distance() / F.lit(scale), F.lit(0.0))
     failed = (F.col("n_words") < min_words) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeated_share)
-    return grouped.join(estimate, "group", "left").select(
+    return _beside(grouped, estimate, _few(estimate), "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"),
         (~failed & (distance <= chi2_quantile(p, 1 - tail))).alias("kept"),

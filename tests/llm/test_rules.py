@@ -25,15 +25,14 @@ def brute_counts(text):
             len(lines) - len(set(lines)), len(covered))
 
 
-def brute_verdicts(rows, min_group):
-    """The estimate by matrices, group by group."""
+def brute_verdicts(rows):
+    """Estimates by matrices, of each language and source and of each language, then drawn."""
     floors = np.array(list(quality_rules.FLOORS.values()))
     counts = [brute_counts(r[1]) for r in rows]
     x = np.array([
         (math.log1p(n), math.log1p(c / max(n, 1)), math.sqrt(s / max(n, 1)), math.log1p(d), math.sqrt(w / max(n, 1)))
         for n, c, s, d, w in counts])
-    sizes = collections.Counter((r[2], r[3]) for r in rows)
-    groups = [(r[2], r[3]) if sizes[r[2], r[3]] >= min_group else "small" for r in rows]
+    groups = [(r[2], r[3]) for r in rows]
 
     def moments(y):
         mu = y.mean(axis=0)
@@ -45,6 +44,7 @@ def brute_verdicts(rows, min_group):
         return np.einsum("ni,ij,nj->n", y - mu, np.linalg.inv(cov), y - mu)
 
     members = {g: [k for k, h in enumerate(groups) if h == g] for g in set(groups)}
+    members |= {lang: [k for k, h in enumerate(groups) if h[0] == lang] for lang, _ in set(groups)}
     state = {}
     for g, ids in members.items():
         y = x[ids]
@@ -63,25 +63,38 @@ def brute_verdicts(rows, min_group):
         if now > total - 1e-9:
             break
         state, total = better, now
+    drawn = {}
+    for g in set(groups):
+        weight = len(members[g]) / (len(members[g]) + quality_rules.PRIOR_ROWS)
+        drawn[g] = tuple(weight * a + (1 - weight) * b for a, b in zip(state[g], state[g[0]]))
     scale = quality_rules.COVERED / quality_rules._chi2(7, quality_rules.chi2_quantile(5, quality_rules.COVERED))
     limit = quality_rules.chi2_quantile(5, 1 - quality_rules.TAIL)
     out = []
     for r, c, y, g in zip(rows, counts, x, groups):
         failed = c[0] < 50 or 100 * c[4] > 50 * c[0]
-        far = distances(y[None], *state[g])[0] / scale
+        far = distances(y[None], *drawn[g])[0] / scale
         out.append((r[0], *c, failed, not failed and far <= limit, far))
     return out
 
 
 def test_quality_against_brute_force(spark, make_docs, corpus):
     rows = [(k, t, lang, f"s{k % 2}") for k, (_, t, lang, _) in enumerate(corpus)]
-    found = sorted(map(tuple, quality_rules.assess(make_docs(rows), min_group=30).collect()))
-    want = sorted(brute_verdicts(rows, 30))
+    found = sorted(map(tuple, quality_rules.assess(make_docs(rows)).collect()))
+    want = sorted(brute_verdicts(rows))
     assert [f[:8] for f in found] == [w[:8] for w in want]
     assert np.allclose([f[8] for f in found], [w[8] for w in want], rtol=1e-6)
     assert sum(f[7] for f in found) > 0.6 * len(found)
 
 
+def test_many_groups_are_joined_with_the_same_verdicts(make_docs, corpus, monkeypatch):
+    rows = [(k, t, lang, f"s{k % 2}") for k, (_, t, lang, _) in enumerate(corpus[:60])]
+    near = {r["doc_id"]: r for r in quality_rules.assess(make_docs(rows)).collect()}
+    monkeypatch.setattr(quality_rules, "BROADCAST_GROUPS", 1)
+    for r in quality_rules.assess(make_docs(rows)).collect():
+        assert r[:8] == near[r["doc_id"]][:8]
+        assert np.isclose(r["distance"], near[r["doc_id"]]["distance"], rtol=1e-6)
+
+
 def test_quality_of_odd_rows(spark, make_docs):
     found = quality_rules.assess(make_docs(ODD)).collect()
     assert len(found) == len(ODD)
