@@ -8,7 +8,8 @@ from the target by about one long document, whatever the spread of sizes.
 
 No task sees a whole source: positions on the line come from counts per cell (source,
 size, remainder of the id), so a source or a group of copies that holds a third of all
-rows is spread over cells.
+rows is spread over cells, and the counts are summed up along a distributed sort of the
+cells, so that the cells of one source are spread as well.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
 TIE_CELLS = 64
 SEED = "mix-1:"
+#: Up to so many sources, a few ten bytes each, are broadcast to the rows; more are joined.
+BROADCAST_SOURCES = 100_000
 
 
 def _source_key(source: Column) -> Column:
@@ -64,6 +67,29 @@ def source_targets(
     )
 
 
+_SLOT_BITS = 33  # monotonically_increasing_id keeps the partition number above bit 33
+
+
+def _along_line(cells: DataFrame) -> DataFrame:
+    """``cells`` with ``before``: rows in all cells ahead, by source, size and remainder.
+
+    A distributed sort gives each cell a slot; sums run within a partition of the sort, and
+    one row per partition carries them on to the next.
+    """
+    slotted = stored(cells.orderBy("source_key", "size", "cell").withColumn(
+        "slot", F.monotonically_increasing_id()).withColumn("part", F.shiftright("slot", _SLOT_BITS)))
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = slotted.groupBy("part").agg(F.sum("n").alias("rows")).select(
+        "part", F.coalesce(F.sum("rows").over(ahead), F.lit(0)).alias("carried"))
+    within = Window.partitionBy("part").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        slotted.withColumn("inside", F.coalesce(F.sum("n").over(within), F.lit(0)))
+        .join(F.broadcast(parts), "part")
+        .withColumn("before", F.col("carried") + F.col("inside"))
+        .drop("slot", "part", "inside", "carried")
+    )
+
+
 def mix_plan(
     docs: DataFrame,
     weights: Sequence[int] = WEIGHTS,
@@ -83,18 +109,22 @@ def mix_plan(
         F.pmod(F.coalesce(F.col("doc_id"), F.lit(0)), F.lit(tie_cells)).alias("cell"),
     ))
     place = ["source_key", "size", "cell"]
-    cells = sized.groupBy(*place).agg(F.count("*").alias("n"), F.first("source").alias("source"))
-    sizes = cells.groupBy("source_key").agg(
-        F.first("source").alias("source"), F.sum(F.col("size") * F.col("n")).alias("source_size"))
-    along = Window.partitionBy("source_key").orderBy("size", "cell")
-    before = F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, -1))
-    starts = cells.select(*place, F.coalesce(before, F.lit(0)).alias("before"))
+    cells = _along_line(
+        sized.groupBy(*place).agg(F.count("*").alias("n"), F.first("source").alias("source")))
+    sizes = stored(cells.groupBy("source_key").agg(
+        F.first("source").alias("source"), F.sum(F.col("size") * F.col("n")).alias("source_size"),
+        F.min("before").alias("line_start")))
+    starts = cells.select(*place, "before")
     in_cell = F.row_number().over(Window.partitionBy(*place).orderBy("doc_id"))
     ranked = (
         sized.repartition(*place).withColumn("in_cell", in_cell)
         .join(starts, place)
-        .withColumn("position", F.col("before") + F.col("in_cell"))
     )
+    targets = source_targets(sizes, weights, max_copies).drop("source").join(
+        sizes.select("source_key", "line_start"), "source_key")
+    if sizes.count() <= BROADCAST_SOURCES:
+        targets = F.broadcast(targets)
+    position = F.col("before") - F.col("line_start") + F.col("in_cell")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     offset = unit_fraction(F.col("source"), SEED)
     crossed = (
@@ -102,7 +132,8 @@ def mix_plan(
         - F.floor((F.col("position") - 1) * F.col("rate") + offset)
     )
     return (
-        ranked.join(source_targets(sizes, weights, max_copies).drop("source"), "source_key")
+        ranked.join(targets, "source_key")
+        .withColumn("position", position)
         .withColumn("rate", rate)
         .withColumn("copies", F.least(crossed, F.lit(max_copies)).cast("long"))
         .select(
