@@ -35,6 +35,8 @@ TAIL = 1e-9
 FLOORS = {"x_length": 0.3, "x_word": 0.1, "x_symbols": 0.08, "x_lines": 0.3, "x_repeat": 0.12}
 DIMENSIONS = tuple(FLOORS)
 BINS_PER_DOUBLING = 32
+#: Splits of texts whose counts one task of a step reads; counts are some 5 % of a text.
+SPLITS_PER_TASK = 16
 #: Groups whose estimates are sent to the rows, some 200 bytes each; more are joined.
 BROADCAST_GROUPS = 100_000
 
@@ -97,6 +99,18 @@ def text_counts(docs: DataFrame) -> DataFrame:
     return sorted_windows.withColumn("n_repeat_words", _covered(F.col("windows"))).drop("windows")
 
 
+def _gathered(counts: DataFrame) -> DataFrame:
+    """Stored counts in fewer, fuller partitions, without a shuffle.
+
+    They come in one partition per split of texts, of which they are a small part, and the
+    steps of the estimate would pay a task and a shuffle block for each, again and again.
+    """
+    session = counts.sparkSession
+    last = counts.select(F.spark_partition_id().alias("split")).agg(F.max("split")).first()[0]
+    splits = (last or 0) + 1
+    return counts.coalesce(max(session.sparkContext.defaultParallelism, splits // SPLITS_PER_TASK))
+
+
 def _transformed(counts: DataFrame) -> DataFrame:
     words = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
     return counts.select(
@@ -243,8 +257,8 @@ def chi2_quantile(p: int, q: float) -> float:
 def mcd(rows: DataFrame, covered: float = COVERED, steps: int = STEPS) -> DataFrame:
     """Minimum-covariance-determinant estimate per group.
 
-    ``rows`` has ``group`` and the dimensions, and is read once per step, so it must be
-    stored.  The start leaves the outer quarters of every dimension out.  Each step can
+    ``rows`` has ``group`` and the dimensions, and is read twice per step, so it must come
+    from a stored table.  The start leaves the outer quarters of every dimension out.  Each step can
     only lower the determinants; the driver sees their sum.
     """
     quarters = stored(rows.groupBy("group").agg(*[
@@ -286,14 +300,15 @@ def assess(
     and fails.  Repeated rows count as often as they stand.  Distances are scaled so
     that, were the vectors normal, ``tail`` of the regular ones would lie beyond.
     """
-    key = F.to_json(F.struct("lang", "source"), {"ignoreNullFields": "false"})
-    counts = stored(_transformed(text_counts(docs)).withColumn("own", key))
+    named = {
+        "own": F.to_json(F.struct("lang", "source"), {"ignoreNullFields": "false"}),
+        "parent": F.to_json(F.struct("lang"), {"ignoreNullFields": "false"}),
+    }
+    counts = _gathered(stored(_transformed(text_counts(docs)).withColumns(named)))
     grouped = counts.withColumn("group", F.col("own"))
-    parent = F.to_json(F.struct("lang"), {"ignoreNullFields": "false"})
-    twice = counts.select(F.explode(F.array("own", parent)).alias("group"), *DIMENSIONS)
-    parents = counts.groupBy(F.col("own").alias("group"), parent.alias("parent")).agg(
-        F.count("*").alias("n"))
-    estimate = stored(_drawn(mcd(stored(twice), covered), parents, prior_rows))
+    twice = counts.select(F.explode(F.array("own", "parent")).alias("group"), *DIMENSIONS)
+    parents = counts.groupBy(F.col("own").alias("group"), "parent").agg(F.count("*").alias("n"))
+    estimate = stored(_drawn(mcd(twice, covered), parents, prior_rows))
     p = len(DIMENSIONS)
     # The covered part understates the scatter by a known factor.
     scale = covered / _chi2(p + 2, chi2_quantile(p, covered))
