@@ -14,13 +14,14 @@ from tallystar.catalog.star_sql import ARREARS, EVERYTHING, HOUSING, LINES, mont
 from tallystar.functions.scalars import decimal_cell, rounded
 from tallystar.operators import quality, reconcile
 from tallystar.operators.aggregates import exclude_aggregates, row_totals, stack, sum_of_amounts
-from tallystar.operators.timeseries import latest_only
+from tallystar.operators.timeseries import last_period_with_data, latest_only
 from tallystar.plans import (
     checks, dims, facts, fusion, measures, questions, roles, views, warehouse,
 )
-from tallystar.schemas import CHECK_RESULTS, FACTS
+from tallystar.schemas import CHECK_RESULTS, FACTS, GRAIN
 from tallystar.session import shared_dir
 from tallystar.sources import releases
+from tallystar.sources.tables import FOLDER
 
 #: The published questions start in a year of their own data; here every year counts.
 EVERY_YEAR = 0
@@ -1346,3 +1347,38 @@ def dim_arrears_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = star["fact_mortgage_arrears"].join(star["dim_arrears_region"], "arrears_region_key")
     return rows.groupBy("region_name", "covers_provinces", "is_national").agg(
         F.count(F.lit(1)).alias("months"))
+
+
+@query("rows_in_boxes", LINES + """
+SELECT date_key, geo AS geo_name, component AS component_name, CAST(idx AS DOUBLE) AS index_value
+FROM component WHERE date_key = (SELECT MAX(date_key) FROM component)
+  OR geo = (SELECT MIN(geo) FROM component)""")
+def rows_in_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One place, and the last month, from a fact stored so that either leaves files out."""
+    star = roles.star(spark, sf_dir)
+    fact, places = star["fact_price_index"].drop(FOLDER), star["dim_geography"]
+    folder = f"{_publication_root(spark, sf_dir, 'boxes')}/{uuid4().hex}"
+    warehouse.tables.write_table(fact, folder, GRAIN["fact_price_index"], boxes=True)
+    read = warehouse.tables.read_table(spark, folder, FACTS["fact_price_index"], folders=True)
+    place = places.join(read, "geography_key", "left_semi").agg(
+        F.min_by("geography_key", "geo_name")).first()[0]
+    here = read.filter(F.col("geography_key") == place)
+    last = latest_only(read).filter(F.col("geography_key") != place)
+    by = ["date_key", "geo_name", "component_name"]
+    asked = {**star, "fact_price_index": here.unionByName(last)}
+    return measures.in_context(asked, "fact_price_index", by).select(*by, "index_value")
+
+
+@query("export_altered", LINES + """
+SELECT 'fact_price_index' AS table_name, COUNT(*) AS n_rows, COUNT(*) AS rows_now FROM component""")
+def export_altered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exported facts against facts in which one month's values are off: rows agree, digests do not."""
+    star = roles.star(spark, sf_dir)
+    facts = {name: star[name].drop(FOLDER) for name in FACTS}
+    folder = f"{_publication_root(spark, sf_dir, 'digests')}/{uuid4().hex}"
+    manifest = warehouse.tables.export_tables(facts, folder, GRAIN, boxes=True)
+    index = facts["fact_price_index"]
+    off = F.when(F.col("date_key") == last_period_with_data(index), F.col("index_value") + 1)
+    altered = index.withColumn("index_value", F.coalesce(off, F.col("index_value")).cast("decimal(12,4)"))
+    found = warehouse.tables.altered_tables(manifest, {**facts, "fact_price_index": altered})
+    return found.select("table_name", "n_rows", "rows_now")

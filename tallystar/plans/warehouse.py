@@ -6,6 +6,7 @@ Every run is a full rebuild, because publishers revise old months.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,9 +98,12 @@ def unclassified_places(star: Star) -> DataFrame:
 
 
 def judged(results: DataFrame, workdir: str) -> tuple[DataFrame, list[str]]:
-    """Run checks once, store every comparison, and say what forbids publishing."""
-    path = f"{workdir}/check_details"
-    results.write.mode("overwrite").parquet(path)
+    """Run checks once, store every comparison, and say what forbids publishing.
+
+    Each call stores in a folder of its own: frames read from an earlier one stay good.
+    """
+    path = f"{workdir}/check_details-{uuid4().hex}"
+    results.write.parquet(path)
     stored = results.sparkSession.read.parquet(path)
     return stored, gate(stored, EXPECTED)
 
@@ -116,12 +120,17 @@ def in_display_order(dim: DataFrame, table: str, label: str) -> DataFrame:
 
 
 def publish(
-    star: Star, results: DataFrame, reasons: list[str], root: str, version: str
+    star: Star, results: DataFrame, reasons: list[str], root: str, version: str,
+    boxes: bool = False,
 ) -> DataFrame | None:
-    """Export dimensions, facts, views and check results, unless a check forbids it."""
+    """Export dimensions, facts, views and check results, unless a check forbids it.
+
+    With ``boxes``, facts are stored so that a filter on any of their keys leaves files
+    out, not only one on the month.
+    """
     stored = {name: frame.drop(tables.FOLDER) for name, frame in star.items()}
     everything = {**stored, **all_views(star), "check_results": to_stored(results)}
-    return tables.publish(everything, root, version, reasons, GRAIN)
+    return tables.publish(everything, root, version, reasons, GRAIN, boxes)
 
 
 def run(
@@ -133,19 +142,24 @@ def run(
     end_month: str,
     known: Iterable[tuple[str, str]] = vocab.KNOWN_SOURCE_PROBLEMS,
     reports: str | None = None,
+    boxes: bool = False,
 ) -> tuple[DataFrame | None, list[str]]:
     """Raw files to a published export.  Returns the manifest, or why there is none.
 
+    Every run works in a folder of its own below ``workdir``, so runs side by side never
+    overwrite what another still reads.  ``boxes`` as in :func:`publish`.
+
     Arrears come from the report text files in ``reports`` if given, else from the
     already extracted rows next to the other releases.
     """
+    workdir = f"{workdir}/run-{uuid4().hex}"
     releases = read_all(spark, raw_dir)
     if reports is not None:
         records = extract_records(read_report_pages(spark, reports), ("region", "month"))
         releases["arrears"] = arrears_release(records)
     star = build(spark, releases, workdir, end_month)
     results, reasons = judged(all_checks(star, known), workdir)
-    return publish(star, results, reasons, root, version), reasons
+    return publish(star, results, reasons, root, version, boxes), reasons
 
 
 def read_export(spark: SparkSession, root: str, folders: bool = False) -> Star | None:
