@@ -17,7 +17,7 @@ from tallystar.functions.scalars import (
     ratio,
     rounded,
 )
-from tallystar.operators import quality, reconcile
+from tallystar.operators import gazetteer, quality, reconcile
 from tallystar.operators.aggregates import row_totals, stack, sum_of_amounts
 from tallystar.operators.calendar import describe_months, expand_months, month_calendar, within_calendar
 from tallystar.operators.lookup import (
@@ -795,3 +795,48 @@ def price_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("p_type", "date_key")
         .agg(rounded(unit_price, 6).alias("unit_price"))
     )
+
+
+# Gazetteer ----------------------------------------------------------------------------
+
+
+@query("gazetteer_names", r"""
+WITH labels AS (SELECT DISTINCT p_name || ', ' || p_type || ' of ' || p_brand AS label FROM part),
+names AS (
+  SELECT p_brand AS name, 0 AS place FROM part WHERE p_size < 10
+  UNION SELECT split_part(p_name, ' ', 2), 1 FROM part
+  UNION SELECT p_name, 2 FROM part
+  UNION SELECT p_name || ' ' || p_type, 3 FROM part WHERE p_size > 40
+),
+entries AS (
+  SELECT array_to_string(regexp_extract_all(name, '[\p{L}\p{N}]+'), ' ') AS run, name, place FROM names
+  QUALIFY row_number() OVER (PARTITION BY run ORDER BY place, name) = 1
+),
+starts AS (
+  SELECT label, w, unnest(range(len(w))) AS s
+  FROM (SELECT label, regexp_extract_all(label, '[\p{L}\p{N}]+') AS w FROM labels)
+),
+hits AS (
+  SELECT label, s, n, name, place
+  FROM (SELECT label, s, n, array_to_string(w[s + 1 : s + n], ' ') AS run
+        FROM starts, (SELECT unnest([1, 2, 3, 4]) AS n) WHERE s + n <= len(w)) JOIN entries USING (run)
+  QUALIFY row_number() OVER (PARTITION BY label, s ORDER BY n DESC) = 1
+),
+best AS (
+  SELECT label, name, COUNT(*) OVER (PARTITION BY label) AS mentions FROM hits
+  QUALIFY row_number() OVER (PARTITION BY label ORDER BY n DESC, place, s) = 1
+)
+SELECT label, name, COALESCE(mentions, 0) AS mentions FROM labels LEFT JOIN best USING (label)""")
+def gazetteer_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each part's label with the entry it means, of a list as long as the table has names."""
+    part = table(spark, sf_dir, "part")
+    labels = part.select(F.concat("p_name", F.lit(", "), "p_type", F.lit(" of "), "p_brand").alias("label"))
+    listed = [
+        (part.filter("p_size < 10"), F.col("p_brand")),
+        (part, F.split_part("p_name", F.lit(" "), F.lit(2))),
+        (part, F.col("p_name")),
+        (part.filter("p_size > 40"), F.concat("p_name", F.lit(" "), "p_type")),
+    ]
+    names = stack([rows.select(name.alias("name"), F.lit(n).alias("place")).distinct()
+                   for n, (rows, name) in enumerate(listed)])
+    return gazetteer.named_in(labels, "label", names, "name", "place")
