@@ -23,6 +23,7 @@ from tallystar.functions.scalars import (
     percent,
     ratio,
 )
+from tallystar.sources.tables import FOLDER
 
 
 def _series(keys: Sequence[ColumnOrName], month: ColumnOrName, mode: str):
@@ -118,14 +119,28 @@ def shift_months(
 
 def last_period_with_data(frame: DataFrame, value: str | None = None,
                           month: str = "date_key") -> Column:
-    """Scalar subquery: the latest month, of those with a value if one is named."""
+    """Scalar subquery: the latest month, of those with a value if one is named.
+
+    Where the frame shows the folders it is stored in, only the last of them is read: the
+    folders' names tell which that is.
+    """
     known = frame if value is None else frame.filter(F.col(value).isNotNull())
+    if value is None and _by_year(frame, month):
+        known = known.filter(F.col(FOLDER) == frame.select(F.max(FOLDER)).scalar())
     return known.select(F.max(month)).scalar()
 
 
+def _by_year(frame: DataFrame, month: str) -> bool:
+    """Whether ``frame`` shows the year folders of its month."""
+    return month == "date_key" and FOLDER in frame.columns
+
+
 def latest_only(frame: DataFrame, month: str = "date_key") -> DataFrame:
-    """Rows of the latest month of ``frame``."""
-    return frame.filter(F.col(month) == last_period_with_data(frame, month=month))
+    """Rows of the latest month of ``frame``; of a fact by year, from the last folder."""
+    last = last_period_with_data(frame, month=month)
+    if _by_year(frame, month):
+        frame = frame.filter(F.col(FOLDER) == frame.select(F.max(FOLDER)).scalar())
+    return frame.filter(F.col(month) == last)
 
 
 def mark_last_period(

@@ -684,41 +684,9 @@ MEASURES: dict[str, Measure] = {
     )
 }
 
-# How a measure is shown: (style, decimal places).
-DISPLAY = {
-    "housing_starts": ("number", 0),
-    "housing_completions": ("number", 0),
-    "under_construction": ("number", 0),
-    "housing_starts_change_pct": ("percent", 1),
-    "housing_starts_12_months": ("number", 0),
-    "housing_completions_12_months": ("number", 0),
-    "completion_ratio": ("number", 2),
-    "backlog_months": ("number", 1),
-    "backlog_months_last_year": ("number", 1),
-    "backlog_months_change": ("signed", 1),
-    "percent_unsold": ("percent", 1),
-    "total_mortgages": ("number", 0),
-    "mortgages_in_arrears": ("number", 0),
-    "arrears_rate": ("percent", 2),
-    "arrears_rate_last_year": ("percent", 2),
-    "arrears_rate_3_month_average": ("percent", 2),
-    "mortgage_rate": ("number", 2),
-    "mortgage_rate_18_months_ago": ("number", 2),
-    "share_of_national_change": ("percent", 1),
-    "new_mortgage_lending": ("millions", 0),
-    "new_mortgage_lending_12_months": ("millions", 0),
-    "mortgage_debt_outstanding": ("billions", 0),
-    "average_rate_on_new_lending": ("number", 2),
-    "variable_rate_share": ("percent", 1),
-    "price_index": ("number", 1),
-    "price_index_change_pct": ("percent", 1),
-    "check_pass_rate": ("percent", 2),
-}
-
-
 def displayed(frame: DataFrame, name: str) -> DataFrame:
     """The measure's column as the text a reader should see."""
-    style, places = DISPLAY[name]
+    style, places = vocab.DISPLAY[name]
     value = F.col(name).cast("decimal(38,10)")
 
     def number(v: Column) -> Column:

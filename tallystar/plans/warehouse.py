@@ -26,7 +26,6 @@ from tallystar.schemas import (
     FACTS,
     GRAIN,
     LABEL,
-    SORT_BY,
 )
 from tallystar.sources import tables
 from tallystar.sources.releases import read_all, read_report_pages
@@ -116,7 +115,7 @@ def register_views(star: Star, views: Mapping[str, DataFrame] | None = None) ->
 
 def in_display_order(dim: DataFrame, table: str, label: str) -> DataFrame:
     """Members in the order they should be shown, not alphabetically."""
-    return dim.orderBy(SORT_BY[table, label], label)
+    return dim.orderBy(vocab.SORT_BY[table, label], label)
 
 
 def publish(

@@ -149,12 +149,3 @@ RELATIONSHIPS = tuple(
     for dim in DIMENSIONS
     if KEY[dim] in struct.fieldNames()
 )
-
-# Display order: (table, column) -> the column that orders it.
-SORT_BY = {
-    ("dim_date", "month_name"): "month",
-    ("dim_geography", "geo_name"): "sort_order",
-    ("dim_dwelling_type", "dwelling_type_name"): "sort_order",
-    ("dim_construction_stage", "stage_short"): "stage_order",
-    ("dim_arrears_region", "region_name"): "sort_order",
-}

@@ -5,6 +5,7 @@ from conftest import tuples
 from pyspark.sql import functions as F
 
 from tallystar.operators.calendar import month_calendar
+from tallystar.operators.timeseries import latest_only
 from tallystar.plans import fusion, measures
 from tallystar.schemas import FACTS
 from tallystar.sources import tables
@@ -83,3 +84,17 @@ def test_all_folders_without_a_condition(stored):
     by_folder, _ = stored
     assert folders_read(measures.in_context(by_folder, "fact_mortgage_rate", ("date_key",))) == [len(YEARS)]
     assert tables.FOLDER not in measures.in_context(by_folder, "fact_mortgage_rate", ("year",)).columns
+
+
+def test_the_last_period_reads_one_folder(stored, spark):
+    by_folder, plain = (star["fact_mortgage_rate"] for star in stored)
+    latest = latest_only(by_folder)
+    assert tuples(latest, *plain.columns) == tuples(latest_only(plain))
+    assert folders_read(latest) == [1]
+    # The month itself is looked up in that folder, and the folder's name without columns.
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("DynamicFilters") >= 1 or plan.count("PartitionFilters: [isnotnull(year") >= 1
+    early = by_folder.filter(F.col("date_key") < 19990101)
+    assert tuples(latest_only(early), *plain.columns) == tuples(
+        latest_only(plain.filter(F.col("date_key") < 19990101)))
+    assert latest_only(by_folder.filter("rate_5year < 0")).count() == 0
