@@ -20,6 +20,7 @@ from tallystar.functions.scalars import (
 from tallystar.operators import gazetteer, quality, reconcile
 from tallystar.operators.aggregates import row_totals, stack, sum_of_amounts
 from tallystar.operators.calendar import describe_months, expand_months, month_calendar, within_calendar
+from tallystar.operators.distinct import distinct_count, distinct_states
 from tallystar.operators.lookup import (
     constant_key,
     distinct_labels,
@@ -840,3 +841,28 @@ def gazetteer_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = stack([rows.select(name.alias("name"), F.lit(n).alias("place")).distinct()
                    for n, (rows, name) in enumerate(listed)])
     return gazetteer.named_in(labels, "label", names, "name", "place")
+
+
+# Distinct counts ------------------------------------------------------------------------
+
+
+@query("distinct_rollup", """
+WITH seen AS (SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, user_id FROM events)
+SELECT day, event_type, COUNT(DISTINCT user_id) AS users FROM seen GROUP BY day, event_type
+UNION ALL SELECT day, NULL, COUNT(DISTINCT user_id) FROM seen GROUP BY day
+UNION ALL SELECT NULL, event_type, COUNT(DISTINCT user_id) FROM seen GROUP BY event_type
+UNION ALL SELECT NULL, NULL, COUNT(DISTINCT user_id) FROM seen""")
+def distinct_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users by day and type, by either, and in all, from one pass over the events."""
+    seen = table(spark, sf_dir, "events").select(
+        F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_type", F.col("user_id"))
+    shared_dir(spark)
+    states = distinct_states(seen, "user_id", ["day", "event_type"]).checkpoint()
+    shown = [F.lit(None).cast("string").alias("day"), F.lit(None).cast("string").alias("event_type")]
+    levels = []
+    for by in (["day", "event_type"], ["day"], ["event_type"], []):
+        counted = distinct_count(states, by, "users")
+        levels.append(counted.select(
+            *[F.col(c) if c in by else none for c, none in zip(("day", "event_type"), shown, strict=True)],
+            "users"))
+    return stack(levels)
