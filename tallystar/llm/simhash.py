@@ -15,6 +15,7 @@ blanked out, and those that agree, four at most, are linked to the smallest.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -32,25 +33,51 @@ MAX_BITS = 2
 SEED = 42
 PAIRED_LIST = 64
 BYTES = 8
+#: Bytes of a text whose words are held at once.
+PIECE = 1 << 18
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
-def fingerprint(text: bytes, words_per_shingle: int = SHINGLE_WORDS) -> int:
-    """64-bit SimHash of a text, as a signed integer; no word gives zero."""
-    words = text.lower().split()
-    if not words:
-        return 0
+def _pieces(text: bytes) -> Iterator[bytes]:
+    """The text in pieces of about ``PIECE`` bytes, cut at white space."""
+    start = 0
+    while start < len(text):
+        cut = _SPACE.search(text, start + PIECE)
+        end = cut.start() if cut else len(text)
+        yield text[start:end]
+        start = end
+
+
+def _ones(words: list[bytes], size: int) -> tuple[np.ndarray, int]:
+    """How often each bit is set in the hashes of all runs of ``size`` words, and their number."""
     joined = memoryview(b" ".join(words))
     digest = xxhash.xxh64_intdigest
-    size = min(words_per_shingle, len(words))
     ends = np.cumsum([len(word) + 1 for word in words]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     spans = zip(starts[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist())
     hashes = np.array([digest(joined[a:b], SEED) for a, b in spans], dtype=">u8")
-    ones = np.zeros(64, dtype=np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        block = hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, BYTES)
-        ones += np.unpackbits(block, axis=1).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes)).view(">i8")[0])
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, BYTES), axis=1)
+    return bits.sum(axis=0, dtype=np.int64), len(hashes)
+
+
+def fingerprint(text: bytes, words_per_shingle: int = SHINGLE_WORDS) -> int:
+    """64-bit SimHash of a text, as a signed integer; no word gives zero.
+
+    Words are cut piece by piece, so that a long text needs little more than itself.
+    """
+    ones, shingles, words = np.zeros(64, dtype=np.int64), 0, []
+    for piece in _pieces(text):
+        words += piece.lower().split()
+        if len(words) >= words_per_shingle:
+            found, n = _ones(words, words_per_shingle)
+            ones, shingles = ones + found, shingles + n
+            # The last words start shingles that end in the next piece.
+            words = words[len(words) - words_per_shingle + 1 :]
+    if not shingles:
+        if not words:
+            return 0
+        ones, shingles = _ones(words, len(words))
+    return int(np.packbits(2 * ones > shingles).view(">i8")[0])
 
 
 def _fingerprints(words_per_shingle: int):
