@@ -208,3 +208,10 @@ def test_deep_groups_are_told_apart_in_the_last_byte():
     for r, c in zip(rows, classes):
         groups.setdefault(int(c), set()).add(int(r))
     assert sorted(map(sorted, groups.values())) == [[0, 2], [1, 4]]
+
+
+@pytest.mark.parametrize("piece", [1, 3, 50])
+def test_fingerprints_do_not_depend_on_pieces(monkeypatch, piece):
+    monkeypatch.setattr(simhash, "PIECE", piece)
+    for text in ("", "  \n", "A", "a b", "One two\x0bthree  four é five\nsix seven " * 9, " x" * 40):
+        assert simhash.fingerprint(text.encode()) % 2**64 == brute_print(text) % 2**64
