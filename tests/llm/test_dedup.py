@@ -52,6 +52,26 @@ def test_exact_state_remembers_earlier_runs(spark, tmp_path):
     assert as_tuples(held) == [("a", 3, "y", 2), ("b", 6, "x", 1), ("c", 9, "y", 1)]
 
 
+def test_exact_opens_stores_by_rows(spark, make_docs, tmp_path):
+    wide = {"spark.sql.shuffle.partitions": "40"}
+    arrivals = [(f"d{k % 50}", k, "x") for k in range(100)]
+    spark.createDataFrame(arrivals, exact_dedup.ARRIVALS).repartition(100).write.parquet(f"{tmp_path}/in")
+    with exact_dedup._conf(spark, wide):
+        exact_dedup.absorb(spark, f"{tmp_path}/in", f"{tmp_path}/state")
+    held = exact_dedup.holders(spark, f"{tmp_path}/state")
+    assert as_tuples(held) == sorted((f"d{k}", k, "x", 2) for k in range(50))
+    # One batch, however many files; parts by rows and cores, not by the session's partitions.
+    assert len([p for p in (tmp_path / "state/commits").iterdir() if p.name.isdigit()]) == 1
+    parts = [p for p in (tmp_path / "state/state/0").iterdir() if p.name.isdigit()]
+    assert len(parts) == spark.sparkContext.defaultParallelism < 40
+
+
+def test_exact_reads_its_state_once(spark, make_docs):
+    answer = exact_dedup.exact_groups(make_docs(ODD))
+    assert "BatchScan" not in answer._jdf.queryExecution().optimizedPlan().toString() + \
+        answer._jdf.queryExecution().executedPlan().toString()
+
+
 def test_exact_leaves_one_of_each(spark, make_docs):
     docs = make_docs(ODD + [(30, "only me"), (30, "and me")])
     left = exact_dedup.deduplicated(docs)
