@@ -24,6 +24,9 @@ and there is one anchor in some thirty bytes.
 An anchor that a large part of the corpus shares, such as a common line, has too many
 different covers for one task.  Past ``HOT_COVERS`` its windows are dealt one by one, by
 their own bytes, and equal ones are merged before they are moved.
+
+What a task holds is bounded by bytes, whatever the corpus and the session's number of
+shuffle partitions: texts are counted, and dealt to more tasks where they need them.
 """
 
 from __future__ import annotations
@@ -37,7 +40,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallystar.llm.common import stored
+from tallystar.llm.common import small_batches, stored
 
 WINDOW = 100
 GRAM = 32
@@ -50,7 +53,13 @@ LONG_TEXT = 1 << 20
 FLUSH_ENTRIES = 1_000_000
 SETTLE_ENTRIES = 3_000_000
 SORT_WINDOWS = 2_000_000
-BUCKETS_PER_PARTITION = 4
+SORT_BYTES = 1 << 24
+#: Bytes of covers that are held before they are handed on.
+COVER_BYTES = 1 << 24
+#: Rows of the stored table's payloads.
+MET_ROWS = 1 << 18
+#: Bytes of text whose entries, covers or spans go to one task.
+PIECE_BYTES = 1 << 25
 NO_ID = -(1 << 63)
 
 _U = np.uint64
@@ -109,20 +118,26 @@ def anchor_entries(data: np.ndarray, starts: np.ndarray) -> dict[str, np.ndarray
 
 _FIELDS = (("key", "<u8"), ("cover", "<u8"), ("doc", "<i8"), ("first", "<i8"),
            ("count", "<u1"), ("offset", "<u1"))
+_SPAN_FIELDS = (("doc", "<i8"), ("start", "<i8"), ("stop", "<i8"))
+_ASKED_FIELDS = (("doc", "<i8"), ("first", "<i8"), ("key", "<i8"), ("count", "<u1"),
+                 ("offset", "<u1"), ("hot", "<u1"))
 
 
-def _packed(entries: dict[str, np.ndarray], rows: np.ndarray) -> bytes:
+def _packed(entries: dict[str, np.ndarray], rows: np.ndarray, fields=_FIELDS) -> bytes:
     """Columns by byte planes, so that bytes which are always zero compress away."""
     return b"".join(
         np.ascontiguousarray(
             entries[name][rows].astype(kind).view(np.uint8).reshape(len(rows), -1).T).tobytes()
-        for name, kind in _FIELDS)
+        for name, kind in fields)
+
 
+def _row_bytes(fields) -> int:
+    return sum(int(kind[-1]) for _, kind in fields)
 
-def _unpacked(payload: bytes) -> dict[str, np.ndarray]:
-    row = sum(int(kind[-1]) for _, kind in _FIELDS)
-    n, at, out = len(payload) // row, 0, {}
-    for name, kind in _FIELDS:
+
+def _unpacked(payload: bytes, fields=_FIELDS) -> dict[str, np.ndarray]:
+    n, at, out = len(payload) // _row_bytes(fields), 0, {}
+    for name, kind in fields:
         width = int(kind[-1])
         planes = np.frombuffer(payload, np.uint8, n * width, at).reshape(width, n)
         out[name] = np.ascontiguousarray(planes.T).view(kind).reshape(n)
@@ -134,12 +149,18 @@ def _joined(parts: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
     return {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
 
 
+def _firsts(*columns: np.ndarray) -> np.ndarray:
+    """Whether a row differs in some column from the row before it; the first row does, if any."""
+    new = np.ones(len(columns[0]), dtype=bool)
+    new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return new
+
+
 def _leaders(entries: dict[str, np.ndarray]):
     """Split entries into the earliest of each (key, cover) and the spans of the others."""
     order = np.lexsort((entries["first"], entries["doc"], entries["cover"], entries["key"]))
     sorted_ = {k: v[order] for k, v in entries.items()}
-    key, cover = sorted_["key"], sorted_["cover"]
-    new = np.concatenate(([True], (key[1:] != key[:-1]) | (cover[1:] != cover[:-1])))
+    new = _firsts(sorted_["key"], sorted_["cover"])
     leader = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
     # A row that repeats an id is not a repeat of itself.
     same = (sorted_["doc"] == sorted_["doc"][leader]) & (sorted_["first"] == sorted_["first"][leader])
@@ -200,7 +221,8 @@ _SHIPPED = "bucket int, doc long, start long, stop long, payload binary"
 def _ship(buckets: int):
     def flushed(parts: list[dict[str, np.ndarray]]) -> pa.RecordBatch:
         kept, (doc, start, stop) = _leaders(_joined(parts))
-        bucket = (kept["key"] % _U(buckets)).astype(np.int64)
+        # Keys are mixed: sums of as many odd numbers, they are all even.
+        bucket = (_mixed(kept["key"]) % _U(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[order])) + 1
         groups = np.split(order, cuts) if len(order) else []
@@ -232,61 +254,87 @@ def _ship(buckets: int):
     return run
 
 
-_MET = "doubt boolean, doc long, start long, stop long, key long, count int, offset int, hot boolean"
+_MET = "doubt boolean, n int, payload binary"
+
+
+def _met(columns: dict[str, np.ndarray], doubt: bool) -> pa.RecordBatch:
+    """Spans, or requests for covers in doubt, packed: checkpoints are not compressed by Spark."""
+    fields = _ASKED_FIELDS if doubt else _SPAN_FIELDS
+    sizes, payloads = [], []
+    for at in range(0, len(columns["doc"]), MET_ROWS):
+        rows = np.arange(at, min(at + MET_ROWS, len(columns["doc"])))
+        sizes.append(len(rows))
+        payloads.append(pa.compress(_packed(columns, rows, fields), codec="zstd", asbytes=True))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([doubt] * len(sizes), pa.bool_()), pa.array(sizes, pa.int32()),
+         pa.array(payloads, pa.binary())], names=["doubt", "n", "payload"])
 
 
-def _met(spans=None, requests=None, hot=False) -> pa.RecordBatch:
-    if spans is not None:
-        doc, start, stop = spans
-        zero = np.zeros(len(doc), dtype=np.int64)
-        key, count, offset = zero, zero, zero
-    else:
-        doc, start, key = requests["doc"], requests["first"], requests["key"].view(np.int64)
-        count, offset = requests["count"], requests["offset"]
-        stop = start
-    n = len(doc)
-    return pa.RecordBatch.from_arrays([
-        pa.array(np.full(n, spans is None)), pa.array(doc, pa.int64()), pa.array(start, pa.int64()),
-        pa.array(stop, pa.int64()), pa.array(key, pa.int64()), pa.array(count.astype(np.int32)),
-        pa.array(offset.astype(np.int32)), pa.array(np.full(n, hot))],
-        names=["doubt", "doc", "start", "stop", "key", "count", "offset", "hot"])
+def _met_spans(doc: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.RecordBatch:
+    return _met({"doc": doc, "start": start, "stop": stop}, doubt=False)
+
+
+def _met_requests(entries: dict[str, np.ndarray], rows: np.ndarray, hot: bool) -> pa.RecordBatch:
+    picked = {k: v[rows] for k, v in entries.items()}
+    picked["key"] = picked["key"].view(np.int64)
+    return _met(picked | {"hot": np.full(len(picked["doc"]), hot)}, doubt=True)
+
+
+def _rows_of(fields):
+    """The rows that ``_met`` has packed."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n, payload in zip(batch.column("n").to_pylist(), batch.column("payload")):
+                raw = pa.decompress(
+                    payload.as_buffer(), decompressed_size=n * _row_bytes(fields), codec="zstd", asbytes=True)
+                columns = _unpacked(raw, fields)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(columns[c].astype(np.int32 if kind == "<u1" else np.int64))
+                     for c, kind in fields], names=[c for c, _ in fields])
+
+    return run
 
 
 def _cover_counts(entries: dict[str, np.ndarray]) -> np.ndarray:
     """Per entry, how many entries (sorted by key) have its key."""
-    key = entries["key"]
-    begins = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else key[:0].astype(np.int64)
-    sizes = np.diff(np.concatenate((begins, [len(key)])))
+    begins = np.flatnonzero(_firsts(entries["key"]))
+    sizes = np.diff(np.concatenate((begins, [len(entries["key"])])))
     return np.repeat(sizes, sizes)
 
 
 def _meet(hot_covers: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, waiting, hot_keys = [], 0, np.zeros(0, dtype=np.uint64)
+        passed, passing = [], 0
 
         def settled():
             nonlocal parts, waiting, hot_keys
             kept, spans = _leaders(_joined(parts))
             hot = (_cover_counts(kept) > hot_covers) | np.isin(kept["key"], hot_keys)
             hot_keys = np.union1d(hot_keys, kept["key"][hot])
-            out = [_met(spans=spans), _met(requests={k: v[hot] for k, v in kept.items()}, hot=True)]
+            out = [_met_spans(*spans), _met_requests(kept, hot, hot=True)]
             parts = [{k: v[~hot] for k, v in kept.items()}]
             waiting = 0
             return out
 
         for batch in batches:
-            passed = batch.filter(pa.compute.is_null(batch.column("payload")))
-            if passed.num_rows:
-                yield _met(spans=[passed.column(c).to_numpy() for c in ("doc", "start", "stop")])
+            spans = batch.filter(pa.compute.is_null(batch.column("payload")))
+            if spans.num_rows:
+                passed.append([spans.column(c).to_numpy() for c in ("doc", "start", "stop")])
+                passing += spans.num_rows
+                if passing >= MET_ROWS:
+                    yield _met_spans(*map(np.concatenate, zip(*passed)))
+                    passed, passing = [], 0
             for payload in batch.column("payload").drop_null():
                 parts.append(_unpacked(payload.as_py()))
                 waiting += len(parts[-1]["key"])
                 if waiting >= SETTLE_ENTRIES:
                     yield from settled()
+        if passed:
+            yield _met_spans(*map(np.concatenate, zip(*passed)))
         if parts:
             yield from settled()
-            doubt = _cover_counts(parts[0]) > 1
-            yield _met(requests={k: v[doubt] for k, v in parts[0].items()})
+            yield _met_requests(parts[0], _cover_counts(parts[0]) > 1, hot=False)
 
     return run
 
@@ -294,54 +342,77 @@ def _meet(hot_covers: int):
 _COVER = "key long, doc long, first long, count int, offset int, cover binary"
 
 
+def _lists(column: pa.ListArray) -> Iterator[list[np.ndarray]]:
+    """Fields of the structs in each list; a null is an empty list."""
+    fields = [f.to_numpy() for f in column.flatten().flatten()]
+    stops = np.cumsum(pa.compute.list_value_length(column).fill_null(0).to_numpy())
+    for start, stop in zip([0, *stops[:-1].tolist()], stops.tolist()):
+        yield [f[start:stop] for f in fields]
+
+
 def _covers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bytes of the covers in doubt; hot ones window by window, equal ones once.
 
     A row of count 0 is the place of a window that is decided already.
     """
-    for batch in batches:
-        rows: list[tuple] = []
-        earliest: dict[bytes, tuple[int, int]] = {}
-        texts = batch.column("text").cast(pa.binary()).to_pylist()
-        for doc, text, asked in zip(
-            batch.column("doc").to_pylist(), texts, batch.column("asked").to_pylist()
-        ):
-            for a in asked:
-                first, count = a["start"], a["count"]
-                stop = first + count - 1 + WINDOW
-                if stop > len(text):
-                    continue  # of another row with this id
-                if not a["hot"]:
-                    rows.append((a["key"], doc, first, count, a["offset"], text[first:stop]))
-                    continue
-                for at in range(first, first + count):
-                    window, here = text[at : at + WINDOW], (doc, at)
-                    before = earliest.setdefault(window, here)
-                    if before != here:
-                        earliest[window] = min(before, here)
-                        rows.append((0, *max(before, here), 0, 0, b""))
+    rows: list[tuple] = []
+    earliest: dict[bytes, tuple[int, int]] = {}
+    held = 0
+
+    def flushed() -> pa.RecordBatch:
+        nonlocal held
         for window, (doc, at) in earliest.items():
             digest = hashlib.blake2b(window, digest_size=8).digest()
             rows.append((int.from_bytes(digest, "little", signed=True), doc, at, 1, -1, window))
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-        columns = list(zip(*rows)) if rows else [[]] * 6
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, kinds)],
+        out = pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
             names=["key", "doc", "first", "count", "offset", "cover"])
+        rows.clear()
+        earliest.clear()
+        held = 0
+        return out
+
+    for whole in batches:
+        for start in range(0, whole.num_rows, 256):
+            batch = whole.slice(start, 256)
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            for doc, text, asked in zip(
+                batch.column("doc").to_pylist(), texts, _lists(batch.column("asked"))
+            ):
+                for first, key, count, offset, hot in zip(*(f.tolist() for f in asked)):
+                    stop = first + count - 1 + WINDOW
+                    if stop > len(text):
+                        continue  # of another row with this id
+                    if not hot:
+                        rows.append((key, doc, first, count, offset, text[first:stop]))
+                        held += stop - first
+                    else:
+                        for at in range(first, first + count):
+                            window, here = text[at : at + WINDOW], (doc, at)
+                            before = earliest.setdefault(window, here)
+                            if before != here:
+                                earliest[window] = min(before, here)
+                                rows.append((0, *max(before, here), 0, 0, b""))
+                        held += count * WINDOW
+                    if held >= COVER_BYTES:
+                        yield flushed()
+    if held:
+        yield flushed()
 
 
 def _split(group: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order by (group, symbol): the order, and the number of each class in it."""
     order = np.lexsort((symbol, group))
-    g, s = group[order], symbol[order]
-    new = np.concatenate(([False], (g[1:] != g[:-1]) | (s[1:] != s[:-1])))
-    return order, np.cumsum(new)
+    return order, np.cumsum(_firsts(group[order], symbol[order])) - 1
 
 
 def _together(group: np.ndarray) -> np.ndarray:
     """Rows, of a sorted grouping, that are not alone in their group."""
-    alone_before = np.concatenate(([True], group[1:] != group[:-1]))
-    return ~(alone_before & np.concatenate((alone_before[1:], [True])))
+    before = _firsts(group)
+    after = np.ones(len(group), dtype=bool)
+    after[:-1] = before[1:]
+    return ~(before & after)
 
 
 def equal_windows(symbols: np.ndarray, at: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -353,7 +424,7 @@ def equal_windows(symbols: np.ndarray, at: np.ndarray, group: np.ndarray) -> tup
 
     def keep(order: np.ndarray, classes: np.ndarray) -> None:
         nonlocal rows, group
-        stay = _together(classes) if len(classes) else np.zeros(0, dtype=bool)
+        stay = _together(classes)
         rows, group = rows[order][stay], classes[stay]
 
     keep(*_split(group, np.zeros(len(group), dtype=np.uint64)))
@@ -404,9 +475,9 @@ def _repeats(key, doc, first, count, offset, covers: list[bytes]):
     docs, places = doc[cover[rows]], first[cover[rows]] + inside[rows]
     order = np.lexsort((places, docs, classes))
     docs, places, classes = docs[order], places[order], classes[order]
-    new = np.concatenate(([True], classes[1:] != classes[:-1])) if len(classes) else np.zeros(0, bool)
-    leader = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0)) if len(new) else new
-    gone = ~new & ~((docs == docs[leader]) & (places == places[leader])) if len(new) else new
+    new = _firsts(classes)
+    leader = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+    gone = ~new & ~((docs == docs[leader]) & (places == places[leader]))
     return merge_spans(docs[gone], places[gone], places[gone] + WINDOW)
 
 
@@ -423,8 +494,12 @@ def _sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             column("key"), column("doc"), column("first"), column("count"), column("offset"),
             table.column("cover").to_pylist()))
 
+    def sizes(covers: pa.RecordBatch | pa.Table) -> np.ndarray:
+        windows = int(covers.column("count").to_numpy().sum())
+        return np.array([windows, windows + (WINDOW - 1) * covers.num_rows])
+
     held: list[pa.RecordBatch] = []
-    windows = 0
+    waiting = np.zeros(2, dtype=np.int64)
     for batch in batches:
         decided = pa.compute.equal(batch.column("count"), 0)
         if decided.true_count:
@@ -435,8 +510,8 @@ def _sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         if not batch.num_rows:
             continue
         held.append(batch)
-        windows += int(batch.column("count").to_numpy().sum())
-        if windows >= SORT_WINDOWS:
+        waiting = waiting + sizes(batch)
+        if waiting[0] >= SORT_WINDOWS or waiting[1] >= SORT_BYTES:
             table = pa.Table.from_batches(held)
             keys = table.column("key").to_numpy()
             cut = int(np.searchsorted(keys, keys[-1], side="left"))
@@ -444,66 +519,75 @@ def _sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 yield sorted_block(table.slice(0, cut))
                 rest = table.slice(cut)
                 held = rest.to_batches()
-                windows = int(rest.column("count").to_numpy().sum())
+                waiting = sizes(rest)
     if held:
         yield sorted_block(pa.Table.from_batches(held))
 
 
+_SPAN = "doc long, start long, stop long"
 _CUT = ("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = []
-        texts = batch.column("text").cast(pa.binary()).to_pylist()
-        for doc, text, spans in zip(
-            batch.column("doc").to_pylist(), texts, batch.column("spans").to_pylist()
-        ):
-            digest, at, removed, runs = hashlib.sha256(), 0, 0, 0
-            for start, stop in _runs(spans, len(text)):
-                digest.update(text[at:start])
-                at, removed, runs = stop, removed + stop - start, runs + 1
-            digest.update(text[at:])
-            rows.append((None if doc == NO_ID else doc, len(text), removed, runs, digest.hexdigest()))
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, kinds)],
-            names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-
-
-def _runs(spans: list[dict] | None, size: int) -> list[tuple[int, int]]:
+    for whole in batches:
+        for first in range(0, whole.num_rows, 256):
+            batch, rows = whole.slice(first, 256), []
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            for doc, text, spans in zip(
+                batch.column("doc").to_pylist(), texts, _lists(batch.column("spans"))
+            ):
+                digest, at, removed, runs = hashlib.sha256(), 0, 0, 0
+                for start, stop in _runs(*spans, len(text)):
+                    digest.update(text[at:start])
+                    at, removed, runs = stop, removed + stop - start, runs + 1
+                digest.update(text[at:])
+                rows.append((None if doc == NO_ID else doc, len(text), removed, runs, digest.hexdigest()))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+
+def _runs(start: np.ndarray, stop: np.ndarray, size: int) -> list[tuple[int, int]]:
     """Maximal runs of a document's spans, within its bytes."""
-    if not spans:
+    if not len(start):
         return []
-    start = np.array([s["start"] for s in spans], dtype=np.int64)
-    stop = np.minimum(np.array([s["stop"] for s in spans], dtype=np.int64), size)
+    stop = np.minimum(stop, size)
     good = start < stop
     one = np.zeros(int(good.sum()), dtype=np.int64)
     _, start, stop = merge_spans(one, start[good], stop[good])
     return list(zip(start.tolist(), stop.tolist()))
 
 
+def _tasks(texts: DataFrame) -> int:
+    """Tasks that the texts are dealt to: as many as the session says, or as their bytes need."""
+    n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(partitions, -(-n_bytes // PIECE_BYTES))
+
+
 def repeated_spans(docs: DataFrame, hot_covers: int = HOT_COVERS) -> tuple[DataFrame, DataFrame]:
-    """Texts dealt by document, (doc, text), and spans to remove, (doc, start, stop).
+    """Texts, (doc, text), and spans to remove, (doc, start, stop), both dealt by document.
 
     A null id is the smallest.  Spans of a document may overlap.
     """
-    spark = docs.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = partitions * BUCKETS_PER_PARTITION
-    texts = docs.select(
+    texts = small_batches(docs).select(
         F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("doc"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    shipped = texts.mapInArrow(_ship(buckets), _SHIPPED)
-    met = stored(shipped.repartition(partitions, "bucket").mapInArrow(_meet(hot_covers), _MET))
-    dealt = texts.repartition(partitions, "doc")
-    asked = met.where("doubt").groupBy("doc").agg(
-        F.collect_list(F.struct("start", "key", "count", "offset", "hot")).alias("asked"))
+    tasks = _tasks(texts)
+    # Buckets are dealt by number: hashed, several would meet in one task.
+    shipped = texts.mapInArrow(_ship(tasks), _SHIPPED).repartitionById(tasks, F.col("bucket"))
+    met = stored(shipped.mapInArrow(_meet(hot_covers), _MET))
+    dealt = texts.repartition(tasks, "doc")
+    requests = met.where("doubt").mapInArrow(
+        _rows_of(_ASKED_FIELDS), "doc long, first long, key long, count int, offset int, hot int")
+    asked = requests.repartition(tasks, "doc").groupBy("doc").agg(
+        F.collect_list(F.struct("first", "key", "count", "offset", "hot")).alias("asked"))
     covers = dealt.join(asked.hint("shuffle_hash"), "doc").mapInArrow(_covers, _COVER)
-    sorted_out = covers.repartition(partitions, "key").sortWithinPartitions("key").mapInArrow(
-        _sort_suffixes, "doc long, start long, stop long")
-    spans = met.where(~F.col("doubt")).select("doc", "start", "stop").unionByName(sorted_out)
-    return dealt, spans
+    sorted_out = covers.repartition(tasks, "key").sortWithinPartitions("key").mapInArrow(
+        _sort_suffixes, _SPAN)
+    settled = met.where(~F.col("doubt")).mapInArrow(_rows_of(_SPAN_FIELDS), _SPAN)
+    return dealt, settled.unionByName(sorted_out).repartition(tasks, "doc")
 
 
 def without_repeats(docs: DataFrame, hot_covers: int = HOT_COVERS) -> DataFrame:

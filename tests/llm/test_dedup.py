@@ -3,6 +3,7 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from odd_rows import ODD
@@ -205,6 +206,103 @@ def test_suffix_dedup_rows_that_repeat_an_id(spark, make_docs):
     assert suffix_dedup.without_repeats(make_docs([])).count() == 0
 
 
+def test_suffix_dedup_deals_large_texts_to_more_tasks(spark, make_docs, corpus, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "PIECE_BYTES", 2000, raising=False)
+    rows = corpus[:30] + [(500 + k, f"{t} {k}", "en", "s") for k, (_, t, *_) in enumerate(corpus[:30])]
+    dealt, spans = suffix_dedup.repeated_spans(make_docs(rows))
+    need = sum(len((t or "").encode()) for _, t, *_ in rows) / 2000
+    assert need > 20 and dealt.rdd.getNumPartitions() >= need and spans.rdd.getNumPartitions() >= need
+    assert as_tuples(suffix_dedup.without_repeats(make_docs(rows))) == brute_suffix(rows)
+
+
+def test_entries_are_dealt_evenly(corpus):
+    batch = pa.RecordBatch.from_pydict({"doc": list(range(100)), "text": [r[1] for r in corpus[:100]]})
+    dealt = {}
+    for out in suffix_dedup._ship(8)(iter([batch])):
+        for bucket, payload in zip(out.column("bucket").to_pylist(), out.column("payload").to_pylist()):
+            if payload is not None:
+                dealt[bucket] = dealt.get(bucket, 0) + len(suffix_dedup._unpacked(payload)["key"])
+    assert len(dealt) == 8 and max(dealt.values()) < 2 * min(dealt.values())
+
+
+def test_covers_are_handed_on_in_bounded_blocks(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "COVER_BYTES", 20_000, raising=False)
+    draw = np.random.default_rng(3)
+    texts = [bytes(draw.integers(97, 123, 1000, dtype=np.uint8)).decode() for _ in range(20)]
+    asked = [[{"first": at, "key": at, "count": 50, "offset": 60, "hot": int(hot)}
+              for at in range(0, 800, 50) for hot in (0, 1)] for _ in texts]
+    kind = pa.list_(pa.struct([("first", pa.int64()), ("key", pa.int64()), ("count", pa.int32()),
+                               ("offset", pa.int32()), ("hot", pa.int32())]))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(20), pa.int64()), pa.array(texts), pa.array(asked, kind)], names=["doc", "text", "asked"])
+    out = list(suffix_dedup._covers(iter([batch.slice(0, 11), batch.slice(11)])))
+    assert max(sum(map(len, b.column("cover").to_pylist())) for b in out) < 30_000
+    found = sorted((r["doc"], r["first"], r["count"], r["cover"]) for b in out for r in b.to_pylist())
+    assert found == sorted(
+        (doc, at + k, n, text[at + k : at + k + n + 99].encode())
+        for doc, text in enumerate(texts) for at in range(0, 800, 50)
+        for k, n in [(0, 50), *((k, 1) for k in range(50))])
+
+
+def test_windows_are_sorted_in_bounded_blocks(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SORT_BYTES", 2000, raising=False)
+    blocks, whole = [], suffix_dedup._repeats
+
+    def watched(*columns):
+        blocks.append(sum(map(len, columns[-1])))
+        return whole(*columns)
+
+    monkeypatch.setattr(suffix_dedup, "_repeats", watched)
+    keys = np.repeat(np.arange(50), 2)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(keys), pa.array(np.arange(100)), pa.array(np.zeros(100, np.int64)),
+         pa.array(np.ones(100, np.int32)), pa.array(np.full(100, -1, np.int32)),
+         pa.array([bytes([k]) * 100 for k in keys.tolist()], pa.binary())],
+        names=["key", "doc", "first", "count", "offset", "cover"])
+    out = list(suffix_dedup._sort_suffixes(batch.slice(at, 7) for at in range(0, 100, 7)))
+    assert len(blocks) > 3 and max(blocks) <= 2000 + 2 * 700 and sum(blocks) == 10_000
+    assert sorted(d for b in out for d in b.column("doc").to_pylist()) == list(range(1, 100, 2))
+
+
+def test_met_rows_are_stored_packed():
+    n = 600_000
+    spans = {"doc": np.repeat(np.arange(n // 60), 60), "start": np.tile(np.arange(60) * 130, n // 60)}
+    spans["stop"] = spans["start"] + 170
+    stored = suffix_dedup._met_spans(**spans)
+    assert stored.num_rows == 3 and stored.nbytes < 8 * n
+    back = pa.Table.from_batches(suffix_dedup._rows_of(suffix_dedup._SPAN_FIELDS)(iter([stored])))
+    assert all((back.column(c).to_numpy() == v).all() for c, v in spans.items())
+    entries = {"doc": np.array([-(1 << 63), 7]), "first": np.array([1 << 35, 0]), "count": np.array([69, 1], np.uint8),
+               "key": np.array([(1 << 64) - 2, 4], np.uint64), "offset": np.array([68, 0], np.uint8)}
+    asked = suffix_dedup._met_requests(entries, np.array([True, True]), hot=True)
+    rows = pa.Table.from_batches(suffix_dedup._rows_of(suffix_dedup._ASKED_FIELDS)(iter([asked]))).to_pylist()
+    assert rows[0] == {"doc": -(1 << 63), "first": 1 << 35, "key": -2, "count": 69, "offset": 68, "hot": 1}
+    assert rows[1]["doc"] == 7 and not suffix_dedup._met_requests(entries, np.array([False, False]), hot=False).num_rows
+
+
+@pytest.mark.parametrize("distinct", [1, 8, 16, 24])
+def test_blocks_without_a_repeat(distinct):
+    """Windows that share an anchor and are all told apart after some of the rounds, or at once."""
+    covers = [bytes(range(100, 100 + distinct - 1)) + bytes([k]) + bytes(100 - distinct) for k in range(3)]
+    one, doc = np.ones(3, np.int64), np.arange(3)
+    for key in (one, doc):
+        assert [len(c) for c in suffix_dedup._repeats(key, doc, doc, one, one, covers)] == [0, 0, 0]
+    found = suffix_dedup._repeats(one[[0, 0, 0, 0]], np.arange(4), np.zeros(4, np.int64), one[[0, 0, 0, 0]],
+                                  one[[0, 0, 0, 0]], [*covers, covers[1]])
+    assert [c.tolist() for c in found] == [[3], [0], [100]]
+
+
+def test_partition_with_hot_keys_alone(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SETTLE_ENTRIES", 10)
+    entries = {"key": np.full(20, 4, np.uint64), "cover": np.arange(20, dtype=np.uint64), "doc": np.arange(20),
+               "first": np.zeros(20, np.int64), "count": np.ones(20, np.int64), "offset": np.zeros(20, np.int64)}
+    batch = pa.RecordBatch.from_pydict({"payload": [suffix_dedup._packed(entries, np.arange(20))]})
+    out = list(suffix_dedup._meet(3)(iter([batch])))
+    asked = pa.Table.from_batches(suffix_dedup._rows_of(suffix_dedup._ASKED_FIELDS)(
+        b for b in out if b.num_rows and b.column("doubt")[0].as_py()))
+    assert sorted(asked.column("doc").to_pylist()) == list(range(20)) and set(asked.column("hot").to_pylist()) == {1}
+
+
 def test_long_texts_in_pieces(monkeypatch):
     draw = np.random.default_rng(1)
     text = bytes(draw.integers(97, 101, 3000, dtype=np.uint8))
